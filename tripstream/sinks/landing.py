@@ -1,0 +1,53 @@
+"""SNK-13: landing writer. Ordered rows cut into numbered fixed-size batches.
+
+Each batch becomes exactly one file under ``batch_no=<n>/``: rows are
+shuffled by batch number (every row of a batch lands in one task) and sorted
+inside the task, so a file stream with ``maxFilesPerTrigger=1`` sees one
+landing batch per micro-batch.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from tripstream.config import DEFAULT_PARAMS
+from tripstream.operators.replay import cut_batches
+
+# Text form of timestamps in JSON landings: microseconds kept (Spark's default keeps milliseconds).
+JSON_TS_OPTIONS = {
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
+
+def write_landing(
+    df: DataFrame,
+    path: str,
+    order: list[str],
+    batch_rows: int = DEFAULT_PARAMS.landing_batch_rows,
+    fmt: str = "json",
+    drop_tail: bool = False,
+    mode: str = "errorifexists",
+) -> DataFrame:
+    """Write ``df`` as numbered batches; returns the batched rows (with ``batch_no``)."""
+    batched = cut_batches(df, order, batch_rows, drop_tail)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (
+        batched.repartition(parts, "batch_no")
+        .sortWithinPartitions("batch_no", *order)
+        .write.mode(mode)
+        .options(**(JSON_TS_OPTIONS if fmt == "json" else {}))
+        .partitionBy("batch_no")
+        .format(fmt)
+        .save(path)
+    )
+    return batched
+
+
+def write_files(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append", partition_by=None) -> None:
+    """Plain landing append (no batch numbering)."""
+    w = df.write.mode(mode).options(**(JSON_TS_OPTIONS if fmt == "json" else {})).format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(path)
+

@@ -8,7 +8,9 @@ from pyspark.sql.types import StructType
 
 def json_file_stream(spark: SparkSession, path: str, schema: StructType, max_files: int | None = 1) -> DataFrame:
     """SRC-1: JSON-lines files as they land, ``max_files`` per micro-batch."""
-    r = spark.readStream.schema(schema)
+    from tripstream.sinks.landing import JSON_TS_OPTIONS
+
+    r = spark.readStream.schema(schema).options(**JSON_TS_OPTIONS)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.json(path)
