@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tripstream.config import DEFAULT_PARAMS
 from tripstream.functions.ids import pool_index, trip_id
 from tripstream.operators.enrich import checked_broadcast, is_bounded
+from tripstream.session import shared_dir
 
 
 def sort_for_replay(df: DataFrame, order: list[str]) -> DataFrame:
@@ -31,6 +32,7 @@ def global_index(df: DataFrame, order: list[str], name: str = "row_index", parts
     """0-based position of each row in ``order``, computed in parallel."""
     spark = df.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shared_dir(spark)
     ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).checkpoint(eager=True)
     tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

@@ -24,6 +24,7 @@ from tripstream.config import DEFAULT_PARAMS
 from tripstream.functions.derived import duration_minutes
 from tripstream.operators.dedup import dedup_with_watermark, dedup_within_watermark
 from tripstream.operators.matching import interval_join
+from tripstream.operators.replay import cut_batches
 from tripstream.plans.catalog import EVENT_ORDER
 from tripstream.schemas import PICKUP, TRIP_CORE_SCHEMA
 from tripstream.session import work_path
@@ -249,7 +250,42 @@ def q_medallion_revenue_stream(spark, d):
     return _read_back(spark, gold)
 
 
+def q_completed_trips_stream(spark, d):
+    """SRC-4, PRJ-5/8/9, JON-4, SNK-4: Silver read as two independent streams, joined pickup to dropoff.
+
+    The shared tables' dates are whole days, so the match window (and both
+    watermarks) is 30 days here instead of 3 hours.
+    """
+    from tripstream.plans.catalog import TABLE_TRIP_SECONDS, q_silver
+    from tripstream.schemas import SILVER_SCHEMA
+
+    silver = work_path(spark, "silver")
+    q_silver(spark, d).write.parquet(silver)
+    params = P.with_(max_trip_seconds=TABLE_TRIP_SECONDS, completed_watermark="30 days")
+    pickups = table_stream(spark, silver, SILVER_SCHEMA, "parquet", None)
+    dropoffs = table_stream(spark, silver, SILVER_SCHEMA, "parquet", None)
+    out, ck = work_path(spark, "completed"), work_path(spark, "ckpt")
+    run_to_table(L.completed_trips_stream(pickups, dropoffs, params), out, ck)
+    return _read_back(spark, out)
+
+
+def q_simulator_batches(spark, d):
+    """The replay preparation as Spark jobs: sort by pickup (SRT-1), cap (LIM-1),
+    fill missing zone ids from the pool (SET-1, PRJ-10), cut into 500-row
+    batches dropping the short tail as the reference does (SRT-2)."""
+    from tripstream.operators.replay import impute_zone_ids, limit_rows, zone_pool
+
+    raw = B.raw_trips(spark, d)
+    order = [PICKUP, "VendorID", "PULocationID", "tpep_dropoff_datetime", "DOLocationID", "fare_amount",
+             "total_amount", "trip_distance", "passenger_count", "tip_amount"]
+    capped = limit_rows(raw, order, P.replay_row_cap)
+    filled = impute_zone_ids(capped, zone_pool(spark, zones=B.zones(spark, d)))
+    return cut_batches(filled, order, P.landing_batch_rows, drop_tail=True)
+
+
 STREAM_QUERIES = {
+    "completed_trips_stream": q_completed_trips_stream,
+    "simulator_batches": q_simulator_batches,
     "bronze_roundtrip": q_bronze_roundtrip,
     "exactly_once_audit": q_exactly_once_audit,
     "revenue_hourly_stream": q_revenue_hourly_stream,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tripstream.config import DEFAULT_PARAMS, Params
 from tripstream.functions.derived import duration_minutes
 from tripstream.functions.timestamps import to_instant, to_wall_clock
-from tripstream.operators.anomaly import flag_fare_anomalies
+from tripstream.operators.anomaly import fare_stats, flag_fare_anomalies
 from tripstream.operators.dedup import dedup_within_watermark
 from tripstream.operators.enrich import add_revenue_per_mile, enrich_with_zones
 from tripstream.operators.matching import dropoff_side, interval_join, pickup_side
@@ -107,10 +107,12 @@ def anomaly_batch_writer(
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist()
+        stats = fare_stats(b, key, fare).persist()  # one row per borough of this batch
         try:
-            flagged = flag_fare_anomalies(b, key, fare, sigma, tail, materialize=False)
+            flagged = flag_fare_anomalies(b, key, fare, sigma, tail, materialize=False, stats=stats)
             table.upsert(flagged, batch_id, order)
         finally:
+            stats.unpersist()
             b.unpersist()
 
     return fn

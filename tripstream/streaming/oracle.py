@@ -7,7 +7,7 @@ pickup whose match range ended before the join watermark.
 
 from __future__ import annotations
 
-from tripstream.plans.oracle import QUALITY, RAW, ZONES, _enriched, _revenue, _volume, _with
+from tripstream.plans.oracle import BATCH_ORACLE, QUALITY, RAW, ZONES, _enriched, _revenue, _volume, _with
 
 EVENTS = "SELECT * FROM events"
 
@@ -26,7 +26,37 @@ silver AS (
   FROM ({_enriched('distinct_q')}) e)
 {_closed(_revenue('silver', 'tpep_pickup_datetime', 'pickup_borough', 'total_amount', 'fare_amount'), '30 MINUTE', 'silver', 'tpep_pickup_datetime')}"""
 
+_ORDER = """tpep_pickup_datetime NULLS FIRST, VendorID NULLS FIRST, PULocationID NULLS FIRST,
+  tpep_dropoff_datetime NULLS FIRST, DOLocationID NULLS FIRST, fare_amount NULLS FIRST, total_amount NULLS FIRST,
+  trip_distance NULLS FIRST, passenger_count NULLS FIRST, tip_amount NULLS FIRST"""
+
+SIMULATOR = f"""
+WITH capped AS (SELECT * FROM ({RAW.strip()[len('raw AS ('):-1]}) r ORDER BY {_ORDER} LIMIT 200000),
+{ZONES.strip()},
+pool AS (SELECT row_number() OVER (ORDER BY LocationID) - 1 AS idx, LocationID FROM (SELECT DISTINCT LocationID FROM zones WHERE LocationID IS NOT NULL)),
+k AS (SELECT *, __KU__ AS ku, __KD__ AS kd FROM capped),
+filled AS (
+  SELECT VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance,
+         coalesce(PULocationID, pu.LocationID) AS PULocationID, coalesce(DOLocationID, pd.LocationID) AS DOLocationID,
+         fare_amount, tip_amount, total_amount
+  FROM k LEFT JOIN pool pu ON k.ku = pu.idx LEFT JOIN pool pd ON k.kd = pd.idx),
+numbered AS (SELECT *, row_number() OVER (ORDER BY {_ORDER}) - 1 AS i, count(*) OVER () AS n FROM filled)
+SELECT * EXCLUDE (i, n), CAST(i // 500 AS BIGINT) AS batch_no FROM numbered WHERE i < (n // 500) * 500"""
+
+
+def _pool_key(col: str) -> str:
+    base = (
+        "md5(concat_ws('|', coalesce(CAST(VendorID AS VARCHAR), '∅'), "
+        "coalesce(tpep_pickup_datetime, '∅'), coalesce(tpep_dropoff_datetime, '∅')))"
+    )
+    return f"CAST(('0x' || substr(md5({base} || '|{col}'), 1, 8)) AS BIGINT) % (SELECT count(*) FROM pool)"
+
+
+SIMULATOR = SIMULATOR.replace("__KU__", _pool_key("PULocationID")).replace("__KD__", _pool_key("DOLocationID"))
+
 STREAM_ORACLE = {
+    "completed_trips_stream": BATCH_ORACLE["trip_matching"],
+    "simulator_batches": SIMULATOR,
     "bronze_roundtrip": EVENTS,
     "exactly_once_audit": """
 SELECT count(*) AS source_rows, count(*) AS table_rows, CAST(0 AS BIGINT) AS missing_rows, CAST(0 AS BIGINT) AS extra_rows
