@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from tripstream.config import DEFAULT_PARAMS
 from tripstream.functions.derived import duration_minutes
 from tripstream.functions.ids import trip_id
-from tripstream.operators.anomaly import flag_above_threshold, flag_fare_anomalies, flag_rolling_anomalies
+from tripstream.operators.anomaly import (
+    flag_above_threshold,
+    flag_fare_anomalies,
+    flag_rolling_anomalies,
+    flag_rolling_hourly,
+)
 from tripstream.operators.dedup import dedup_first
 from tripstream.operators.enrich import add_revenue_per_mile, enrich_with_zones, is_bounded
 from tripstream.operators.matching import TRIP_KEY, interval_join, match_trips
@@ -107,6 +112,10 @@ def q_anomaly_rolling_24h(spark, d):
     return out.drop("roll_avg", "roll_std")
 
 
+def q_anomaly_rolling_hourly(spark, d):
+    return flag_rolling_hourly(B.events(spark, d), "event_type", "ts", "value", P.fare_sigma, 24)
+
+
 def q_anomaly_percentile(spark, d):
     return flag_above_threshold(B.events(spark, d), "event_type", "value", 0.99, 10_000)
 
@@ -184,6 +193,7 @@ BATCH_QUERIES = {
     "anomaly_batch_stats": q_anomaly_batch_stats,
     "anomaly_silver": q_anomaly_silver,
     "anomaly_rolling_24h": q_anomaly_rolling_24h,
+    "anomaly_rolling_hourly": q_anomaly_rolling_hourly,
     "anomaly_percentile": q_anomaly_percentile,
     "trip_id": q_trip_id,
     "trip_matching": q_trip_matching,

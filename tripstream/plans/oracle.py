@@ -165,7 +165,20 @@ SELECT VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, t
 FROM k LEFT JOIN pool pu ON k.ku = pu.idx LEFT JOIN pool pd ON k.kd = pd.idx"""
 
 
+ROLLING_HOURLY = """
+WITH c AS (SELECT *, CAST(round(value * 100) AS BIGINT) AS cents, CAST(floor(epoch_us(ts) / 3600000000) AS BIGINT) AS h
+           FROM events WHERE ts IS NOT NULL AND value IS NOT NULL),
+m AS (SELECT event_type, h, count(*) AS mn, sum(cents) AS ms1, sum(CAST(cents AS HUGEINT) * cents) AS ms2 FROM c GROUP BY ALL),
+r AS (SELECT event_type, h, sum(mn) OVER w AS n, sum(ms1) OVER w AS s1, sum(ms2) OVER w AS s2
+      FROM m WINDOW w AS (PARTITION BY event_type ORDER BY h RANGE BETWEEN 23 PRECEDING AND CURRENT ROW)),
+st AS (SELECT event_type, h, CAST(s1 AS DOUBLE) / n / 100.0 AS a,
+              CASE WHEN n > 1 THEN sqrt(CAST(n * s2 - s1 * s1 AS DOUBLE) / CAST(n * (n - 1) AS DOUBLE) / 10000.0) END AS sd
+       FROM r)
+SELECT e.* FROM events e JOIN st ON e.event_type = st.event_type AND CAST(floor(epoch_us(e.ts) / 3600000000) AS BIGINT) = st.h
+WHERE e.value > st.a + st.sd * 3.0"""
+
 BATCH_ORACLE = {
+    "anomaly_rolling_hourly": ROLLING_HOURLY,
     "revenue_hourly": f"{SILVER_CTES} {_revenue('silver', 'tpep_pickup_datetime', 'pickup_borough', 'total_amount', 'fare_amount')}",
     "revenue_hourly_events": _revenue("events", "ts", "event_type", "value", "value"),
     "volume_sliding": f"{SILVER_CTES} {_volume('silver', 'tpep_pickup_datetime', 'pickup_zone')}",

@@ -283,7 +283,21 @@ def q_simulator_batches(spark, d):
     return cut_batches(filled, order, P.landing_batch_rows, drop_tail=True)
 
 
+def q_anomaly_rolling_stream(spark, d):
+    """AGG-6 (stream): trailing-24 h per-type statistics from hourly moments, keyed upsert of flags."""
+    land = _land_events(spark, d)
+    s = table_stream(spark, land, _events_schema(spark, d), "parquet", None).drop("batch_no")
+    table = KeyedUpsertTable(spark, work_path(spark, "anomalies"), ["event_id"])
+    fn = L.rolling_anomaly_batch_writer(work_path(spark, "moments"), table, "event_type", "ts", "value", P.fare_sigma, 24, ["ts"])
+    await_done(start_foreach_batch(s, fn, work_path(spark, "ckpt")))
+    cur = table.read()
+    if cur is None:
+        return spark.createDataFrame([], _events_schema(spark, d, with_batch=False))
+    return cur.drop("flagged_at")
+
+
 STREAM_QUERIES = {
+    "anomaly_rolling_stream": q_anomaly_rolling_stream,
     "completed_trips_stream": q_completed_trips_stream,
     "simulator_batches": q_simulator_batches,
     "bronze_roundtrip": q_bronze_roundtrip,

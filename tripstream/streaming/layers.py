@@ -15,7 +15,14 @@ from pyspark.sql import functions as F
 from tripstream.config import DEFAULT_PARAMS, Params
 from tripstream.functions.derived import duration_minutes
 from tripstream.functions.timestamps import to_instant, to_wall_clock
-from tripstream.operators.anomaly import fare_stats, flag_fare_anomalies
+from tripstream.operators.anomaly import (
+    fare_stats,
+    flag_against_hourly,
+    flag_fare_anomalies,
+    hour_index,
+    hourly_moments,
+    trailing_hour_stats,
+)
 from tripstream.operators.dedup import dedup_within_watermark
 from tripstream.operators.enrich import add_revenue_per_mile, enrich_with_zones
 from tripstream.operators.matching import dropoff_side, interval_join, pickup_side
@@ -116,3 +123,73 @@ def anomaly_batch_writer(
             b.unpersist()
 
     return fn
+
+
+def rolling_anomaly_batch_writer(
+    moments_path: str,
+    table: KeyedUpsertTable,
+    key: str = "pickup_borough",
+    ts: str = PICKUP,
+    fare: str = "fare_amount",
+    sigma: float = DEFAULT_PARAMS.fare_sigma,
+    hours: int = 24,
+    order: list[str] | None = None,
+):
+    """AGG-6 (stream): trailing-24 h statistics from hourly moments kept across micro-batches.
+
+    Batch N writes only its own contribution, into ``moments_batch=N``
+    (dynamic overwrite): a replayed batch replaces its contribution instead
+    of adding it twice. The merge reads contributions of batches <= N for the
+    hours the batch can see, which parquet statistics narrow down.
+    """
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        b = batch.persist()
+        try:
+            (
+                hourly_moments(b, key, ts, fare)
+                .withColumn("moments_batch", F.lit(int(batch_id)).cast("long"))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("moments_batch")
+                .parquet(moments_path)
+            )
+            span = b.agg(F.min(hour_index(ts)).alias("lo"), F.max(hour_index(ts)).alias("hi")).first()
+            if span["lo"] is None:
+                return
+            m = spark.read.parquet(moments_path).filter(
+                (F.col("moments_batch") <= batch_id)
+                & F.col("hour_idx").between(span["lo"] - (hours - 1), span["hi"])
+            )
+            stats = trailing_hour_stats(m, key, hours).persist()
+            try:
+                table.upsert(flag_against_hourly(b, stats, key, ts, fare, sigma), batch_id, order)
+            finally:
+                stats.unpersist()
+        finally:
+            b.unpersist()
+
+    return fn
+
+
+def refreshing_enrich_writer(load_zones, path: str, params: Params = DEFAULT_PARAMS):
+    """STR-14: a stream-static join whose static side is re-read every micro-batch.
+
+    A plain stream-static join fixes the lookup for the life of the query;
+    inside ``foreachBatch`` the lookup is loaded anew for each batch, so an
+    updated zone file takes effect from the next batch without a restart.
+    Output lands in ``enrich_batch=<id>`` (dynamic overwrite: replay-safe).
+    """
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        enriched = add_revenue_per_mile(enrich_with_zones(batch, load_zones(), params.broadcast_row_cap))
+        (
+            enriched.withColumn("enrich_batch", F.lit(int(batch_id)).cast("long"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("enrich_batch")
+            .parquet(path)
+        )
+
+    return fn

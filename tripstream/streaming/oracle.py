@@ -55,6 +55,7 @@ def _pool_key(col: str) -> str:
 SIMULATOR = SIMULATOR.replace("__KU__", _pool_key("PULocationID")).replace("__KD__", _pool_key("DOLocationID"))
 
 STREAM_ORACLE = {
+    "anomaly_rolling_stream": BATCH_ORACLE["anomaly_rolling_hourly"],
     "completed_trips_stream": BATCH_ORACLE["trip_matching"],
     "simulator_batches": SIMULATOR,
     "bronze_roundtrip": EVENTS,
