@@ -78,3 +78,41 @@ def test_stream_equals_batch_on_closed_windows(spark, sf_small):
 
     closed = batch.filter(F.col("window_end") <= F.lit(wm - dt.timedelta(minutes=30)))
     assert stream.exceptAll(closed).count() == 0 and closed.exceptAll(stream).count() == 0
+
+
+def test_stream_join_multi_trigger_evicts_state(spark, sf_small):
+    """Ordered landing, one file per trigger: every match is found, and the
+    range in the join condition lets the watermark evict old pickups."""
+    import glob
+
+    from tripstream.sinks.landing import write_landing
+    from tripstream.sources import bindings as B
+    from tripstream.sources.streams import table_stream
+    from tripstream.operators.matching import interval_join
+    from tripstream.streaming.runner import run_to_table
+
+    land = tempfile.mkdtemp(prefix="tripstream-events-") + "/landing"
+    ev = B.events(spark, sf_small)
+    write_landing(ev, land, ["ts", "event_id"], 100, fmt="parquet")
+    now = time.time()
+    for path in glob.glob(f"{land}/batch_no=*/*.parquet"):
+        k = int(path.split("batch_no=")[1].split("/")[0])
+        os.utime(path, (now - 1000 + k, now - 1000 + k))
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    s = StructType(list(ev.schema.fields) + [StructField("batch_no", IntegerType())])
+    e = table_stream(spark, land, s, "parquet", 1).select("event_id", "ts", "user_id")
+    p = L.as_instants(e.filter("event_id % 2 = 0").selectExpr("event_id AS pickup_id", "ts AS pickup_ts", "user_id"), "pickup_ts")
+    d = L.as_instants(e.filter("event_id % 2 = 1").selectExpr("event_id AS dropoff_id", "ts AS dropoff_ts", "user_id"), "dropoff_ts")
+    p = p.withWatermark("pickup_ts", "3 hours")
+    d = d.withWatermark("dropoff_ts", "3 hours")
+    j = interval_join(p, d, "user_id", "pickup_ts", "dropoff_ts", 0, 3 * 3600)
+    out, ck = work_path(spark, "join"), work_path(spark, "ck")
+    q = run_to_table(L.as_wall_clock(j, "pickup_ts", "dropoff_ts"), out, ck)
+    got = sorted((r.pickup_id, r.dropoff_id) for r in spark.read.parquet(out).collect())
+    want = sorted((r.pickup_id, r.dropoff_id) for r in E.queries()["event_matching"](spark, sf_small).collect())
+    assert got == want
+    progress = [json.loads(x.json) for x in q.recentProgress]
+    assert len(progress) >= 10
+    state_rows = [pr["stateOperators"][0]["numRowsTotal"] for pr in progress if pr.get("stateOperators")]
+    assert max(state_rows) < ev.count() // 2
