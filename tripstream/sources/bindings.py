@@ -38,8 +38,12 @@ def balanced(df: DataFrame) -> DataFrame:
     on large inputs (far more splits than cores) this is a no-op. Filters
     and column pruning still reach the scan below the repartition.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a remote session): leave it to the planner
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
