@@ -1,10 +1,9 @@
 """The reference's Silver unit cases, plus real trip-id tests where it has stubs."""
 
-from pyspark.sql import functions as F
-
 from tests.fixtures import V, row, trips, zones
 from tripstream.operators.enrich import add_revenue_per_mile, enrich_with_zones
-from tripstream.operators.matching import with_trip_id
+from tripstream.functions.ids import trip_id
+from tripstream.operators.matching import TRIP_KEY, with_trip_id
 from tripstream.operators.quality import apply_quality_filters, parse_trip_times
 
 
@@ -89,7 +88,16 @@ def test_trip_id_null_field_does_not_collide(spark):
     assert with_trip_id(df, ("x", "y", "z")).select("trip_id").distinct().count() == 2
 
 
+def test_trip_id_murmur3_is_32_bit(spark):
+    df = parse_trip_times(trips(spark, [V, row(VendorID=2)]))
+    ids = [r["trip_id"] for r in with_trip_id_algo(df, "murmur3").collect()]
+    assert all(isinstance(i, int) and -(2**31) <= i < 2**31 for i in ids) and ids[0] != ids[1]
+
+
 def test_trip_id_ignores_non_key_fields(spark):
     ids = _ids(spark, [V, row(fare_amount=99.0, DOLocationID=7)])
     assert ids[0] == ids[1]
-    assert F is not None
+
+
+def with_trip_id_algo(df, algo):
+    return df.withColumn("trip_id", trip_id(df, list(TRIP_KEY), algo))

@@ -31,7 +31,13 @@ def limit_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
 def global_index(df: DataFrame, order: list[str], name: str = "row_index", parts: int | None = None) -> DataFrame:
     """0-based position of each row in ``order``, computed in parallel."""
     spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not parts:
+        # at least as many ranges as the input has splits, so a range stays split-sized
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        try:
+            parts = max(parts, df.rdd.getNumPartitions())
+        except Exception:  # no RDD view (remote session): keep the configured width
+            pass
     shared_dir(spark)
     ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).checkpoint(eager=True)
     tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())

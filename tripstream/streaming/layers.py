@@ -9,7 +9,9 @@ rejects watermarks on ``timestamp_ntz``) and back at the output.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as _dt
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripstream.config import DEFAULT_PARAMS, Params
@@ -34,6 +36,12 @@ from tripstream.sinks.upsert import KeyedUpsertTable
 EVENT_TIME = "_event_time"
 
 
+def batch_clock() -> Column:
+    """PRJ-7: one processing time per micro-batch, as a literal, so a recomputed
+    partition (lost cache block, retried task) carries the same ``flagged_at``."""
+    return F.lit(_dt.datetime.now(_dt.timezone.utc)).cast("timestamp")
+
+
 def as_instants(df: DataFrame, *cols: str) -> DataFrame:
     for c in cols:
         df = df.withColumn(c, to_instant(c))
@@ -116,7 +124,7 @@ def anomaly_batch_writer(
         b = batch.persist()
         stats = fare_stats(b, key, fare).persist()  # one row per borough of this batch
         try:
-            flagged = flag_fare_anomalies(b, key, fare, sigma, tail, materialize=False, stats=stats)
+            flagged = flag_fare_anomalies(b, key, fare, sigma, tail, flagged_at=batch_clock(), materialize=False, stats=stats)
             table.upsert(flagged, batch_id, order)
         finally:
             stats.unpersist()
@@ -164,7 +172,8 @@ def rolling_anomaly_batch_writer(
             )
             stats = trailing_hour_stats(m, key, hours).persist()
             try:
-                table.upsert(flag_against_hourly(b, stats, key, ts, fare, sigma), batch_id, order)
+                flagged = flag_against_hourly(b, stats, key, ts, fare, sigma).withColumn("flagged_at", batch_clock())
+                table.upsert(flagged, batch_id, order)
             finally:
                 stats.unpersist()
         finally:
