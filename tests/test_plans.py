@@ -43,10 +43,17 @@ def test_interval_join_keys_include_time_bucket(spark):
 
 def test_trailing_frame_partitioned_by_time_bucket(spark):
     df = spark.createDataFrame([("a", dt.datetime(2024, 1, 1), 1.0)], "k string, ts timestamp_ntz, v double")
-    s = plan(rolling_fare_stats(df, "k", "ts", "v"))
+    s = plan(rolling_fare_stats(df, "k", "ts", "v", strategy="halo"))
     assert "hashpartitioning(k#" in s and "_b#" in s.split("hashpartitioning(k#")[1].split(")")[0]
 
 
+def test_trailing_frame_prefix_windows_stay_inside_ranges(spark):
+    df = spark.createDataFrame([("a", dt.datetime(2024, 1, 1), 1.0)], "k string, ts timestamp_ntz, v double")
+    s = plan(rolling_fare_stats(df, "k", "ts", "v", strategy="prefix"))
+    windows = [ln for ln in s.splitlines() if "Window [" in ln and "sum(_n" in ln]
+    assert windows and all("_pid" in ln for ln in windows)
+
+
 def test_zone_dimension_is_broadcast(spark, sf_small):
     s = plan(E.queries()["zone_enrich"](spark, sf_small))
     assert s.count("BroadcastHashJoin") >= 2 and "LeftOuter" in s

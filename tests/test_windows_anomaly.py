@@ -52,7 +52,11 @@ def test_percentile_threshold(spark):
     assert fare_thresholds(df, "k", "f", 0.9).first().fare_threshold == 90.0
 
 
-def test_rolling_matches_brute_force(spark):
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("strategy", ["prefix", "halo"])
+def test_rolling_matches_brute_force(spark, strategy):
     rnd = random.Random(7)
     base = dt.datetime(2024, 1, 1)
     rows = []
@@ -61,10 +65,18 @@ def test_rolling_matches_brute_force(spark):
         t = base + dt.timedelta(seconds=rnd.randrange(0, 5 * 86400))
         rows.append((i, k, t, float(rnd.randrange(1, 10000)) / 100))
     rows.append((400, "A", rows[0][2], 3.0))  # a tie on the order key
+    rows += [(500 + i, "A", base + dt.timedelta(days=2), float(i)) for i in range(60)]  # hot (key, time) point
+    rows.append((600, "A", base + dt.timedelta(days=3), 7.0))  # exactly 24 h after the hot point
     df = spark.createDataFrame(rows, "id long, k string, ts timestamp_ntz, v double")
-    got = {r.id: (r.roll_n, r.roll_avg) for r in rolling_fare_stats(df, "k", "ts", "v", 86400).collect()}
+    got = {r.id: (r.roll_n, r.roll_avg, r.roll_std) for r in rolling_fare_stats(df, "k", "ts", "v", 86400, strategy).collect()}
     for i, k, t, _ in rows:
         frame = [v for (_, k2, t2, v) in rows if k2 == k and t - dt.timedelta(days=1) <= t2 <= t]
-        n, avg = got[i]
+        n, avg, std = got[i]
         assert n == len(frame)
-        assert abs(avg - sum(frame) / len(frame)) < 1e-9
+        mean = sum(frame) / len(frame)
+        assert abs(avg - mean) < 1e-9
+        if len(frame) > 1:
+            var = sum((x - mean) ** 2 for x in frame) / (len(frame) - 1)
+            assert abs(std - var ** 0.5) < 1e-6
+        else:
+            assert std is None
