@@ -12,12 +12,7 @@ from pyspark.sql import DataFrame
 
 from tripstream.config import DEFAULT_PARAMS
 from tripstream.operators.replay import cut_batches
-
-# Text form of timestamps in JSON landings: microseconds kept (Spark's default keeps milliseconds).
-JSON_TS_OPTIONS = {
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-}
+from tripstream.sources.streams import JSON_TS_OPTIONS
 
 
 def write_landing(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tripstream.sources.streams import JSON_TS_OPTIONS
+
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """SRC-7 (schema from the footer) / SRC-8 (explicit schema; absent columns read as null)."""
@@ -34,8 +36,8 @@ def read_csv_with_header(spark: SparkSession, path: str, schema: StructType) ->
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """SRC-9: JSON-lines directory with an explicit schema."""
-    return spark.read.schema(schema).json(path)
+    """SRC-9: JSON-lines directory with an explicit schema (microsecond timestamps)."""
+    return spark.read.schema(schema).options(**JSON_TS_OPTIONS).json(path)
 
 
 def sql_over_view(df: DataFrame, view: str, sql: str) -> DataFrame:

@@ -24,10 +24,10 @@ from tripstream.config import DEFAULT_PARAMS
 from tripstream.functions.derived import duration_minutes
 from tripstream.operators.dedup import dedup_with_watermark, dedup_within_watermark
 from tripstream.operators.matching import interval_join
-from tripstream.operators.replay import cut_batches
+from tripstream.operators.replay import cut_batches, impute_zone_ids, limit_rows, zone_pool
 from tripstream.operators.windows import revenue_by_window
-from tripstream.plans.catalog import EVENT_ORDER
-from tripstream.schemas import PICKUP, TRIP_CORE_SCHEMA
+from tripstream.plans.catalog import EVENT_ORDER, TABLE_TRIP_SECONDS, q_silver
+from tripstream.schemas import PICKUP, SILVER_SCHEMA, TRIP_CORE_SCHEMA
 from tripstream.session import work_path
 from tripstream.sinks.landing import write_files, write_landing
 from tripstream.sinks.tables import exactly_once_audit, with_date
@@ -255,9 +255,6 @@ def q_completed_trips_stream(spark, d):
     The shared tables' dates are whole days, so the match window (and both
     watermarks) is 30 days here instead of 3 hours.
     """
-    from tripstream.plans.catalog import TABLE_TRIP_SECONDS, q_silver
-    from tripstream.schemas import SILVER_SCHEMA
-
     silver = work_path(spark, "silver")
     q_silver(spark, d).write.parquet(silver)
     params = P.with_(max_trip_seconds=TABLE_TRIP_SECONDS, completed_watermark="30 days")
@@ -272,8 +269,6 @@ def q_simulator_batches(spark, d):
     """The replay preparation as Spark jobs: sort by pickup (SRT-1), cap (LIM-1),
     fill missing zone ids from the pool (SET-1, PRJ-10), cut into 500-row
     batches dropping the short tail as the reference does (SRT-2)."""
-    from tripstream.operators.replay import impute_zone_ids, limit_rows, zone_pool
-
     raw = B.raw_trips(spark, d)
     order = [PICKUP, "VendorID", "PULocationID", "tpep_dropoff_datetime", "DOLocationID", "fare_amount",
              "total_amount", "trip_distance", "passenger_count", "tip_amount"]
