@@ -116,3 +116,11 @@ def test_stream_join_multi_trigger_evicts_state(spark, sf_small):
     assert len(progress) >= 10
     state_rows = [pr["stateOperators"][0]["numRowsTotal"] for pr in progress if pr.get("stateOperators")]
     assert max(state_rows) < ev.count() // 2
+
+
+def test_progress_recorder_sees_every_trigger(spark, sf_small):
+    m = E.queries()["progress_metrics"](spark, sf_small)
+    rows = m.collect()
+    assert len(rows) >= 1
+    assert sum(r.numInputRows for r in rows) == spark.read.parquet(f"{sf_small}/events.parquet").count()
+    assert all(r.triggerExecution_ms > 0 for r in rows)

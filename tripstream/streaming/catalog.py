@@ -35,7 +35,13 @@ from tripstream.sinks.upsert import KeyedUpsertTable
 from tripstream.sources import bindings as B
 from tripstream.sources.streams import json_file_stream, table_stream
 from tripstream.streaming import layers as L
-from tripstream.streaming.runner import await_done, progress_table, run_to_table, start_foreach_batch, start_to_table
+from tripstream.streaming.runner import (
+    ProgressRecorder,
+    await_done,
+    run_to_table,
+    start_foreach_batch,
+    start_to_table,
+)
 
 P = DEFAULT_PARAMS
 # Rows per landing file for the registered runs (the reference's simulator
@@ -197,14 +203,21 @@ def q_anomaly_upsert_stream(spark, d):
 
 
 def q_progress_metrics(spark, d):
-    """SNK-11: per-trigger progress of a Bronze run, stored as a table (rows-only check)."""
+    """SNK-11: per-trigger progress of a Bronze run, recorded by a query listener into a table
+    (rows-only check: one row per trigger)."""
     land = _land_events(spark, d, fmt="json")
     out, ck = work_path(spark, "bronze"), work_path(spark, "ckpt")
     src = json_file_stream(spark, land, _events_schema(spark, d), P.bronze_files_per_trigger)
-    q = await_done(start_to_table(src.drop("batch_no"), out, ck))
+    rec = ProgressRecorder()
+    spark.streams.addListener(rec)
+    try:
+        q = await_done(start_to_table(src.drop("batch_no"), out, ck))
+        rec.wait_terminated(q)
+    finally:
+        spark.streams.removeListener(rec)
     metrics_path = work_path(spark, "metrics")
-    progress_table(spark, q).write.mode("append").parquet(metrics_path)
-    return spark.read.parquet(metrics_path)
+    rec.flush(spark, metrics_path)
+    return spark.read.parquet(metrics_path).filter(F.col("query_id") == str(q.id)).drop("query_id", "query_name")
 
 
 def q_schema_evolution(spark, d):

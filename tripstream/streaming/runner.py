@@ -8,8 +8,10 @@ caller decides how to wait (``awaitAnyTermination`` over all layers).
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
 def _writer(df: DataFrame, ckpt: str, mode: str, trigger: str | None, name: str | None):
@@ -65,6 +67,61 @@ PROGRESS_FIELDS = (
 )
 
 
+PROGRESS_SCHEMA = (
+    "query_id string, query_name string, batchId long, numInputRows long, "
+    "inputRowsPerSecond double, processedRowsPerSecond double, triggerExecution_ms long"
+)
+
+
+class ProgressRecorder(StreamingQueryListener):
+    """SNK-11 for long runs: every progress event of every query, not only the
+    last ``spark.sql.streaming.numRecentProgressUpdates`` kept by ``recentProgress``.
+
+    Events arrive on the listener bus (driver side, one small row per
+    trigger); ``flush`` appends what has arrived to a table.
+    """
+
+    def __init__(self):
+        self._rows: list[tuple] = []
+        self._done: set[str] = set()
+        self._lock = threading.Lock()
+        self._cv = threading.Condition(self._lock)
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        dur = p.durationMs or {}
+        row = (
+            str(p.id), p.name, int(p.batchId), int(p.numInputRows or 0),
+            float(p.inputRowsPerSecond or 0.0), float(p.processedRowsPerSecond or 0.0),
+            int(dur.get("triggerExecution", 0) or 0),
+        )
+        with self._lock:
+            self._rows.append(row)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        with self._cv:
+            self._done.add(str(event.id))
+            self._cv.notify_all()
+
+    def wait_terminated(self, q: StreamingQuery, timeout_s: float = 60.0) -> None:
+        """Block until the bus has delivered ``q``'s termination (so all its progress)."""
+        with self._cv:
+            self._cv.wait_for(lambda: str(q.id) in self._done, timeout_s)
+
+    def flush(self, spark: SparkSession, path: str) -> int:
+        with self._lock:
+            rows, self._rows = self._rows, []
+        if rows:
+            spark.createDataFrame(rows, PROGRESS_SCHEMA).write.mode("append").parquet(path)
+        return len(rows)
+
+
 def progress_table(spark: SparkSession, q: StreamingQuery) -> DataFrame:
     """SNK-11: one row per finished trigger from ``recentProgress``."""
     rows = []
