@@ -40,6 +40,8 @@ class Params:
     max_trip_seconds: int = 3 * 3600
     # largest dimension we are willing to broadcast (rows); beyond it the join shuffles
     broadcast_row_cap: int = 100_000
+    # keyed upsert table: write a base snapshot every this many micro-batches (ours)
+    upsert_compact_every: int = 20
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

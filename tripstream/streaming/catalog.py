@@ -193,7 +193,7 @@ def q_anomaly_upsert_stream(spark, d):
     """SNK-5..8, STR-13: one landing file per micro-batch; per-batch stats; keyed upsert."""
     land = _land_events(spark, d)
     s = table_stream(spark, land, _events_schema(spark, d), "parquet", 1)
-    table = KeyedUpsertTable(spark, work_path(spark, "anomalies"), ["event_id"])
+    table = KeyedUpsertTable(spark, work_path(spark, "anomalies"), ["event_id"], compact_every=P.upsert_compact_every)
     fn = L.anomaly_batch_writer(table, "event_type", "value", P.fare_sigma, order=["ts"])
     await_done(start_foreach_batch(s, fn, work_path(spark, "ckpt")))
     cur = table.read()
@@ -294,7 +294,7 @@ def q_anomaly_rolling_stream(spark, d):
     """AGG-6 (stream): trailing-24 h per-type statistics from hourly moments, keyed upsert of flags."""
     land = _land_events(spark, d)
     s = table_stream(spark, land, _events_schema(spark, d), "parquet", None).drop("batch_no")
-    table = KeyedUpsertTable(spark, work_path(spark, "anomalies"), ["event_id"])
+    table = KeyedUpsertTable(spark, work_path(spark, "anomalies"), ["event_id"], compact_every=P.upsert_compact_every)
     fn = L.rolling_anomaly_batch_writer(work_path(spark, "moments"), table, "event_type", "ts", "value", P.fare_sigma, 24, ["ts"])
     await_done(start_foreach_batch(s, fn, work_path(spark, "ckpt")))
     cur = table.read()
