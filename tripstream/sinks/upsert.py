@@ -25,7 +25,9 @@ interface runs a Delta MERGE instead.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -66,25 +68,35 @@ class KeyedUpsertTable:
         return f"{self.path}/_log"
 
     def upsert(self, df: DataFrame, batch_id: int, order: list[str] | None = None) -> bool:
-        """Upsert one batch; returns False (and writes nothing) for an empty batch (SNK-8)."""
-        src = dedup_first(df, self.keys, order or [c for c in df.columns if c not in self.keys][:1]).persist()
-        try:
-            if src.isEmpty():
-                return False
-            if self.use_delta:
+        """Upsert one batch; returns False for an empty batch, which writes no data file (SNK-8).
+
+        The row count is observed inside the write job itself (no separate
+        emptiness job, no cached copy of the batch): under dynamic partition
+        overwrite an empty batch creates no partition.
+        """
+        src = dedup_first(df, self.keys, order or [c for c in df.columns if c not in self.keys][:1])
+        if self.use_delta:  # pragma: no cover - needs delta
+            src = src.persist()
+            try:
+                if src.isEmpty():
+                    return False
                 self._merge_delta(src)
-            else:
-                (
-                    src.withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long"))
-                    .write.mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy(BATCH_COL)
-                    .parquet(self.path)
-                )
-                self._maybe_compact(int(batch_id))
-            return True
-        finally:
-            src.unpersist()
+                return True
+            finally:
+                src.unpersist()
+        obs = Observation(f"upsert_{uuid.uuid4().hex}")
+        (
+            src.observe(obs, F.count(F.lit(1)).alias("rows"))
+            .withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BATCH_COL)
+            .parquet(self.path)
+        )
+        if not obs.get["rows"]:
+            return False
+        self._maybe_compact(int(batch_id))
+        return True
 
     def latest_base(self) -> int | None:
         """Batch id of the newest committed base snapshot (None before the first)."""
