@@ -26,9 +26,10 @@ from tripstream.operators.replay import cut_batches, impute_zone_ids, observed_z
 from tripstream.operators.skew import salted_trip_totals
 from tripstream.operators.windows import revenue_by_window, volume_by_sliding_window, volume_matrix
 from tripstream.plans.layers import silver_batch
-from tripstream.schemas import PICKUP
+from tripstream.schemas import PICKUP, TRIP_CORE_SCHEMA, ZONE_SCHEMA
+from tripstream.session import work_path
 from tripstream.sources import bindings as B
-from tripstream.sources.tables import sql_over_view
+from tripstream.sources.tables import read_csv_with_header, read_dimension_csv, read_json, sql_over_view
 
 P = DEFAULT_PARAMS
 # The order/ship dates of the shared tables are whole days, so trips are
@@ -57,6 +58,28 @@ def q_dedup_batch(spark, d):
     return dedup_first(apply_quality_filters(B.raw_trips(spark, d)), list(TRIP_KEY), [PICKUP])
 
 
+def q_zone_enrich_csv(spark, d):
+    """SRC-5: the zone dimension landed as CSV with a heading line, read back typed, then JON-1/2."""
+    path = work_path(spark, "zones_csv")
+    B.zones(spark, d).write.option("header", True).csv(path)
+    zones = read_dimension_csv(spark, path, ZONE_SCHEMA)
+    return enrich_with_zones(apply_quality_filters(B.raw_trips(spark, d)), zones)
+
+
+def q_quality_filters_csv(spark, d):
+    """SRC-6: raw trips landed as CSV with a header, read back with the header checked by name."""
+    path = work_path(spark, "trips_csv")
+    B.raw_trips(spark, d).write.option("header", True).csv(path)
+    return apply_quality_filters(read_csv_with_header(spark, path, TRIP_CORE_SCHEMA))
+
+
+def q_quality_filters_json(spark, d):
+    """SRC-9: raw trips landed as a JSON-lines directory, read back with the explicit schema."""
+    path = work_path(spark, "trips_json")
+    B.raw_trips(spark, d).write.json(path)
+    return apply_quality_filters(read_json(spark, path, TRIP_CORE_SCHEMA))
+
+
 def q_silver(spark, d):
     return _silver(spark, d)
 
@@ -186,6 +209,9 @@ BATCH_QUERIES = {
     "heatmap_pivot": q_heatmap_pivot,
     "quality_filters": q_quality_filters,
     "zone_enrich": q_zone_enrich,
+    "zone_enrich_csv": q_zone_enrich_csv,
+    "quality_filters_csv": q_quality_filters_csv,
+    "quality_filters_json": q_quality_filters_json,
     "revenue_per_mile": q_revenue_per_mile,
     "dedup_batch": q_dedup_batch,
     "silver": q_silver,

@@ -186,6 +186,10 @@ BATCH_ORACLE = {
     "heatmap_pivot": _heatmap(),
     "quality_filters": f"{_with(RAW, QUALITY)} SELECT * FROM quality",
     "zone_enrich": f"{_with(RAW, ZONES, QUALITY)} {_enriched('quality')}",
+    # the same results, with the input landed as CSV / JSON files first (SRC-5, SRC-6, SRC-9)
+    "zone_enrich_csv": f"{_with(RAW, ZONES, QUALITY)} {_enriched('quality')}",
+    "quality_filters_csv": f"{_with(RAW, QUALITY)} SELECT * FROM quality",
+    "quality_filters_json": f"{_with(RAW, QUALITY)} SELECT * FROM quality",
     "revenue_per_mile": f"""{_with(RAW, QUALITY)}
 SELECT *, CASE WHEN trip_distance <> 0 THEN total_amount / trip_distance END AS revenue_per_mile FROM quality""",
     "dedup_batch": f"{_with(RAW, QUALITY, DEDUP)} SELECT * FROM dedup",
