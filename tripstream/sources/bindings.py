@@ -21,6 +21,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripstream.config import DEFAULT_PARAMS
+from tripstream.operators.enrich import checked_broadcast
+
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -55,7 +58,8 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone dimension: LocationID=n_nationkey, Zone=n_name, Borough=r_name."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left").select(
+    r = checked_broadcast(r, DEFAULT_PARAMS.broadcast_row_cap)
+    return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
         F.col("n_nationkey").alias("LocationID"),
         F.col("r_name").alias("Borough"),
         F.col("n_name").alias("Zone"),
