@@ -4,14 +4,24 @@ Each batch becomes exactly one file under ``batch_no=<n>/``: rows are
 shuffled by batch number (every row of a batch lands in one task) and sorted
 inside the task, so a file stream with ``maxFilesPerTrigger=1`` sees one
 landing batch per micro-batch.
+
+A file stream takes files oldest first (by modification time), and one
+parallel write gives its files no order. ``wave_files=k`` lands the batches
+in order: they are staged once (partitioned by batch number), then copied
+to the landing in sequential waves of ``k`` batches, each wave reading only
+its own staged partitions. Every file of wave ``w + 1`` is newer than every
+file of wave ``w``, so a stream reading ``k`` files per trigger sees exactly
+one wave per trigger, in event order.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tripstream.config import DEFAULT_PARAMS
 from tripstream.operators.replay import cut_batches
+from tripstream.session import work_path
 from tripstream.sources.streams import JSON_TS_OPTIONS
 
 
@@ -23,10 +33,27 @@ def write_landing(
     fmt: str = "json",
     drop_tail: bool = False,
     mode: str = "errorifexists",
+    wave_files: int | None = None,
 ) -> DataFrame:
     """Write ``df`` as numbered batches; returns the batched rows (with ``batch_no``)."""
     batched = cut_batches(df, order, batch_rows, drop_tail)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not wave_files:
+        _write_batches(batched, path, order, fmt, mode)
+        return batched
+    spark = df.sparkSession
+    staging = work_path(spark, "landing-staging")
+    _write_batches(batched, staging, order, "parquet", "errorifexists")
+    staged = spark.read.parquet(staging)
+    n_batches = staged.agg(F.max("batch_no")).first()[0]
+    n_batches = -1 if n_batches is None else int(n_batches)
+    for i, lo in enumerate(range(0, n_batches + 1, wave_files)):
+        wave = staged.filter(F.col("batch_no").between(lo, lo + wave_files - 1))  # partition pruning
+        _write_batches(wave, path, order, fmt, mode if i == 0 else "append")
+    return batched
+
+
+def _write_batches(batched: DataFrame, path: str, order: list[str], fmt: str, mode: str) -> None:
+    parts = int(batched.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         batched.repartition(parts, "batch_no")
         .sortWithinPartitions("batch_no", *order)
@@ -36,7 +63,6 @@ def write_landing(
         .format(fmt)
         .save(path)
     )
-    return batched
 
 
 def write_files(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append", partition_by=None) -> None:

@@ -50,9 +50,9 @@ LANDING_ROWS = 2000
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
-def _land_events(spark, d, fmt="parquet", rows=LANDING_ROWS, path=None, mode="errorifexists"):
+def _land_events(spark, d, fmt="parquet", rows=LANDING_ROWS, path=None, mode="errorifexists", wave_files=None):
     path = path or work_path(spark, "landing")
-    write_landing(B.events(spark, d), path, EVENT_ORDER, rows, fmt=fmt, mode=mode)
+    write_landing(B.events(spark, d), path, EVENT_ORDER, rows, fmt=fmt, mode=mode, wave_files=wave_files)
     return path
 
 
@@ -105,6 +105,17 @@ def q_revenue_hourly_stream(spark, d):
     return _read_back(spark, out)
 
 
+def q_revenue_hourly_stream_paced(spark, d):
+    """STR-2/8/9 over many triggers: the landing arrives in event order, in waves of the
+    downstream rate (5 files per trigger), so the watermark advances trigger by trigger
+    and each window is emitted once it closes. No row arrives behind the watermark."""
+    k = P.table_files_per_trigger
+    land = _land_events(spark, d, wave_files=k)
+    out, ck = work_path(spark, "gold"), work_path(spark, "ckpt")
+    run_to_table(_revenue_events(_event_stream(spark, d, land, max_files=k)), out, ck)
+    return _read_back(spark, out)
+
+
 def q_volume_sliding_stream(spark, d):
     land = _land_events(spark, d)
     out, ck = work_path(spark, "gold"), work_path(spark, "ckpt")
@@ -310,6 +321,7 @@ STREAM_QUERIES = {
     "bronze_roundtrip": q_bronze_roundtrip,
     "exactly_once_audit": q_exactly_once_audit,
     "revenue_hourly_stream": q_revenue_hourly_stream,
+    "revenue_hourly_stream_paced": q_revenue_hourly_stream_paced,
     "volume_sliding_stream": q_volume_sliding_stream,
     "gold_partitioned": q_gold_partitioned,
     "dedup_stream": q_dedup_stream,
