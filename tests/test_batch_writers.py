@@ -66,3 +66,25 @@ def test_lookup_refreshed_between_batches(spark):
     fn(batch, 1)
     got = {r.enrich_batch: r.pickup_borough for r in spark.read.parquet(out).collect()}
     assert got == {0: "Old", 1: "New"}
+
+
+def test_rolling_writer_compaction_matches(spark, sf_small):
+    from pyspark.sql import functions as F
+
+    from tripstream.operators.replay import cut_batches
+    from tripstream.sources import bindings as B
+
+    ev = cut_batches(B.events(spark, sf_small), ["ts", "event_id"], 200).persist()  # 5 batches
+    runs = {}
+    for k in (None, 2):
+        t = KeyedUpsertTable(spark, work_path(spark, "anom"), ["event_id"])
+        moments = work_path(spark, "moments")
+        fn = rolling_anomaly_batch_writer(moments, t, "event_type", "ts", "value", 1.5, 24, ["ts"], compact_every=k)
+        for b in range(5):
+            fn(ev.filter(F.col("batch_no") == b).drop("batch_no"), b)
+        if k:
+            assert sorted(r.upto for r in spark.read.parquet(moments + "/_log").collect()) == [1, 3]
+            fn(ev.filter(F.col("batch_no") == 4).drop("batch_no"), 4)  # replay after compaction
+        runs[k] = sorted((r.event_id, r.value) for r in t.read().collect())
+    ev.unpersist()
+    assert runs[2] == runs[None] and runs[None]

@@ -306,7 +306,9 @@ def q_anomaly_rolling_stream(spark, d):
     land = _land_events(spark, d)
     s = table_stream(spark, land, _events_schema(spark, d), "parquet", None).drop("batch_no")
     table = KeyedUpsertTable(spark, work_path(spark, "anomalies"), ["event_id"], compact_every=P.upsert_compact_every)
-    fn = L.rolling_anomaly_batch_writer(work_path(spark, "moments"), table, "event_type", "ts", "value", P.fare_sigma, 24, ["ts"])
+    fn = L.rolling_anomaly_batch_writer(
+        work_path(spark, "moments"), table, "event_type", "ts", "value", P.fare_sigma, 24, ["ts"], compact_every=P.upsert_compact_every
+    )
     await_done(start_foreach_batch(s, fn, work_path(spark, "ckpt")))
     cur = table.read()
     if cur is None:

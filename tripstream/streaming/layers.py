@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql.utils import AnalysisException
 from pyspark.sql import functions as F
 
 from tripstream.config import DEFAULT_PARAMS, Params
@@ -142,6 +143,7 @@ def rolling_anomaly_batch_writer(
     sigma: float = DEFAULT_PARAMS.fare_sigma,
     hours: int = 24,
     order: list[str] | None = None,
+    compact_every: int | None = None,
 ):
     """AGG-6 (stream): trailing-24 h statistics from hourly moments kept across micro-batches.
 
@@ -149,7 +151,41 @@ def rolling_anomaly_batch_writer(
     (dynamic overwrite): a replayed batch replaces its contribution instead
     of adding it twice. The merge reads contributions of batches <= N for the
     hours the batch can see, which parquet statistics narrow down.
+
+    ``compact_every=k``: moments are sums, so every k batches the
+    contributions so far are summed per (key, hour) into a base snapshot
+    ``_base/upto=<n>``, logged in ``_log`` once written. Later batches read
+    the newest logged base at or below their own id plus the partitions
+    after it, so a batch's read does not grow with the number of batches.
     """
+    base_path, log_path = f"{moments_path}/_base", f"{moments_path}/_log"
+    known: dict = {}
+
+    def logged_base(spark, upto: int):
+        try:
+            return spark.read.parquet(log_path).filter(F.col("upto") <= upto).agg(F.max("upto")).first()[0]
+        except AnalysisException:
+            return None
+
+    def contributions(spark, base, upto: int) -> DataFrame:
+        m = spark.read.parquet(moments_path).filter(F.col("moments_batch") <= upto)
+        if base is None:
+            return m.drop("moments_batch")
+        snap = spark.read.parquet(f"{base_path}/upto={base}")
+        return m.filter(F.col("moments_batch") > base).drop("moments_batch").unionByName(snap)
+
+    def maybe_compact(spark, batch_id: int) -> None:
+        if not compact_every:
+            return
+        last = known.get("base", -1)
+        if batch_id - (-1 if last is None else last) < compact_every:
+            return
+        summed = contributions(spark, last, batch_id).groupBy(key, "hour_idx").agg(
+            F.sum("m_n").alias("m_n"), F.sum("m_s1").alias("m_s1"), F.sum("m_s2").alias("m_s2")
+        )
+        summed.write.mode("overwrite").parquet(f"{base_path}/upto={batch_id}")
+        spark.createDataFrame([(int(batch_id),)], "upto long").coalesce(1).write.mode("append").parquet(log_path)
+        known["base"] = batch_id
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -166,9 +202,11 @@ def rolling_anomaly_batch_writer(
             span = b.agg(F.min(hour_index(ts)).alias("lo"), F.max(hour_index(ts)).alias("hi")).first()
             if span["lo"] is None:
                 return
-            m = spark.read.parquet(moments_path).filter(
-                (F.col("moments_batch") <= batch_id)
-                & F.col("hour_idx").between(span["lo"] - (hours - 1), span["hi"])
+            if "base" not in known:  # once per writer (and after a restart)
+                known["base"] = logged_base(spark, batch_id)
+            base = known["base"]
+            m = contributions(spark, base, batch_id).filter(
+                F.col("hour_idx").between(span["lo"] - (hours - 1), span["hi"])
             )
             stats = trailing_hour_stats(m, key, hours).persist()
             try:
@@ -176,6 +214,7 @@ def rolling_anomaly_batch_writer(
                 table.upsert(flagged, batch_id, order)
             finally:
                 stats.unpersist()
+            maybe_compact(spark, batch_id)
         finally:
             b.unpersist()
 
