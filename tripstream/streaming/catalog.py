@@ -169,8 +169,8 @@ def q_dedup_then_window_stream(spark, d):
     return _read_back(spark, out)
 
 
-def _event_side_streams(spark, d, land):
-    e = _event_stream(spark, d, land).select("event_id", "ts", "user_id")
+def _event_side_streams(spark, d, land, max_files=None):
+    e = _event_stream(spark, d, land, max_files).select("event_id", "ts", "user_id")
     p = e.filter(F.col("event_id") % 2 == 0).select(F.col("event_id").alias("pickup_id"), F.col("ts").alias("pickup_ts"), "user_id")
     q = e.filter(F.col("event_id") % 2 == 1).select(F.col("event_id").alias("dropoff_id"), F.col("ts").alias("dropoff_ts"), "user_id")
     p = L.as_instants(p, "pickup_ts").withWatermark("pickup_ts", P.completed_watermark)
@@ -189,6 +189,19 @@ def q_event_matching_stream(spark, d):
     return _read_back(spark, out)
 
 
+def q_event_matching_stream_paced(spark, d):
+    """JON-4 over many triggers: events land in event order, 5 files per trigger, so join
+    state is evicted trigger by trigger behind the watermark while every match is kept."""
+    k = P.table_files_per_trigger
+    land = _land_events(spark, d, wave_files=k)
+    p, q = _event_side_streams(spark, d, land, max_files=k)
+    j = L.as_wall_clock(interval_join(p, q, "user_id", "pickup_ts", "dropoff_ts", 0, P.max_trip_seconds), "pickup_ts", "dropoff_ts")
+    j = j.withColumn("duration_minutes", duration_minutes("pickup_ts", "dropoff_ts"))
+    out, ck = work_path(spark, "completed"), work_path(spark, "ckpt")
+    run_to_table(j, out, ck)
+    return _read_back(spark, out)
+
+
 def q_event_open_stream(spark, d):
     """JON-6 (stream): pickups with no dropoff, emitted once the watermark passes their range."""
     land = _land_events(spark, d)
@@ -330,6 +343,7 @@ STREAM_QUERIES = {
     "dedup_keyed_stream": q_dedup_keyed_stream,
     "dedup_then_window_stream": q_dedup_then_window_stream,
     "event_matching_stream": q_event_matching_stream,
+    "event_matching_stream_paced": q_event_matching_stream_paced,
     "event_open_stream": q_event_open_stream,
     "anomaly_upsert_stream": q_anomaly_upsert_stream,
     "progress_metrics": q_progress_metrics,

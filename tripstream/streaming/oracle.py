@@ -97,3 +97,6 @@ SELECT event_id, ts, user_id, event_type, value,
 FROM b""",
     "medallion_revenue_stream": MEDALLION,
 }
+
+# the same matches when the landing arrives in event order over many triggers (no row is late)
+STREAM_ORACLE["event_matching_stream_paced"] = STREAM_ORACLE["event_matching_stream"]
