@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripstream.llm import decontaminate, language, packing
+from tripstream.llm import decontaminate, language, packing, simhash
 from tripstream.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.report(table(spark, sf_dir, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -23,5 +27,6 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_language": op6_language,
+    "op8_simhash": op8_simhash,
     "op9_decontaminate": op9_decontaminate,
 }
