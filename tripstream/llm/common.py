@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +40,11 @@ def ascii_lower(col):
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def extended(batch: pa.RecordBatch, keep: list[str], **new: pa.Array) -> pa.RecordBatch:
+    """The columns of ``keep`` as they are (Arrow keeps nulls and long ids exact) and the new ones."""
+    return pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + list(new.values()), names=[*keep, *new])
+
+
 def ddl(schema) -> str:
-    """Schema of a frame as field DDL, for mapInPandas."""
+    """Schema of a frame as field DDL, for mapInArrow."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -27,11 +27,11 @@ import math
 from types import SimpleNamespace
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstream.llm.common import carried, ddl
+from tripstream.llm.common import carried, ddl, extended
 
 WINDOW = 10
 BLOCK_CHARS = 16_000_000
@@ -224,24 +224,21 @@ def flagged(docs: DataFrame, items: DataFrame, *, text: str = "text", item_id: s
 
         def search(batches, phrases=phrases, last=last):
             p = SimpleNamespace(**phrases.value)
-            for pdf in batches:
-                found = _answers(pdf[key], p, slop, window)
+            strings = pa.list_(pa.string())
+            for batch in batches:
+                found = _answers(batch.column(key).to_pylist(), p, slop, window)
                 ids, at = [], []
-                for old, old_at, (_, exact, near) in zip(pdf["_ids"], pdf["_at"], found):
-                    ids.append(([] if old is None else list(old)) + [p.item_ids[k] for k, _, _ in exact] + [p.item_ids[k] for k in near])
-                    at.append(([] if old_at is None else list(old_at)) + [x for _, a, b in exact for x in (a, b)] + [-1, -1] * len(near))
+                for old, old_at, (_, exact, near) in zip(batch.column("_ids").to_pylist(), batch.column("_at").to_pylist(), found):
+                    ids.append((old or []) + [p.item_ids[k] for k, _, _ in exact] + [p.item_ids[k] for k in near])
+                    at.append((old_at or []) + [x for _, a, b in exact for x in (a, b)] + [-1, -1] * len(near))
                 if not last:
-                    pdf["_ids"], pdf["_at"] = ids, at
-                    yield pdf
+                    yield extended(batch, inner, _ids=pa.array(ids, strings), _at=pa.array(at, pa.list_(pa.int32())))
                     continue
-                done = pdf[kept_columns].copy()
-                summed = [_summed(i, a) for i, a in zip(ids, at)]
-                done["_n_words"] = np.array([n for n, _, _ in found], np.int64)
-                for k, c in enumerate(("_n_hit", "_items", "_near", "_spans")):
-                    done[c] = pd.Series([x[k] for x in summed], index=done.index, dtype="int64" if c == "_n_hit" else object)
-                yield done
-
-        out = out.mapInPandas(search, f"{kept_ddl}, {FOUND}" if last else ddl(out.schema))
+                hit, items, near, spans = zip(*[_summed(i, a) for i, a in zip(ids, at)]) if ids else ((),) * 4
+                yield extended(batch, kept_columns, _n_words=pa.array([n for n, _, _ in found], pa.int64()), _n_hit=pa.array(hit, pa.int64()),
+                               _items=pa.array(items, strings), _near=pa.array(near, strings), _spans=pa.array(spans, pa.list_(pa.int32())))
+
+        out = out.mapInArrow(search, f"{kept_ddl}, {FOUND}" if last else ddl(out.schema))
     return out.toDF(*keep, *[c.split()[0] for c in FOUND.split(", ")])
 
 

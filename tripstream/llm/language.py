@@ -23,10 +23,11 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripstream.llm.common import carried, ddl
+from tripstream.llm.common import carried, ddl, extended
 
 UNKNOWN = "und"
 ORDERS = (4, 3, 2, 1)
@@ -162,13 +163,11 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text", keep: list[st
 
     def judged(batches):
         judge = Judge(Model.of(model_b.value))
-        for pdf in batches:
-            found = [judge.judge(t) for t in pdf[key]]
-            out = pdf[columns].copy()
-            out["_lang"], out["_score"] = [x for x, _ in found], np.array([s for _, s in found], float)
-            yield out
+        for batch in batches:
+            found = [judge.judge(t) for t in batch.column(key).to_pylist()]
+            yield extended(batch, columns, _lang=pa.array([x for x, _ in found], pa.string()), _score=pa.array([s for _, s in found], pa.float64()))
 
-    return frame.mapInPandas(judged, f"{ddl(kept.schema)}, _lang string, _score double").toDF(*keep, "_lang", "_score")
+    return frame.mapInArrow(judged, f"{ddl(kept.schema)}, _lang string, _score double").toDF(*keep, "_lang", "_score")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tripstream.llm import url_filter
+
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 OP9 = f"""
@@ -21,6 +23,53 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN per USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+_LOWER = "translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _terms(terms) -> str:
+    return " + ".join(f"CAST(regexp_matches(lowered, '(^|[^a-z0-9]){t}([^a-z0-9]|$)') AS INTEGER)" for t in terms)
+
+
+def _rules() -> str:
+    return ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in url_filter.RULES)
+
+
+OP2 = f"""
+WITH u AS (SELECT page_id, {_LOWER} AS lowered, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw FROM u),
+p AS (SELECT page_id, lowered, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
+r(rh, rp, rv) AS (VALUES {_rules()}),
+best AS (SELECT p.*, (SELECT arg_max(struct_pack(rule := rh || rp, verdict := rv), length(rh || rp)) FROM r
+                      WHERE (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)) AS won FROM p),
+c AS (SELECT *, CAST({_terms(url_filter.STRICT)} AS INTEGER) AS n_strict, CAST({_terms(url_filter.SOFT)} AS INTEGER) AS n_soft FROM best)
+SELECT page_id, host, path, won.rule AS rule, n_strict, n_soft,
+       coalesce(won.verdict, CASE WHEN n_strict > 0 OR n_soft >= {url_filter.LIMIT} THEN 'block' ELSE 'allow' END) AS verdict
+FROM c
+"""
+
+OP7 = """
+WITH v AS (SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) for x in embedding] AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+OP10 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS n, sha1(h) AS digest FROM p),
+m AS (SELECT digest, max(page_id) AS m, count(*) AS c FROM d WHERE n >= 1000 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, d.digest AS payload_digest,
+       CASE WHEN m.m IS NOT NULL AND m.m <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN m.m <> page_id THEN m.m END AS refers_to
+FROM d LEFT JOIN m ON m.digest = d.digest AND c > 1
+"""
+
 LLM_ORACLE = {
+    "op2_url_filter": OP2,
+    "op7_threshold_topk": OP7,
     "op9_decontaminate": OP9,
+    "op10_warc": OP10,
 }

@@ -23,11 +23,11 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripstream.llm.common import staged
+from tripstream.llm.common import ddl, extended, staged
 
 SIZE = 2048
 CLOSING = 0
@@ -75,26 +75,30 @@ def pieces(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size:
     """One row per piece: doc_id, piece, start, length, ids_crc32 (and the ids themselves)."""
     path = vocabulary or vocabulary_path()
     end = np.array([closing], "<u4").tobytes()
+    schema = PIECES + (", ids array<bigint>" if with_ids else "")
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def cut(batches):
         cache = WordCache(path)
-        for pdf in batches:
-            rows, ids = [], []
-            for d, t in zip(pdf["doc_id"], pdf["text"]):
-                own = (cache.ids(t) if isinstance(t, str) else b"") + end
+        for batch in batches:
+            row, ids, number, start, length, crc = [], [], [], [], [], []
+            for i, t in enumerate(batch.column("text").to_pylist()):
+                own = (cache.ids(t) if t is not None else b"") + end
                 for k, at in enumerate(range(0, len(own), 4 * size)):
                     part = own[at : at + 4 * size]
-                    rows.append((d, k, at // 4, len(part) // 4, zlib.crc32(part)))
+                    row.append(i)
+                    number.append(k)
+                    start.append(at // 4)
+                    length.append(len(part) // 4)
+                    crc.append(zlib.crc32(part))
                     if with_ids:
                         ids.append(np.frombuffer(part, "<u4").astype(np.int64))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            if with_ids:
-                out["ids"] = ids
-            yield out
+            out = [batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(number, pa.int32())]
+            out += [pa.array(x, pa.int64()) for x in (start, length, crc)] + ([pa.array(ids, pa.list_(pa.int64()))] if with_ids else [])
+            yield pa.RecordBatch.from_arrays(out, names=names)
 
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return source.mapInPandas(cut, PIECES + (", ids array<bigint>" if with_ids else ""))
+    return source.mapInArrow(cut, schema)
 
 
 @dataclass
@@ -152,14 +156,15 @@ def place(cut: DataFrame, *, size: int = SIZE, salts: int = SALTS) -> DataFrame:
     counts = staged(counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))), "packing-counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
     runs = spark.sparkContext.broadcast(_runs(plan(histogram, size)))
+    columns = cut.columns
     order = Window.partitionBy("length", "_s").orderBy("doc_id", "piece", "ids_crc32")
     ranked = salted.withColumn("_rank", F.row_number().over(order)).join(counts, ["length", "_s"])
     ranked = ranked.select(*cut.columns, (F.col("_rank") - 1 + F.col("_before")).alias("_rank"))
 
     def slots(batches):
-        for pdf in batches:
-            length, rank = pdf["length"].to_numpy(), pdf.pop("_rank").to_numpy()
-            sequence, offset = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
+        for batch in batches:
+            length, rank = batch.column("length").to_numpy(), batch.column("_rank").to_numpy()
+            sequence, offset = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
             for n in np.unique(length):
                 at = np.flatnonzero(length == n)
                 start, first, fit, off = runs.value[int(n)]
@@ -167,11 +172,9 @@ def place(cut: DataFrame, *, size: int = SIZE, salts: int = SALTS) -> DataFrame:
                 inside = rank[at] - start[k]
                 sequence[at] = first[k] + inside // fit[k]
                 offset[at] = off[k] + inside % fit[k] * n
-            pdf["sequence_id"], pdf["offset"] = sequence, offset
-            yield pdf
+            yield extended(batch, columns, sequence_id=pa.array(sequence), offset=pa.array(offset))
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema.fields)
-    return ranked.mapInPandas(slots, f"{schema}, sequence_id bigint, offset bigint")
+    return ranked.mapInArrow(slots, f"{ddl(cut.schema)}, sequence_id bigint, offset bigint")
 
 
 def pack(docs: DataFrame, *, size: int = SIZE, salts: int = SALTS, **options) -> DataFrame:

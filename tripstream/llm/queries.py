@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripstream.llm import decontaminate, language, packing, simhash
+from tripstream.llm import decontaminate, language, packing, simhash, threshold_topk, url_filter, warc
 from tripstream.llm.common import table
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -16,6 +20,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.report(table(spark, sf_dir, "documents"))
 
 
+def op7_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threshold_topk.report(table(spark, sf_dir, "embeddings"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
@@ -24,9 +32,16 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
 LLM_QUERIES = {
+    "op2_url_filter": op2_url_filter,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_language": op6_language,
+    "op7_threshold_topk": op7_threshold_topk,
     "op8_simhash": op8_simhash,
     "op9_decontaminate": op9_decontaminate,
+    "op10_warc": op10_warc,
 }

@@ -25,10 +25,11 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstream.llm.common import carried, ddl, staged
+from tripstream.llm.common import carried, ddl, extended, staged
 from tripstream.llm.components import stars
 
 WORDS = 3
@@ -63,12 +64,11 @@ def fingerprints(docs: DataFrame, *, text: str = "text", keep: list[str] | None
     columns, key = kept.columns, inner[names.index(text)]
 
     def run(batches):
-        for pdf in batches:
-            out = pdf[columns].copy()
-            out["_fp"] = np.array([fingerprint(t, words) for t in pdf[key]], np.uint64).view(np.int64)
-            yield out
+        for batch in batches:
+            prints = np.array([fingerprint(t, words) for t in batch.column(key).to_pylist()], np.uint64)
+            yield extended(batch, columns, _fp=pa.array(prints.view(np.int64)))
 
-    return frame.mapInPandas(run, f"{ddl(kept.schema)}, _fp bigint").toDF(*keep, "_fp")
+    return frame.mapInArrow(run, f"{ddl(kept.schema)}, _fp bigint").toDF(*keep, "_fp")
 
 
 def _masks(bits: int) -> list[int]:
