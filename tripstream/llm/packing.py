@@ -19,6 +19,7 @@ them gets which slot carries no meaning.
 
 from __future__ import annotations
 
+import re
 import zlib
 from dataclasses import dataclass
 
@@ -33,7 +34,9 @@ SIZE = 2048
 CLOSING = 0
 SALTS = 64
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
+WORDS_AT_ONCE = 20_000
+AT_ONCE = 2_000_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -44,30 +47,96 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+#: a part that is one run of letters, then sentence marks or nothing: two pre-tokens at most
+_PLAIN = re.compile(r"([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+
+
 class WordCache(dict):
     """Token ids (little-endian uint32 bytes) of the parts of a text between blanks.
 
     The vocabulary's pre-tokenizer never joins anything across white space, so a text's
-    ids are its parts' ids one after another, and each part needs encoding once. The
-    cache is emptied at ``limit`` parts; long parts are not kept.
+    ids are its parts' ids one after another, and each part needs encoding once. Unseen
+    parts that are plain words are encoded many at a time and told apart by the mark that
+    ends a word. The cache is emptied at ``limit`` parts; long parts are not kept.
     """
 
     def __init__(self, path: str, limit: int = CACHED_WORDS):
         super().__init__()
         from tokenizers import Tokenizer
 
-        self.encode, self.limit = Tokenizer.from_file(path).encode, limit
-
-    def __missing__(self, part: str) -> bytes:
-        ids = np.array(self.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) >= self.limit:
+        tokenizer = Tokenizer.from_file(path)
+        self.encode, self.limit = tokenizer.encode, limit
+        vocabulary = tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {"": b""}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def learn(self, parts: set[str]) -> None:
+        plain = {}
+        for part in parts:
+            found = _PLAIN.fullmatch(part.lower())
+            if found:
+                plain[part] = found.groups()
+            else:
+                self[part] = self._ids(part).tobytes()
+        fresh = list({w for w, _ in plain.values()} - self.words.keys())
+        for at in range(0, len(fresh), WORDS_AT_ONCE):
+            own = fresh[at : at + WORDS_AT_ONCE]
+            ids = self._ids(" ".join(own))
+            edges = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
+            if len(edges) != len(own) + 1:
+                raise ValueError("the vocabulary does not mark the ends of words")
+            whole = ids.tobytes()
+            self.words.update((w, whole[a:b]) for w, a, b in zip(own, edges, edges[1:]))
+        for marks in {m for _, m in plain.values()} - self.words.keys():
+            self.words[marks] = self._ids(marks).tobytes()
+        for part, (word, marks) in plain.items():
+            self[part] = self.words[word] + self.words[marks]
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        if len(self) + len(self.words) > self.limit:
             self.clear()
-        if len(part) <= 64:
-            self[part] = ids
-        return ids
-
-    def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+            self.words = {"": b""}
+        parts = [t.replace("\n", " ").split(" ") for t in texts]
+        fresh = set().union(*parts) - self.keys()
+        self.learn(fresh)
+        out = [b"".join(map(self.__getitem__, p)) for p in parts]
+        for part in fresh:
+            if len(part) > 64:
+                del self[part]
+        return out
+
+
+def _slices(text: str) -> list[str]:
+    """A text in pieces of about ``AT_ONCE`` characters, cut at blanks."""
+    out, at = [], 0
+    while len(text) - at > AT_ONCE:
+        cut = text.find(" ", at + AT_ONCE)
+        if cut < 0:
+            break
+        out.append(text[at:cut])
+        at = cut
+    return [*out, text[at:]]
+
+
+def token_ids(cache: WordCache, texts: list[str | None]):
+    """Ids of each text, in bounded runs."""
+    run, size = [], 0
+    for t in texts:
+        if t is not None and len(t) > AT_ONCE:
+            yield from cache.ids(run)
+            run, size = [], 0
+            yield b"".join(x for part in _slices(t) for x in cache.ids([part]))
+            continue
+        run.append(t or "")
+        size += len(run[-1])
+        if size > AT_ONCE:
+            yield from cache.ids(run)
+            run, size = [], 0
+    yield from cache.ids(run)
 
 
 def pieces(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size: int = SIZE,
@@ -82,8 +151,8 @@ def pieces(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size:
         cache = WordCache(path)
         for batch in batches:
             row, ids, number, start, length, crc = [], [], [], [], [], []
-            for i, t in enumerate(batch.column("text").to_pylist()):
-                own = (cache.ids(t) if t is not None else b"") + end
+            for i, own in enumerate(token_ids(cache, batch.column("text").to_pylist())):
+                own += end
                 for k, at in enumerate(range(0, len(own), 4 * size)):
                     part = own[at : at + 4 * size]
                     row.append(i)
