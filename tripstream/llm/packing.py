@@ -19,6 +19,8 @@ them gets which slot carries no meaning.
 
 from __future__ import annotations
 
+import gc
+import os
 import re
 import zlib
 from dataclasses import dataclass
@@ -34,7 +36,7 @@ SIZE = 2048
 CLOSING = 0
 SALTS = 64
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 600_000
+CACHED_WORDS = 1_000_000
 WORDS_AT_ONCE = 20_000
 AT_ONCE = 2_000_000
 
@@ -47,17 +49,18 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-#: a part that is one run of letters, then sentence marks or nothing: two pre-tokens at most
-_PLAIN = re.compile(r"([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+#: parts of these characters are cut into pre-tokens here: runs of letters, digits, runs of marks
+_PLAIN = re.compile(r"[!-&(-~\u00df-\u00f6\u00f8-\u00ff]+")
+_PRETOKEN = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
 
 class WordCache(dict):
     """Token ids (little-endian uint32 bytes) of the parts of a text between blanks.
 
     The vocabulary's pre-tokenizer never joins anything across white space, so a text's
-    ids are its parts' ids one after another, and each part needs encoding once. Unseen
-    parts that are plain words are encoded many at a time and told apart by the mark that
-    ends a word. The cache is emptied at ``limit`` parts; long parts are not kept.
+    ids are its parts' ids one after another, and each part needs encoding once. Pre-tokens
+    of unseen parts are encoded many at a time and told apart by the mark that ends a word.
+    The cache is emptied at ``limit`` entries; long parts are not kept.
     """
 
     def __init__(self, path: str, limit: int = CACHED_WORDS):
@@ -65,41 +68,41 @@ class WordCache(dict):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        self.encode, self.limit = tokenizer.encode, limit
+        self.encode, self.encode_batch, self.limit = tokenizer.encode, tokenizer.encode_batch_fast, limit
         vocabulary = tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {}
+        self[""] = b""
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.encode(text, add_special_tokens=False).ids, "<u4")
 
     def learn(self, parts: set[str]) -> None:
-        plain = {}
+        plain, words = [], self.words
         for part in parts:
-            found = _PLAIN.fullmatch(part.lower())
-            if found:
-                plain[part] = found.groups()
+            low = part.lower()
+            if _PLAIN.fullmatch(low) and "<|" not in low:
+                plain.append((part, _PRETOKEN.findall(low)))
             else:
                 self[part] = self._ids(part).tobytes()
-        fresh = list({w for w, _ in plain.values()} - self.words.keys())
+        fresh = list({w for _, cut in plain for w in cut} - words.keys())
         for at in range(0, len(fresh), WORDS_AT_ONCE):
             own = fresh[at : at + WORDS_AT_ONCE]
-            ids = self._ids(" ".join(own))
+            runs = [" ".join(own[k : k + 500]) for k in range(0, len(own), 500)]
+            ids = np.concatenate([np.array(e.ids, "<u4") for e in self.encode_batch(runs, add_special_tokens=False)])
             edges = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
             if len(edges) != len(own) + 1:
                 raise ValueError("the vocabulary does not mark the ends of words")
             whole = ids.tobytes()
-            self.words.update((w, whole[a:b]) for w, a, b in zip(own, edges, edges[1:]))
-        for marks in {m for _, m in plain.values()} - self.words.keys():
-            self.words[marks] = self._ids(marks).tobytes()
-        for part, (word, marks) in plain.items():
-            self[part] = self.words[word] + self.words[marks]
+            words.update([(w, whole[a:b]) for w, a, b in zip(own, edges, edges[1:])])
+        for part, cut in plain:
+            self[part] = words[cut[0]] if len(cut) == 1 else b"".join([words[w] for w in cut])
 
     def ids(self, texts: list[str]) -> list[bytes]:
         if len(self) + len(self.words) > self.limit:
             self.clear()
-            self.words = {"": b""}
+            self.words, self[""] = {}, b""
         parts = [t.replace("\n", " ").split(" ") for t in texts]
         fresh = set().union(*parts) - self.keys()
         self.learn(fresh)
@@ -148,7 +151,9 @@ def pieces(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size:
     names = [c.split()[0] for c in schema.split(", ")]
 
     def cut(batches):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         cache = WordCache(path)
+        gc.disable()  # only acyclic data here, and a lot of it: collections would walk the cache over and over
         for batch in batches:
             row, ids, number, start, length, crc = [], [], [], [], [], []
             for i, own in enumerate(token_ids(cache, batch.column("text").to_pylist())):
