@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripstream.llm import decontaminate, language, packing, simhash, threshold_topk, url_filter, warc
+from tripstream.llm import decontaminate, language, packing, pii, simhash, threshold_topk, url_filter, warc
 from tripstream.llm.common import table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
@@ -37,6 +41,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_pii": op1_pii,
     "op2_url_filter": op2_url_filter,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_language": op6_language,
