@@ -79,14 +79,18 @@ class WordCache(dict):
         return np.array(self.encode(text, add_special_tokens=False).ids, "<u4")
 
     def learn(self, parts: set[str]) -> None:
-        plain, words = [], self.words
-        for part in parts:
+        words = self.words
+        single = [(p, p.lower()) for p in parts if p.isascii() and p.isalpha()]
+        several = []
+        for part in parts.difference([p for p, _ in single]):
             low = part.lower()
             if _PLAIN.fullmatch(low) and "<|" not in low:
-                plain.append((part, _PRETOKEN.findall(low)))
+                several.append((part, _PRETOKEN.findall(low)))
             else:
                 self[part] = self._ids(part).tobytes()
-        fresh = list({w for _, cut in plain for w in cut} - words.keys())
+        fresh = {w for _, w in single}
+        fresh.update(*[cut for _, cut in several])
+        fresh = list(fresh - words.keys())
         for at in range(0, len(fresh), WORDS_AT_ONCE):
             own = fresh[at : at + WORDS_AT_ONCE]
             runs = [" ".join(own[k : k + 500]) for k in range(0, len(own), 500)]
@@ -96,8 +100,8 @@ class WordCache(dict):
                 raise ValueError("the vocabulary does not mark the ends of words")
             whole = ids.tobytes()
             words.update([(w, whole[a:b]) for w, a, b in zip(own, edges, edges[1:])])
-        for part, cut in plain:
-            self[part] = words[cut[0]] if len(cut) == 1 else b"".join([words[w] for w in cut])
+        self.update([(p, words[w]) for p, w in single])
+        self.update([(p, b"".join([words[w] for w in cut])) for p, cut in several])
 
     def ids(self, texts: list[str]) -> list[bytes]:
         if len(self) + len(self.words) > self.limit:
@@ -239,9 +243,10 @@ def place(cut: DataFrame, *, size: int = SIZE, salts: int = SALTS) -> DataFrame:
         for batch in batches:
             length, rank = batch.column("length").to_numpy(), batch.column("_rank").to_numpy()
             sequence, offset = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
-            for n in np.unique(length):
-                at = np.flatnonzero(length == n)
-                start, first, fit, off = runs.value[int(n)]
+            order = np.argsort(length, kind="stable")
+            for at in np.split(order, np.flatnonzero(np.diff(length[order])) + 1) if len(order) else []:
+                n = int(length[at[0]])
+                start, first, fit, off = runs.value[n]
                 k = np.searchsorted(start, rank[at], "right") - 1
                 inside = rank[at] - start[k]
                 sequence[at] = first[k] + inside // fit[k]
