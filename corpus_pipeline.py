@@ -8,8 +8,9 @@ and read back as the next stage's documents. All but the last return the columns
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripstream.llm import decontaminate, language, packing
+from tripstream.llm import decontaminate, language, packing, pii, simhash
 from tripstream.llm.common import staged, table
 
 
@@ -18,11 +19,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return language.kept(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays."""
+    return simhash.survivors(docs)
+
+
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts gives way to its kind in brackets; n_chars follows the text."""
+    return pii.redacted(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 tokens with their sequence and offset."""
     return packing.pack(docs)
@@ -30,7 +41,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language", identify_language),
+    ("near_copies", drop_near_copies),
     ("decontaminate", drop_benchmark_leaks),
+    ("personal_data", redact_personal_data),
     ("packing", pack),
 ]
 

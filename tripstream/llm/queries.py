@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripstream.llm import decontaminate, language, packing, pii, simhash, suffix_dedup, threshold_topk, url_filter, warc
+from tripstream.llm import compact_windows, decontaminate, language, packing, pii, simhash, suffix_dedup, threshold_topk, url_filter, warc
 from tripstream.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.report(table(spark, sf_dir, "documents"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ LLM_QUERIES = {
     "op1_pii": op1_pii,
     "op2_url_filter": op2_url_filter,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_compact_windows": op4_compact_windows,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_language": op6_language,
     "op7_threshold_topk": op7_threshold_topk,
