@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripstream.llm.common import carried, ddl, extended, staged
-from tripstream.llm.components import stars
+from tripstream.llm.components import labels, stars
 
 WORDS = 3
 SEED = 42
@@ -116,16 +116,10 @@ def linked(fps: np.ndarray, side: np.ndarray, bits: int, pivots: np.ndarray) ->
             i, j = i[keep], j[keep]
         keep = np.bitwise_count(fps[i] ^ fps[j]) <= bits
         i, j = i[keep], j[keep]
-        while len(i):
-            m = np.minimum(label[i], label[j])
-            if (label[i] == m).all() and (label[j] == m).all():
-                break
-            for k in (i, j):
-                np.minimum.at(label, k, m)
-            label = label[label]
+        if len(i):
+            # joined through the labels so far, so that blocks add up
+            label = labels(np.concatenate([i, np.arange(n)]), np.concatenate([j, label]), n)
         at = stop
-    while (label != label[label]).any():
-        label = label[label]
     out = np.empty(n, np.int64)
     out[order] = order[label]
     return out
@@ -158,12 +152,11 @@ def links(distinct: DataFrame, bits: int = BITS, cell: int = CELL) -> DataFrame:
     return cells.select("fps", "sides").mapInPandas(compare, "a bigint, b bigint")
 
 
-def components(prints: DataFrame, bits: int = BITS) -> DataFrame:
-    """``_fp`` -> ``_root`` for every distinct fingerprint of ``prints``."""
-    distinct = staged(prints.select("_fp").distinct(), "simhash-distinct")
+def components(distinct: DataFrame, bits: int = BITS) -> DataFrame:
+    """``_root`` for every row of ``distinct`` (staged, one per ``_fp``), its columns kept."""
     star = stars(links(distinct, bits))
     joined = distinct.join(star, distinct["_fp"] == star["node"], "left")
-    return joined.select("_fp", F.coalesce("root", "_fp").alias("_root"))
+    return joined.select(*[distinct[c] for c in distinct.columns], F.coalesce("root", "_fp").alias("_root"))
 
 
 def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, bits: int = BITS) -> DataFrame:
@@ -171,7 +164,7 @@ def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     prints = staged(fingerprints(rows, keep=["doc_id"], words=words), "simhash-prints")
     least = staged(prints.groupBy("_fp").agg(F.min("doc_id").alias("d")), "simhash-least")
-    roots = staged(components(prints, bits).join(least, "_fp"), "simhash-roots")
+    roots = staged(components(least, bits), "simhash-roots")
     ids = staged(roots.groupBy("_root").agg(F.min("d").alias("component_id")), "simhash-ids")
     of_print = staged(roots.join(ids, "_root").select("_fp", "component_id"), "simhash-of-print")
     return prints.join(of_print, "_fp").select("doc_id", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -185,7 +178,7 @@ def survivors(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", wo
     # an id is a row's name only together with its fingerprint; equal rows are told apart by nothing
     least = F.min(F.struct(F.col(d).isNull().alias("no"), F.col(d).alias("d"))).alias("x")
     own = staged(whole.groupBy("_fp").agg(least), "simhash-least")
-    roots = staged(components(own, bits).join(own, "_fp"), "simhash-roots")
+    roots = staged(components(own, bits), "simhash-roots")
     best = roots.groupBy("_root").agg(F.min(F.struct("x.no", "x.d", "_fp")).alias("x")).select("x.d", F.col("x._fp").alias("f"))
     best = staged(best, "simhash-best")
     repeated = whole.groupBy(F.col(d).alias("d"), F.col("_fp").alias("f")).agg(F.count("*").alias("n")).where("n > 1")
