@@ -1,8 +1,7 @@
 """Pipeline parameters.
 
 Fixed values that must equal the reference pipeline's settings for equal
-results: landing batch 500 rows every 2.0 s with a 200,000-row replay cap,
-1 file per Bronze trigger and 5 per downstream trigger, a 3 s trigger,
+results: landing batch 500 rows every 2.0 s, 1 file per Bronze trigger and 5 per downstream trigger, a 3 s trigger,
 watermarks Silver 10 min / revenue 30 min / volume 15 min / anomaly 10 min /
 completed trips 3 h, fare threshold 3.0 standard deviations, tumbling window
 1 hour, sliding window 30 minutes every 15 minutes.
@@ -18,7 +17,6 @@ class Params:
     # landing / replay
     landing_batch_rows: int = 500
     landing_interval_s: float = 2.0
-    replay_row_cap: int = 200_000
     # triggers
     bronze_files_per_trigger: int = 1
     table_files_per_trigger: int = 5
@@ -38,10 +36,8 @@ class Params:
     rolling_stats_seconds: int = 24 * 3600
     # longest trip accepted by the pickup/dropoff match
     max_trip_seconds: int = 3 * 3600
-    # largest dimension we are willing to broadcast (rows); beyond it the join shuffles
-    broadcast_row_cap: int = 100_000
-    # keyed upsert table: write a base snapshot every this many micro-batches (ours)
-    upsert_compact_every: int = 20
+    # decimal places of money amounts; finer amounts are an error, not rounded away
+    money_scale: int = 2
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

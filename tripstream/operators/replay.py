@@ -1,87 +1,35 @@
-"""Replay preparation: SRT-1, SRT-2, LIM-1, SET-1, PRJ-10, AGG-8.
+"""Numbered batches and zone-id filling: SRT-2, SET-1, PRJ-10, AGG-8.
 
-A global row position is computed without pulling all rows into one task
-(which ``row_number()`` over an unpartitioned window would do): rows are
-range-partitioned and sorted, the result is checkpointed so partition
-boundaries stay fixed, each partition counts its rows, and a running sum over
-those few counts (one per partition) gives each partition its offset.
+A global row position comes from ``running_sums`` over range partitions, never from one
+window over all rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripstream.config import DEFAULT_PARAMS
 from tripstream.functions.ids import pool_index, trip_id
-from tripstream.operators.enrich import checked_broadcast, is_bounded
-from tripstream.session import shared_dir
-
-
-def sort_for_replay(df: DataFrame, order: list[str]) -> DataFrame:
-    """SRT-1: a total order (callers add a unique key as the last sort column)."""
-    return df.orderBy(*order)
-
-
-def limit_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
-    """LIM-1: the first ``n`` rows in a defined order (a replay cap is the feature here)."""
-    return df.orderBy(*order).limit(n)
+from tripstream.operators.anomaly import running_sums
+from tripstream.session import materialized
 
 
 def global_index(df: DataFrame, order: list[str], name: str = "row_index", parts: int | None = None) -> DataFrame:
-    """0-based position of each row in ``order``, computed in parallel."""
-    spark = df.sparkSession
-    if not parts:
-        # at least as many ranges as the input has splits, so a range stays split-sized
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        try:
-            parts = max(parts, df.rdd.getNumPartitions())
-        except Exception:  # no RDD view (remote session): keep the configured width
-            pass
-    shared_dir(spark)
-    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).checkpoint(eager=True)
-    tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: a bounded table, so a single-partition running sum is fine
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_off"),
-    )
-    pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    out = tagged.join(F.broadcast(offsets), "_pid").withColumn(name, F.col("_off") + pos)
-    return out.drop("_pid", "_mid", "_off")
+    """0-based position of each row in ``order`` (rows that tie in it take any of their places)."""
+    one = df.withColumn("_all", F.lit(1)).withColumn("_one", F.lit(1).cast("long"))
+    return running_sums(one, "_all", order, ["_one"], parts).select(*df.columns, (F.col("_one") - 1).alias(name))
 
 
-def cut_batches(
-    df: DataFrame,
-    order: list[str],
-    batch_rows: int = DEFAULT_PARAMS.landing_batch_rows,
-    drop_tail: bool = False,
-    name: str = "batch_no",
-) -> DataFrame:
-    """SRT-2: consecutive batches of ``batch_rows`` rows in ``order``.
-
-    ``drop_tail=True`` drops a short last batch, as the reference's replay
-    does; the default keeps every row.
-    """
+def cut_batches(df: DataFrame, order: list[str], batch_rows: int = DEFAULT_PARAMS.landing_batch_rows, name: str = "batch_no") -> DataFrame:
+    """SRT-2: consecutive batches of ``batch_rows`` rows in ``order``; a short last batch is kept."""
     idx = global_index(df, order, "_row")
-    out = idx.withColumn(name, F.floor(F.col("_row") / F.lit(batch_rows)).cast("long"))
-    if drop_tail:
-        total = idx.agg(F.count(F.lit(1))).first()[0]
-        out = out.filter(F.col("_row") < F.lit((total // batch_rows) * batch_rows))
-    return out.drop("_row")
+    return idx.withColumn(name, F.floor(F.col("_row") / F.lit(batch_rows)).cast("long")).drop("_row")
 
 
 def observed_zone_ids(trips: DataFrame, pu: str = "PULocationID", do: str = "DOLocationID") -> DataFrame:
-    """SET-1 (observed branch) + AGG-8: distinct non-null ids seen on either side."""
-    return (
-        trips.select(F.col(pu).alias("location_id"))
-        .unionByName(trips.select(F.col(do).alias("location_id")))
-        .dropna()
-        .distinct()
-    )
+    """SET-1 (observed branch) + AGG-8: distinct non-null ids seen on either side, in one pass."""
+    return trips.select(F.explode(F.array(pu, do)).alias("location_id")).dropna().distinct()
 
 
 def zone_pool(spark, zones: DataFrame | None = None, trips: DataFrame | None = None) -> DataFrame:
@@ -102,20 +50,15 @@ def impute_zone_ids(
     pool: DataFrame,
     cols=("PULocationID", "DOLocationID"),
     key_cols=("VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime"),
-    cap: int = DEFAULT_PARAMS.broadcast_row_cap,
 ) -> DataFrame:
     """PRJ-10: fill null zone ids with a pick from the pool, seeded by the row's own fields.
 
-    Unlike a partition-dependent random draw, the pick is a pure function of
-    the row, so re-running a task (or the whole job) gives the same ids.
+    Unlike a partition-dependent random draw, the pick is a pure function of the row, so
+    re-running a task (or the whole job) gives the same ids. The pool may have any size:
+    it is joined on its position.
     """
-    if not is_bounded(pool, cap):
-        raise ValueError(f"zone pool larger than {cap} rows")
-    indexed = pool.select(
-        (F.row_number().over(Window.orderBy("location_id")) - 1).alias("_pool_idx"), "location_id"
-    )
+    indexed = materialized(global_index(pool, ["location_id"], "_pool_idx"), "zone-pool")
     size = indexed.count()
-    indexed = checked_broadcast(indexed, cap)
     base = trip_id(df, list(key_cols))
     out = df
     for c in cols:

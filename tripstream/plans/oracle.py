@@ -75,7 +75,7 @@ LEFT JOIN zones dz ON q.DOLocationID = dz.LocationID"""
 SILVER = f"""
 silver AS (
   SELECT *, CASE WHEN trip_distance <> 0 THEN total_amount / trip_distance END AS revenue_per_mile
-  FROM ({_enriched('dedup')}) e
+  FROM ({_enriched('(SELECT DISTINCT * FROM quality)')}) e
 )"""
 
 
@@ -83,7 +83,7 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
 
-SILVER_CTES = _with(RAW, ZONES, QUALITY, DEDUP, SILVER)
+SILVER_CTES = _with(RAW, ZONES, QUALITY, SILVER)
 
 TRIP_SECONDS = 30 * 86400
 EVENT_SECONDS = 3 * 3600
@@ -112,16 +112,17 @@ FROM (
 GROUP BY ALL"""
 
 
-# Fixed value: the shared nation table names its 25 rows NATION_0 .. NATION_24.
-ZONE_NAMES = [f"NATION_{i}" for i in range(25)]
+# Fixed value: the shared nation table numbers its 25 rows 0 .. 24.
+ZONE_IDS = range(25)
 
 
 def _heatmap() -> str:
     cols = ",\n  ".join(
-        f"CAST(SUM(trip_volume) FILTER (WHERE pickup_zone = '{z}') AS BIGINT) AS \"{z}\"" for z in ZONE_NAMES
+        [f'CAST(SUM(trip_volume) FILTER (WHERE PULocationID = {z}) AS BIGINT) AS "zone_{z}"' for z in ZONE_IDS]
+        + ['CAST(SUM(trip_volume) FILTER (WHERE PULocationID IS NULL OR PULocationID NOT IN (SELECT n_nationkey FROM nation)) AS BIGINT) AS "zone_other"']
     )
     return f"""{SILVER_CTES},
-vol AS ({_volume('silver', 'tpep_pickup_datetime', 'pickup_zone')})
+vol AS ({_volume('silver', 'tpep_pickup_datetime', 'PULocationID')})
 SELECT window_start, window_end,
   {cols}
 FROM vol GROUP BY window_start, window_end"""
@@ -190,6 +191,7 @@ BATCH_ORACLE = {
     "zone_enrich_csv": f"{_with(RAW, ZONES, QUALITY)} {_enriched('quality')}",
     "quality_filters_csv": f"{_with(RAW, QUALITY)} SELECT * FROM quality",
     "quality_filters_json": f"{_with(RAW, QUALITY)} SELECT * FROM quality",
+    "quality_filters_parquet": f"{_with(RAW, QUALITY)} SELECT * FROM quality",
     "revenue_per_mile": f"""{_with(RAW, QUALITY)}
 SELECT *, CASE WHEN trip_distance <> 0 THEN total_amount / trip_distance END AS revenue_per_mile FROM quality""",
     "dedup_batch": f"{_with(RAW, QUALITY, DEDUP)} SELECT * FROM dedup",
@@ -200,7 +202,7 @@ WITH s AS (SELECT event_type, avg(value) AS a, stddev_samp(value) AS sd FROM eve
 SELECT e.* FROM events e JOIN s ON e.event_type = s.event_type WHERE e.value > s.a + s.sd * 3.0""",
     "anomaly_silver": f"""{SILVER_CTES},
 s AS (SELECT pickup_borough AS b, avg(fare_amount) AS a, stddev_samp(fare_amount) AS sd FROM silver GROUP BY 1)
-SELECT silver.* FROM silver JOIN s ON silver.pickup_borough = s.b WHERE fare_amount > s.a + s.sd * 3.0""",
+SELECT silver.* FROM silver JOIN s ON silver.pickup_borough = s.b WHERE fare_amount > s.a + s.sd * 2.0""",
     "anomaly_rolling_24h": """
 SELECT * EXCLUDE (a_, s_) FROM (
   SELECT e.*,
@@ -238,17 +240,10 @@ SELECT * FROM p WHERE NOT EXISTS (
     "skew_agg": f"""{_with(RAW, QUALITY)}
 SELECT PULocationID, COUNT(*) AS trip_count,
        CAST(SUM(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
-       MAX(fare_amount) AS max_fare
+       MAX(fare_amount) AS max_fare, COUNT(DISTINCT DOLocationID) AS distinct_dropoffs
 FROM quality GROUP BY PULocationID""",
     "replay_batches": """
 SELECT event_id, ts, CAST((row_number() OVER (ORDER BY ts, event_id) - 1) // 500 AS BIGINT) AS batch_no FROM events""",
-    "replay_batches_drop_tail": """
-SELECT event_id, ts, batch_no FROM (
-  SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) - 1 AS i,
-         CAST((row_number() OVER (ORDER BY ts, event_id) - 1) // 500 AS BIGINT) AS batch_no,
-         count(*) OVER () AS n
-  FROM events) t
-WHERE i < (n // 500) * 500""",
     "zone_pool": f"""{_with(RAW)}
 SELECT DISTINCT location_id FROM (
   SELECT PULocationID AS location_id FROM raw UNION ALL SELECT DOLocationID FROM raw) u

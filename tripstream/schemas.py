@@ -1,4 +1,8 @@
-"""Explicit schemas. Streams never infer: file streams need a schema up front."""
+"""Explicit schemas. Streams never infer: file streams need a schema up front.
+
+Fixed values: the public trip record layout, the zone lookup's columns and the
+Silver layout must match in name, type and order.
+"""
 
 from pyspark.sql.types import (
     DoubleType,

@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tripstream") -> SparkSession:
@@ -49,11 +49,29 @@ def shared_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tripstream-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the shared folder and read it back.
+
+    The input behind it is scanned once however often the result is used, and its size
+    on disk is what Spark's own broadcast threshold then goes by.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def work_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared folder (never a machine-local temp dir)."""
     base = shared_dir(spark).rstrip("/")

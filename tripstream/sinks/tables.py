@@ -11,11 +11,6 @@ def with_date(df: DataFrame, ts: str = "window_start", name: str = "date") -> Da
     return df.withColumn(name, F.to_date(F.col(ts)))
 
 
-def write_partitioned(df: DataFrame, path: str, by=("date", "pickup_borough"), mode: str = "append") -> None:
-    """SNK-9: a Gold table laid out by date and borough so readers prune partitions."""
-    df.write.mode(mode).partitionBy(*by).parquet(path)
-
-
 def exactly_once_audit(source: DataFrame, table: DataFrame) -> DataFrame:
     """SNK-12: row counts both sides, plus rows missing from / extra in the table.
 

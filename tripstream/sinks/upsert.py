@@ -8,19 +8,9 @@ batch ("when matched update all, when not matched insert all"). The
 per-key pick is a grouped ``max_by``: it combines map-side, and keys are
 trip ids, so no key holds more rows than there were batches.
 
-Compaction (``compact_every=k``) keeps reads from growing with the number
-of batches: after every ``k`` batches the current table is written as a
-base snapshot under ``_base/upto=<n>`` and ``n`` is appended to the small
-``_log`` table once that write has committed. A base counts only when its
-log row exists, so a snapshot half-written by a lost driver is never read.
-Readers take the latest logged base plus the delta partitions after it
-(partition-pruned), so a read costs O(base + recent batches). Both folders
-start with ``_``, which Spark's partition discovery skips, so the delta
-table at ``path`` is unchanged. Replaying a batch at or below the latest
-base does not compact again.
-
-When the ``delta`` package and its session extension are present the same
-interface runs a Delta MERGE instead.
+That is all there is: no log, no snapshots. A table that must not keep every
+version belongs in a table format; when the ``delta`` package and its session
+extension are present the same interface runs a Delta MERGE.
 """
 
 from __future__ import annotations
@@ -29,9 +19,9 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tripstream.operators.dedup import dedup_first
+from tripstream.session import path_exists
 
 BATCH_COL = "upsert_batch"
 
@@ -45,27 +35,9 @@ except ImportError:  # pragma: no cover - not installed here
 
 
 class KeyedUpsertTable:
-    def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        keys: list[str],
-        use_delta: bool = False,
-        compact_every: int | None = None,
-    ):
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], use_delta: bool = False):
         self.spark, self.path, self.keys = spark, path, list(keys)
         self.use_delta = use_delta and HAVE_DELTA
-        self.compact_every = compact_every
-        self._base: int | None = None  # latest logged base, looked up once per writer
-        self._base_known = False
-
-    @property
-    def base_path(self) -> str:
-        return f"{self.path}/_base"
-
-    @property
-    def log_path(self) -> str:
-        return f"{self.path}/_log"
 
     def upsert(self, df: DataFrame, batch_id: int, order: list[str] | None = None) -> bool:
         """Upsert one batch; returns False for an empty batch, which writes no data file (SNK-8).
@@ -93,38 +65,7 @@ class KeyedUpsertTable:
             .partitionBy(BATCH_COL)
             .parquet(self.path)
         )
-        if not obs.get["rows"]:
-            return False
-        self._maybe_compact(int(batch_id))
-        return True
-
-    def latest_base(self) -> int | None:
-        """Batch id of the newest committed base snapshot (None before the first)."""
-        try:
-            return self.spark.read.parquet(self.log_path).agg(F.max("upto")).first()[0]
-        except AnalysisException:  # no compaction yet
-            return None
-
-    def _maybe_compact(self, batch_id: int) -> None:
-        if not self.compact_every:
-            return
-        if not self._base_known:
-            self._base, self._base_known = self.latest_base(), True
-        last = -1 if self._base is None else self._base
-        if batch_id - last >= self.compact_every:
-            self.compact(batch_id)
-
-    def compact(self, upto: int) -> bool:
-        """Write the current table (every batch <= ``upto``) as a base snapshot; idempotent."""
-        latest = self.latest_base()
-        if latest is not None and upto <= latest:
-            return False
-        current = self._merged(latest, upto)
-        # a rerun after a lost driver overwrites an unlogged, possibly partial snapshot
-        current.write.mode("overwrite").parquet(f"{self.base_path}/upto={upto}")
-        self.spark.createDataFrame([(int(upto),)], "upto long").coalesce(1).write.mode("append").parquet(self.log_path)
-        self._base, self._base_known = upto, True
-        return True
+        return bool(obs.get["rows"])
 
     def _merge_delta(self, src: DataFrame) -> None:  # pragma: no cover - needs delta
         if DeltaTable.isDeltaTable(self.spark, self.path):
@@ -139,33 +80,29 @@ class KeyedUpsertTable:
         else:  # SNK-7: create on the first batch
             src.write.format("delta").mode("append").save(self.path)
 
-    def versions(self) -> DataFrame:
-        """Every stored version (with its batch id)."""
-        return self.spark.read.parquet(self.path)
+    def versions(self, batch_id: int | None = None) -> DataFrame | None:
+        """Every stored version with its batch id (of one batch, if given); None before the first write."""
+        if not path_exists(self.spark, self.path):
+            return None
+        if batch_id is not None and not path_exists(self.spark, f"{self.path}/{BATCH_COL}={batch_id}"):
+            return None
+        if not any(f.isDirectory() for f in _children(self.spark, self.path)):
+            return None  # only empty batches so far
+        v = self.spark.read.parquet(self.path)
+        return v if batch_id is None else v.filter(F.col(BATCH_COL) == batch_id)
 
-    def read(self) -> DataFrame:
+    def read(self) -> DataFrame | None:
         """Current table: the latest version of each key."""
         if self.use_delta:  # pragma: no cover
             return self.spark.read.format("delta").load(self.path)
-        return self._merged(self.latest_base(), None)
-
-    def _merged(self, base: int | None, upto: int | None) -> DataFrame | None:
-        """Latest row per key over base ``base`` plus the deltas in (base, upto]."""
-        try:
-            v = self.versions()
-        except AnalysisException:
+        v = self.versions()
+        if v is None:
             return None
-        if base is not None:  # partition pruning: only deltas after the base are read
-            v = v.filter(F.col(BATCH_COL) > F.lit(base))
-        if upto is not None:
-            v = v.filter(F.col(BATCH_COL) <= F.lit(upto))
         payload = [c for c in v.columns if c not in self.keys and c != BATCH_COL]
-        if base is not None:
-            snap = self.spark.read.parquet(f"{self.base_path}/upto={base}")
-            v = snap.select(*self.keys, *payload, F.lit(base).cast("long").alias(BATCH_COL)).unionByName(
-                v.select(*self.keys, *payload, BATCH_COL)
-            )
-        latest = v.groupBy(*self.keys).agg(
-            F.max_by(F.struct(*[F.col(c) for c in payload]), F.col(BATCH_COL)).alias("_row")
-        )
+        latest = v.groupBy(*self.keys).agg(F.max_by(F.struct(*[F.col(c) for c in payload]), F.col(BATCH_COL)).alias("_row"))
         return latest.select(*self.keys, *[F.col(f"_row.{c}").alias(c) for c in payload])
+
+
+def _children(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)

@@ -41,10 +41,3 @@ def table_stream(
         r = r.option("maxFilesPerTrigger", max_files)
     return r.load(path)
 
-
-def two_projections(spark: SparkSession, path: str, left_cols, right_cols, **kw) -> tuple[DataFrame, DataFrame]:
-    """SRC-4: one table read as two independent streams with different projections."""
-    return (
-        table_stream(spark, path, **kw).select(*left_cols),
-        table_stream(spark, path, **kw).select(*right_cols),
-    )

@@ -12,7 +12,6 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql.utils import AnalysisException
 from pyspark.sql import functions as F
 
 from tripstream.config import DEFAULT_PARAMS, Params
@@ -31,16 +30,18 @@ from tripstream.operators.enrich import add_revenue_per_mile, enrich_with_zones
 from tripstream.operators.matching import dropoff_side, interval_join, pickup_side
 from tripstream.operators.quality import apply_quality_filters
 from tripstream.operators.windows import revenue_by_window, volume_by_sliding_window
-from tripstream.schemas import PICKUP
+from tripstream.schemas import DROPOFF, PICKUP
 from tripstream.sinks.upsert import KeyedUpsertTable
 
 EVENT_TIME = "_event_time"
 
 
-def batch_clock() -> Column:
-    """PRJ-7: one processing time per micro-batch, as a literal, so a recomputed
-    partition (lost cache block, retried task) carries the same ``flagged_at``."""
-    return F.lit(_dt.datetime.now(_dt.timezone.utc)).cast("timestamp")
+def batch_clock(table: KeyedUpsertTable, batch_id: int) -> Column:
+    """PRJ-7: one processing time per micro-batch, as a literal. A batch that was written
+    before (a replay after a failure) keeps the time of its first write."""
+    before = table.versions(batch_id)
+    first = None if before is None else before.agg(F.min("flagged_at").alias("t")).first()["t"]
+    return F.lit(first or _dt.datetime.now(_dt.timezone.utc)).cast("timestamp")
 
 
 def as_instants(df: DataFrame, *cols: str) -> DataFrame:
@@ -58,16 +59,18 @@ def as_wall_clock(df: DataFrame, *cols: str) -> DataFrame:
 def silver_stream(bronze: DataFrame, zones: DataFrame, params: Params = DEFAULT_PARAMS, dedup_keys=None) -> DataFrame:
     """Bronze stream -> Silver stream (STR-1, STR-5, JON-1/2 stream-static, PRJ-1..4).
 
-    Order: parse + filter, deduplicate within the watermark, then enrich
-    (D1: the dedup state holds the narrow raw row, not the enriched one).
-    Rows whose pickup time is unreadable cannot be placed against the
-    watermark and are left out of the stream form.
+    Order: parse + filter, drop exact copies within the watermark, then enrich (D1: the
+    dedup state holds the narrow raw row, not the enriched one). A trip's event time is
+    its pickup, or its dropoff where the pickup is unreadable; a trip with neither cannot
+    be placed against the watermark and passes as it is.
     """
-    clean = apply_quality_filters(bronze).filter(F.col(PICKUP).isNotNull())
-    clean = clean.withColumn(EVENT_TIME, to_instant(PICKUP))
+    clean = apply_quality_filters(bronze).withColumn(EVENT_TIME, F.coalesce(F.col(PICKUP), F.col(DROPOFF)))
+    clean = as_instants(clean, EVENT_TIME)
     keys = None if dedup_keys is None else list(dedup_keys)
-    deduped = dedup_within_watermark(clean, EVENT_TIME, params.silver_watermark, keys).drop(EVENT_TIME)
-    return add_revenue_per_mile(enrich_with_zones(deduped, zones, params.broadcast_row_cap))
+    timed = dedup_within_watermark(clean.filter(F.col(EVENT_TIME).isNotNull()), EVENT_TIME, params.silver_watermark, keys)
+    untimed = clean.filter(F.col(EVENT_TIME).isNull())
+    every = timed.drop(EVENT_TIME).unionByName(untimed.drop(EVENT_TIME))
+    return add_revenue_per_mile(enrich_with_zones(every, zones))
 
 
 def revenue_stream(
@@ -100,7 +103,7 @@ def completed_trips_stream(
     With ``how='leftouter'`` a pickup with no dropoff is emitted (right side
     null) once the watermark passes pickup + max duration (JON-6).
     """
-    p = as_instants(pickup_side(pickups), "pickup_ts").withWatermark("pickup_ts", params.completed_watermark)
+    p = as_instants(pickup_side(pickups.filter(F.col(PICKUP).isNotNull())), "pickup_ts").withWatermark("pickup_ts", params.completed_watermark)
     d = as_instants(dropoff_side(dropoffs), "dropoff_ts").withWatermark("dropoff_ts", params.completed_watermark)
     j = interval_join(p, d, "trip_id", "pickup_ts", "dropoff_ts", 0, params.max_trip_seconds, how)
     j = as_wall_clock(j, "pickup_ts", "dropoff_ts")
@@ -114,19 +117,20 @@ def anomaly_batch_writer(
     sigma: float = DEFAULT_PARAMS.fare_sigma,
     tail: str = "upper",
     order: list[str] | None = None,
+    clock=None,
 ):
     """SNK-5..8 + STR-13: per micro-batch statistics, flag, idempotent keyed upsert.
 
-    The micro-batch is cached once so statistics, the emptiness check and the
-    write all read the same rows (and ``flagged_at`` is fixed per batch).
+    The micro-batch is cached once so statistics and the write read the same rows.
+    ``clock(batch_id)``: the batch's processing time as a Column (``batch_clock`` by default).
     """
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist()
         stats = fare_stats(b, key, fare).persist()  # one row per borough of this batch
         try:
-            flagged = flag_fare_anomalies(b, key, fare, sigma, tail, flagged_at=batch_clock(), materialize=False, stats=stats)
-            table.upsert(flagged, batch_id, order)
+            at = clock(batch_id) if clock else batch_clock(table, batch_id)
+            table.upsert(flag_fare_anomalies(b, key, fare, sigma, tail, flagged_at=at, stats=stats), batch_id, order)
         finally:
             stats.unpersist()
             b.unpersist()
@@ -143,49 +147,16 @@ def rolling_anomaly_batch_writer(
     sigma: float = DEFAULT_PARAMS.fare_sigma,
     hours: int = 24,
     order: list[str] | None = None,
-    compact_every: int | None = None,
 ):
     """AGG-6 (stream): trailing-24 h statistics from hourly moments kept across micro-batches.
 
-    Batch N writes only its own contribution, into ``moments_batch=N``
-    (dynamic overwrite): a replayed batch replaces its contribution instead
-    of adding it twice. The merge reads contributions of batches <= N for the
-    hours the batch can see, which parquet statistics narrow down.
-
-    ``compact_every=k``: moments are sums, so every k batches the
-    contributions so far are summed per (key, hour) into a base snapshot
-    ``_base/upto=<n>``, logged in ``_log`` once written. Later batches read
-    the newest logged base at or below their own id plus the partitions
-    after it, so a batch's read does not grow with the number of batches.
+    Batch N writes only its own contribution, into ``moments_batch=N`` (dynamic
+    overwrite): a replayed batch replaces its contribution instead of adding it twice. The
+    merge reads contributions of batches <= N for the hours the batch can see, which
+    parquet statistics narrow down. A row is judged when its batch arrives, on the moments
+    known then: an hour that two batches share is judged in the first on its first part and
+    is not revisited. Batches cut at whole hours give the batch result.
     """
-    base_path, log_path = f"{moments_path}/_base", f"{moments_path}/_log"
-    known: dict = {}
-
-    def logged_base(spark, upto: int):
-        try:
-            return spark.read.parquet(log_path).filter(F.col("upto") <= upto).agg(F.max("upto")).first()[0]
-        except AnalysisException:
-            return None
-
-    def contributions(spark, base, upto: int) -> DataFrame:
-        m = spark.read.parquet(moments_path).filter(F.col("moments_batch") <= upto)
-        if base is None:
-            return m.drop("moments_batch")
-        snap = spark.read.parquet(f"{base_path}/upto={base}")
-        return m.filter(F.col("moments_batch") > base).drop("moments_batch").unionByName(snap)
-
-    def maybe_compact(spark, batch_id: int) -> None:
-        if not compact_every:
-            return
-        last = known.get("base", -1)
-        if batch_id - (-1 if last is None else last) < compact_every:
-            return
-        summed = contributions(spark, last, batch_id).groupBy(key, "hour_idx").agg(
-            F.sum("m_n").alias("m_n"), F.sum("m_s1").alias("m_s1"), F.sum("m_s2").alias("m_s2")
-        )
-        summed.write.mode("overwrite").parquet(f"{base_path}/upto={batch_id}")
-        spark.createDataFrame([(int(batch_id),)], "upto long").coalesce(1).write.mode("append").parquet(log_path)
-        known["base"] = batch_id
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -202,19 +173,15 @@ def rolling_anomaly_batch_writer(
             span = b.agg(F.min(hour_index(ts)).alias("lo"), F.max(hour_index(ts)).alias("hi")).first()
             if span["lo"] is None:
                 return
-            if "base" not in known:  # once per writer (and after a restart)
-                known["base"] = logged_base(spark, batch_id)
-            base = known["base"]
-            m = contributions(spark, base, batch_id).filter(
-                F.col("hour_idx").between(span["lo"] - (hours - 1), span["hi"])
+            m = spark.read.parquet(moments_path).filter(
+                (F.col("moments_batch") <= batch_id) & F.col("hour_idx").between(span["lo"] - (hours - 1), span["hi"])
             )
-            stats = trailing_hour_stats(m, key, hours).persist()
+            stats = trailing_hour_stats(m.drop("moments_batch"), key, hours).persist()
             try:
-                flagged = flag_against_hourly(b, stats, key, ts, fare, sigma).withColumn("flagged_at", batch_clock())
+                flagged = flag_against_hourly(b, stats, key, ts, fare, sigma).withColumn("flagged_at", batch_clock(table, batch_id))
                 table.upsert(flagged, batch_id, order)
             finally:
                 stats.unpersist()
-            maybe_compact(spark, batch_id)
         finally:
             b.unpersist()
 
@@ -231,7 +198,7 @@ def refreshing_enrich_writer(load_zones, path: str, params: Params = DEFAULT_PAR
     """
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        enriched = add_revenue_per_mile(enrich_with_zones(batch, load_zones(), params.broadcast_row_cap))
+        enriched = add_revenue_per_mile(enrich_with_zones(batch, load_zones()))
         (
             enriched.withColumn("enrich_batch", F.lit(int(batch_id)).cast("long"))
             .write.mode("overwrite")

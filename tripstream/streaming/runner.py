@@ -58,15 +58,6 @@ def run_to_table(df: DataFrame, path: str, ckpt: str, **kw) -> StreamingQuery:
     return await_done(start_to_table(df, path, ckpt, **kw))
 
 
-PROGRESS_FIELDS = (
-    "batchId",
-    "numInputRows",
-    "inputRowsPerSecond",
-    "processedRowsPerSecond",
-    "triggerExecution_ms",
-)
-
-
 PROGRESS_SCHEMA = (
     "query_id string, query_name string, batchId long, numInputRows long, "
     "inputRowsPerSecond double, processedRowsPerSecond double, triggerExecution_ms long"
@@ -106,13 +97,14 @@ class ProgressRecorder(StreamingQueryListener):
 
     def onQueryTerminated(self, event):
         with self._cv:
-            self._done.add(str(event.id))
+            self._done.add(str(event.runId))
             self._cv.notify_all()
 
     def wait_terminated(self, q: StreamingQuery, timeout_s: float = 60.0) -> None:
         """Block until the bus has delivered ``q``'s termination (so all its progress)."""
         with self._cv:
-            self._cv.wait_for(lambda: str(q.id) in self._done, timeout_s)
+            if not self._cv.wait_for(lambda: str(q.runId) in self._done, timeout_s):
+                raise TimeoutError(f"no termination event for stream {q.name or q.id} within {timeout_s}s")
 
     def flush(self, spark: SparkSession, path: str) -> int:
         with self._lock:
@@ -121,21 +113,3 @@ class ProgressRecorder(StreamingQueryListener):
             spark.createDataFrame(rows, PROGRESS_SCHEMA).write.mode("append").parquet(path)
         return len(rows)
 
-
-def progress_table(spark: SparkSession, q: StreamingQuery) -> DataFrame:
-    """SNK-11: one row per finished trigger from ``recentProgress``."""
-    rows = []
-    for p in q.recentProgress:
-        d = p if isinstance(p, dict) else p.jsonValue() if hasattr(p, "jsonValue") else dict(p)
-        dur = d.get("durationMs", {}) or {}
-        rows.append(
-            (
-                int(d.get("batchId", -1)),
-                int(d.get("numInputRows", 0) or 0),
-                float(d.get("inputRowsPerSecond", 0.0) or 0.0),
-                float(d.get("processedRowsPerSecond", 0.0) or 0.0),
-                int(dur.get("triggerExecution", 0) or 0),
-            )
-        )
-    schema = "batchId long, numInputRows long, inputRowsPerSecond double, processedRowsPerSecond double, triggerExecution_ms long"
-    return spark.createDataFrame(rows, schema)
