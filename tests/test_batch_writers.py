@@ -3,7 +3,6 @@ lookup refresh per batch (STR-14)."""
 
 import datetime as dt
 import os
-import tempfile
 
 from tests.fixtures import ZONE_SCHEMA, row, trips
 from tripstream.operators.quality import apply_quality_filters
@@ -55,8 +54,8 @@ def _zone_csv(d, name):
         f.write(f"LocationID,Borough,Zone,service_zone\n100,{name},Z100,S\n200,{name},Z200,S\n")
 
 
-def test_lookup_refreshed_between_batches(spark):
-    d = tempfile.mkdtemp(prefix="tripstream-zones-")
+def test_lookup_refreshed_between_batches(spark, tmp_path):
+    d = str(tmp_path)
     _zone_csv(d, "Old")
     out = work_path(spark, "silver")
     fn = refreshing_enrich_writer(lambda: read_dimension_csv(spark, d, ZONE_SCHEMA), out)
@@ -68,23 +67,20 @@ def test_lookup_refreshed_between_batches(spark):
     assert got == {0: "Old", 1: "New"}
 
 
-def test_rolling_writer_compaction_matches(spark, sf_small):
-    from pyspark.sql import functions as F
-
-    from tripstream.operators.replay import cut_batches
-    from tripstream.sources import bindings as B
-
-    ev = cut_batches(B.events(spark, sf_small), ["ts", "event_id"], 200).persist()  # 5 batches
-    runs = {}
-    for k in (None, 2):
-        t = KeyedUpsertTable(spark, work_path(spark, "anom"), ["event_id"])
-        moments = work_path(spark, "moments")
-        fn = rolling_anomaly_batch_writer(moments, t, "event_type", "ts", "value", 1.5, 24, ["ts"], compact_every=k)
-        for b in range(5):
-            fn(ev.filter(F.col("batch_no") == b).drop("batch_no"), b)
-        if k:
-            assert sorted(r.upto for r in spark.read.parquet(moments + "/_log").collect()) == [1, 3]
-            fn(ev.filter(F.col("batch_no") == 4).drop("batch_no"), 4)  # replay after compaction
-        runs[k] = sorted((r.event_id, r.value) for r in t.read().collect())
-    ev.unpersist()
-    assert runs[2] == runs[None] and runs[None]
+def test_replayed_batch_keeps_its_clock(spark):
+    t = KeyedUpsertTable(spark, work_path(spark, "anom"), ["event_id"])
+    fn = anomaly_batch_writer(t, "event_type", "value", order=["ts"])
+    fn(_batch0(spark), 0)
+    first = t.read().first().flagged_at
+    fn(_batch0(spark), 0)
+    assert t.read().first().flagged_at == first
+
+
+def test_an_hour_split_over_two_batches_is_not_revisited(spark):
+    t = KeyedUpsertTable(spark, work_path(spark, "anom"), ["event_id"])
+    fn = rolling_anomaly_batch_writer(work_path(spark, "moments"), t, "event_type", "ts", "value", 2.0, 24, ["ts"])
+    fn(_events(spark, [(i, "A", T0 + dt.timedelta(minutes=i), 10.0) for i in range(9)] + [(9, "A", T0 + dt.timedelta(minutes=9), 12.0)]), 0)
+    assert [r.event_id for r in t.read().collect()] == [9]
+    # later rows of the hour would have raised the threshold; row 9 was judged on what was known
+    fn(_events(spark, [(20 + i, "A", T0 + dt.timedelta(minutes=20 + i), 10.0 + 5 * (i % 2)) for i in range(20)]), 1)
+    assert 9 in [r.event_id for r in t.read().collect()]

@@ -2,7 +2,6 @@
 
 import json
 import os
-import tempfile
 import time
 
 from pyspark.sql import functions as F
@@ -17,8 +16,8 @@ from tripstream.streaming.runner import await_done, start_to_table
 SCHEMA = "ts timestamp_ntz, event_type string, value double"
 
 
-def _land(rows_per_file, mtimes):
-    d = tempfile.mkdtemp(prefix="tripstream-landing-")
+def _land(tmp_path, rows_per_file, mtimes):
+    d = str(tmp_path)
     now = time.time()
     for i, rows in enumerate(rows_per_file):
         p = os.path.join(d, f"batch_{i:05d}.json")
@@ -51,21 +50,21 @@ def _run(spark, landing, max_files):
     return res, dropped
 
 
-def test_late_row_dropped_in_order(spark):
-    res, dropped = _run(spark, _land(FILES, [1, 2, 3, 4]), 1)
+def test_late_row_dropped_in_order(spark, tmp_path):
+    res, dropped = _run(spark, _land(tmp_path, FILES, [1, 2, 3, 4]), 1)
     assert res == {"10:00": 23.0, "11:00": 8.0}  # 12:00 is still open at the final watermark
     assert dropped == 1
 
 
-def test_single_trigger_has_no_late_rows(spark):
-    res, dropped = _run(spark, _land(FILES, [1, 2, 3, 4]), None)
+def test_single_trigger_has_no_late_rows(spark, tmp_path):
+    res, dropped = _run(spark, _land(tmp_path, FILES, [1, 2, 3, 4]), None)
     assert res == {"10:00": 87.0, "11:00": 8.0}
     assert dropped == 0
 
 
-def test_out_of_order_files_drop_rows(spark):
+def test_out_of_order_files_drop_rows(spark, tmp_path):
     # same files published newest first: the early rows arrive after the watermark moved
-    res, dropped = _run(spark, _land(FILES, [4, 3, 2, 1]), 1)
+    res, dropped = _run(spark, _land(tmp_path, FILES, [4, 3, 2, 1]), 1)
     assert res == {"10:00": 80.0}  # 64 + 16 made it; the on-time rows of files 1-2 were late
     assert dropped > 0
 
@@ -80,64 +79,64 @@ def test_stream_equals_batch_on_closed_windows(spark, sf_small):
     assert stream.exceptAll(closed).count() == 0 and closed.exceptAll(stream).count() == 0
 
 
-def test_stream_join_multi_trigger_evicts_state(spark, sf_small):
-    """Ordered landing, one file per trigger: every match is found, and the
-    range in the join condition lets the watermark evict old pickups."""
-    import glob
-
-    from tripstream.sinks.landing import write_landing
-    from tripstream.sources import bindings as B
-    from tripstream.sources.streams import table_stream
-    from tripstream.operators.matching import interval_join
-    from tripstream.streaming.runner import run_to_table
+def test_stream_join_multi_trigger_evicts_state(spark, sf_small, monkeypatch):
+    """Slices on one checkpoint: every match is found, and the range in the join condition
+    lets the watermark evict old pickups."""
+    from tripstream.streaming import catalog as C
 
-    land = tempfile.mkdtemp(prefix="tripstream-events-") + "/landing"
-    ev = B.events(spark, sf_small)
-    write_landing(ev, land, ["ts", "event_id"], 100, fmt="parquet")
-    now = time.time()
-    for path in glob.glob(f"{land}/batch_no=*/*.parquet"):
-        k = int(path.split("batch_no=")[1].split("/")[0])
-        os.utime(path, (now - 1000 + k, now - 1000 + k))
-    from pyspark.sql.types import IntegerType, StructField, StructType
-
-    s = StructType(list(ev.schema.fields) + [StructField("batch_no", IntegerType())])
-    e = table_stream(spark, land, s, "parquet", 1).select("event_id", "ts", "user_id")
-    p = L.as_instants(e.filter("event_id % 2 = 0").selectExpr("event_id AS pickup_id", "ts AS pickup_ts", "user_id"), "pickup_ts")
-    d = L.as_instants(e.filter("event_id % 2 = 1").selectExpr("event_id AS dropoff_id", "ts AS dropoff_ts", "user_id"), "dropoff_ts")
-    p = p.withWatermark("pickup_ts", "3 hours")
-    d = d.withWatermark("dropoff_ts", "3 hours")
-    j = interval_join(p, d, "user_id", "pickup_ts", "dropoff_ts", 0, 3 * 3600)
-    out, ck = work_path(spark, "join"), work_path(spark, "ck")
-    q = run_to_table(L.as_wall_clock(j, "pickup_ts", "dropoff_ts"), out, ck)
-    got = sorted((r.pickup_id, r.dropoff_id) for r in spark.read.parquet(out).collect())
+    seen = []
+    run = C.run_to_table
+    monkeypatch.setattr(C, "run_to_table", lambda *a, **k: seen.append(run(*a, **k)))
+    got = sorted((r.pickup_id, r.dropoff_id) for r in C.q_event_matching_stream_paced(spark, sf_small).collect())
     want = sorted((r.pickup_id, r.dropoff_id) for r in E.queries()["event_matching"](spark, sf_small).collect())
     assert got == want
-    progress = [json.loads(x.json) for x in q.recentProgress]
-    assert len(progress) >= 10
-    state_rows = [pr["stateOperators"][0]["numRowsTotal"] for pr in progress if pr.get("stateOperators")]
-    assert max(state_rows) < ev.count() // 2
+    progress = [json.loads(x.json) for q in seen for x in q.recentProgress]
+    assert len(seen) == C.SLICES and sum(p["numInputRows"] > 0 for p in progress) == C.SLICES
+    rows = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p.get("stateOperators")]
+    assert rows[-1] < max(rows) / 2  # what the watermark has passed is gone
+
 
+def test_late_rows_are_dropped_by_the_watermark(spark, sf_small, monkeypatch):
+    from tripstream.streaming import catalog as C
 
-def test_progress_recorder_sees_every_trigger(spark, sf_small):
-    m = E.queries()["progress_metrics"](spark, sf_small)
-    rows = m.collect()
-    assert len(rows) >= 1
-    assert sum(r.numInputRows for r in rows) == spark.read.parquet(f"{sf_small}/events.parquet").count()
-    assert all(r.triggerExecution_ms > 0 for r in rows)
+    seen = []
+    run = C.run_to_table
+    monkeypatch.setattr(C, "run_to_table", lambda *a, **k: seen.append(run(*a, **k)))
+    late = C.q_revenue_late_stream(spark, sf_small)
+    dropped = sum(op.numRowsDroppedByWatermark for q in seen for p in q.recentProgress for op in p.stateOperators)
+    every = C.q_revenue_hourly_stream(spark, sf_small)
+    assert dropped > 0 and every.groupBy().sum("trip_count").first()[0] > late.groupBy().sum("trip_count").first()[0]
 
 
-def test_wave_landing_feeds_triggers_in_event_order(spark, sf_small):
-    """Landed in waves of one file, read one file per trigger: several triggers,
-    nothing behind the watermark, and the one-trigger result."""
-    from tripstream.streaming import catalog as C
+def test_progress_recorder_waits_no_longer_than_told(spark):
+    import types
+
+    import pytest
+
+    from tripstream.streaming.runner import ProgressRecorder
+
+    with pytest.raises(TimeoutError):
+        ProgressRecorder().wait_terminated(types.SimpleNamespace(runId="x", name="x", id="x"), 0.05)
+
+
+def test_unreadable_pickups_stay_distinct_in_batch_and_stream(spark):
+    from tests.fixtures import row, trips, zones
+    from tripstream.plans.layers import silver_batch
+    from tripstream.schemas import TRIP_CORE_SCHEMA
+    from tripstream.sources.streams import table_stream
     from tripstream.streaming.runner import run_to_table
 
-    land = C._land_events(spark, sf_small, rows=200, wave_files=1)  # 1,000 events -> 5 files
-    out, ck = work_path(spark, "gold"), work_path(spark, "ckpt")
-    q = run_to_table(C._revenue_events(C._event_stream(spark, sf_small, land, max_files=1)), out, ck)
-    progs = [p for p in q.recentProgress if p.numInputRows]
-    assert len(progs) == 5 and sum(p.numInputRows for p in progs) == 1000
-    assert all(op.numRowsDroppedByWatermark == 0 for p in q.recentProgress for op in p.stateOperators)
-    paced = sorted(tuple(r) for r in spark.read.parquet(out).collect())
-    single = sorted(tuple(r) for r in C.q_revenue_hourly_stream(spark, sf_small).collect())
-    assert paced == single and paced
+    bad = [row(tpep_pickup_datetime="?"), row(tpep_pickup_datetime="?", fare_amount=20.0), row(tpep_pickup_datetime="?"),
+           row(tpep_pickup_datetime="?", tpep_dropoff_datetime="?"), row(), row()]
+    raw, z = trips(spark, bad), zones(spark, [(100, "A", "Corona", "x"), (200, "B", "Corona", "x")])
+    path, out = work_path(spark, "bronze"), work_path(spark, "silver")
+    raw.write.parquet(path)
+    stream = L.silver_stream(table_stream(spark, path, TRIP_CORE_SCHEMA, "parquet", None), z)
+    run_to_table(stream, out, work_path(spark, "ck"))
+    batch = sorted(map(str, silver_batch(raw, z).collect()))
+    assert len(batch) == 4 and batch == sorted(map(str, spark.read.parquet(out).collect()))
+
+
+def test_progress_metrics_counts_triggers_and_rows(spark, sf_small):
+    r = E.queries()["progress_metrics"](spark, sf_small).first()
+    assert (r.triggers, r.rows_in) == (4, spark.read.parquet(f"{sf_small}/events.parquet").count())

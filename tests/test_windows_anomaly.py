@@ -80,3 +80,34 @@ def test_rolling_matches_brute_force(spark, strategy):
             assert abs(std - var ** 0.5) < 1e-6
         else:
             assert std is None
+
+
+def test_percentile_is_exact_over_many_values_ranges_and_nulls(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.choice("AAAB"), round(rnd.random() * 1e6, 2)) for _ in range(5000)] + [("A", None), (None, 5.0), ("C", 1.0)]
+    df = spark.createDataFrame(rows, "k string, f double")
+    got = {r.k: r.fare_threshold for r in fare_thresholds(df, "k", "f", 0.99, parts=7).collect()}
+    want = {}
+    for k in "ABC":
+        v = sorted(x for a, x in rows if a == k and x is not None)
+        want[k] = v[max(1, len(v) - int(len(v) - 0.99 * len(v))) - 1]
+    assert got == want
+
+
+def test_heatmap_keeps_repeated_names_and_unknown_zones(spark):
+    from tripstream.operators.windows import volume_matrix
+
+    t = dt.datetime(2024, 1, 1, 10)
+    trips = [(t, 56, "Corona"), (t, 57, "Corona"), (t, 57, "Corona"), (t, 999, None), (t, None, None)]
+    df = spark.createDataFrame(trips, "ts timestamp_ntz, PULocationID int, pickup_zone string")
+    vol = volume_by_sliding_window(df, "ts", "PULocationID", "30 minutes", "15 minutes")
+    m = volume_matrix(vol, [56, 57, 57])
+    assert m.columns[2:] == ["zone_56", "zone_57", "zone_other"]
+    assert all((r.zone_56, r.zone_57, r.zone_other) == (1, 2, 2) for r in m.collect()) and m.count() == 2
+
+
+def test_money_finer_than_its_scale_is_an_error(spark):
+    t = dt.datetime(2024, 1, 1, 10)
+    df = spark.createDataFrame([(t, "A", 1.005)], "ts timestamp_ntz, k string, v double")
+    with pytest.raises(Exception, match="finer than 2 decimals"):
+        revenue_by_window(df, "ts", "k", "v", "v", "1 hour").collect()
