@@ -50,6 +50,16 @@ def test_against_brute_force(spark):
     assert got(spark, rows, length=40, gram=16, most=1) == want  # every shared anchor dealt anew
 
 
+def test_a_common_line_in_very_many_contexts(spark):
+    rnd = random.Random(11)
+    word = lambda n: "".join(rnd.choice("abcdefghijk") for _ in range(n))
+    line = word(30)
+    rows = [(i, word(rnd.randint(20, 60)) + line + (word(3) if i % 2 else line[:7]) + word(rnd.randint(20, 60))) for i in range(60)]
+    want = plain(rows, 40)
+    for most in (500, 8, 3):
+        assert got(spark, rows, length=40, gram=16, most=most) == want
+
+
 def test_given_table_at_the_contract_length(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
     rows = [tuple(r) for r in docs.collect()]
@@ -75,7 +85,7 @@ def test_segments_of_a_long_text_cross_buffers():
     rnd = random.Random(2)
     data = bytes(rnd.choice(b"abcdefgh") for _ in range(2 * S.BUFFER + 777))
     seen = 0
-    for _, at, n, _, _ in S.segments([b"short", data], S.Grams()):
+    for _, at, n, _, _, _ in S.segments([b"short", data], S.Grams()):
         seen += int(n.sum())
         assert (at + n + S.LENGTH - 1 <= len(data)).all()
     assert seen == len(data) - S.LENGTH + 1

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = work_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove staged tables whose successors are staged, and let Spark's cleaner drop the
+    shuffle files of finished steps (it follows the driver's garbage collection)."""
+    for f in frames:
+        jvm = f.sparkSession._jvm
+        p = jvm.org.apache.hadoop.fs.Path(f.staged_path)
+        p.getFileSystem(f.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+    gc.collect()
+    jvm.System.gc()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -17,8 +17,10 @@ hash. The strings that share one anchor form a segment of a document. In order:
    are induced by one scan over the buckets; then the common prefix of adjacent suffixes
    is computed. Neighbours with ``length`` bytes in common are repeated strings.
 4. An anchor with more than ``most`` different segments (a very common line in many
-   contexts) is dealt anew: each of its strings goes to a sub-group by its own first and
-   second half's fingerprints, so no task gets the group, and repeats are counted there.
+   contexts) is dealt anew before sorting: the strings that reach far enough to its left go
+   by the bytes left of it, the others by the bytes right of it. What then is still too
+   large a group goes string by string, by the fingerprints of each string's two halves, and
+   repeats are counted; no task ever gets a group.
 5. The ranges found are merged per document and cut out.
 
 Defined cases: a null or empty text, or one shorter than ``length`` bytes, is kept whole
@@ -36,11 +38,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstream.llm.common import extended, staged
+from tripstream.llm.common import discard, extended, staged
 
 LENGTH = 200
 GRAM = 64
-MOST = 2000
+MOST = 500
 BUFFER = 1 << 20
 POSITION = np.uint64(BUFFER - 1)
 SORT_BYTES = 1 << 20
@@ -82,7 +84,7 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(texts: list[bytes], grams: Grams, length: int = LENGTH):
-    """(document, first byte, strings, anchor hash, content hash) of each segment."""
+    """(document, first byte, strings, anchor's place in it, anchor hash, content hash) of each segment."""
     from xxhash import xxh3_64_intdigest
 
     step = BUFFER - length
@@ -114,7 +116,7 @@ def segments(texts: list[bytes], grams: Grams, length: int = LENGTH):
         part = np.searchsorted(begins, start, "right") - 1
         content = np.fromiter((xxh3_64_intdigest(whole[s : s + c + length - 1]) for s, c in zip(start.tolist(), count.tolist())), np.uint64, len(start))
         document = np.array([i for i, _, _ in run])[part]
-        yield document, start - begins[part] + np.array([a for _, a, _ in run])[part], count, h[anchor[first]].view(np.int64), content.view(np.int64)
+        yield document, start - begins[part] + np.array([a for _, a, _ in run])[part], count, anchor[first] - start, h[anchor[first]].view(np.int64), content.view(np.int64)
 
 
 def suffix_array(data: bytes, depth: int) -> np.ndarray:
@@ -200,17 +202,17 @@ def ranges(places: np.ndarray, length: int = LENGTH) -> list[tuple[int, int]]:
 
 
 def _listed(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """Step 1: d, t (the document), at, n, h (anchor), c (content) of every segment."""
+    """Step 1: d, t (the document), at, n, o (anchor's place), h (anchor), c (content) of every segment."""
 
     def run(batches):
         grams = Grams(gram)
         for batch in batches:
             texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
-            for document, at, n, h, c in segments(texts, grams, length):
+            for document, at, n, o, h, c in segments(texts, grams, length):
                 rows = batch.select(["d", "t"]).take(pa.array(document))
-                yield extended(rows, ["d", "t"], at=pa.array(at.astype(np.int64)), n=pa.array(n.astype(np.int32)), h=pa.array(h), c=pa.array(c))
+                yield extended(rows, ["d", "t"], at=pa.array(at.astype(np.int64)), n=pa.array(n.astype(np.int32)), o=pa.array(o.astype(np.int32)), h=pa.array(h), c=pa.array(c))
 
-    return docs.mapInArrow(run, "d bigint, t bigint, at bigint, n int, h bigint, c bigint")
+    return docs.mapInArrow(run, "d bigint, t bigint, at bigint, n int, o int, h bigint, c bigint")
 
 
 def _sorted(parts: DataFrame, length: int) -> DataFrame:
@@ -246,8 +248,30 @@ def _sorted(parts: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(run, "d bigint, t bigint, a bigint, b bigint")
 
 
-def _dealt_anew(parts: DataFrame, length: int) -> DataFrame:
-    """Step 4: the same for anchors with very many segments, string by string."""
+def _by_context(parts: DataFrame, length: int, gram: int, most: int) -> DataFrame:
+    """Step 4: the same for anchors with very many segments."""
+    side = (length - gram) // 2
+    start = F.greatest(F.lit(0), F.col("o") - side + 1)  # the first string with less than ``side`` bytes left of the anchor
+    cut = lambda a, n: F.substr("bytes", a + 1, n + length - 1)
+    lefts = F.least(F.col("n"), F.col("o") - side + 1)
+    left = parts.where(F.col("o") >= side).select("m", "d", "t", "at", lefts.alias("n"), F.xxhash64("h", F.substr("bytes", F.col("o") - side + 1, F.lit(side)), F.lit(0)).alias("h"), cut(F.lit(0), lefts).alias("bytes"))
+    rights = F.col("n") - start
+    right = parts.where(rights > 0).select("m", "d", "t", (F.col("at") + start).alias("at"), rights.alias("n"), F.xxhash64("h", F.substr("bytes", F.col("o") + gram + 1, F.lit(side)), F.lit(1)).alias("h"), cut(start, rights).alias("bytes"))
+    dealt = staged(left.unionByName(right).withColumn("c", F.xxhash64("bytes")), "suffix-contexts")
+    contents = staged(dealt.groupBy("h", "c").agg(F.sum("m").alias("s"), F.min(F.struct("d", "t", "at")).alias("x")), "suffix-context-contents")
+    copies = staged(contents.where("s > 1").select("h", "c"), "suffix-context-copies")
+    whole = dealt.where("m = 1").join(copies, ["h", "c"]).select("d", "t", F.col("at").alias("a"), (F.col("at") + F.col("n") + length - 1).alias("b"))
+    several = contents.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
+    chosen = contents.join(staged(several, "suffix-context-several"), "h").select("h", "c", "s", "k", F.col("x").alias("_x"))
+    chosen = staged(chosen, "suffix-context-chosen")
+    one = dealt.join(chosen, ["h", "c"]).where(F.struct("d", "t", "at").eqNullSafe(F.col("_x"))).dropDuplicates(["h", "c"])
+    one = staged(one.select("h", F.col("s").alias("m"), "k", "d", "t", "at", "n", "bytes"), "suffix-context-parts")
+    found = whole.unionByName(_sorted(one.where(F.col("k") <= most), length))
+    return found.unionByName(_by_string(one.where(F.col("k") > most), length))
+
+
+def _by_string(parts: DataFrame, length: int) -> DataFrame:
+    """Step 4, what is left: string by string."""
     half = length // 2
     strings = parts.select("m", "d", "t", F.posexplode(F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.struct(
         F.md5(F.substr("bytes", i, F.lit(half))).alias("x"), F.md5(F.substr("bytes", i + half, F.lit(length - half))).alias("y")))), "at")
@@ -261,19 +285,23 @@ def repeated_ranges(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM,
     """d, t, a, b: byte ranges (which may overlap) of the documents (d, t, text) that go."""
     listed = staged(_listed(docs, length, gram), "suffix-segments")
     anchors = staged(listed.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"), "suffix-anchors")
-    listed = staged(listed.join(anchors, "h"), "suffix-shared")
-    contents = listed.groupBy("h", "c").agg(F.count("*").alias("m"), F.min(F.struct("d", "t", "at", "n")).alias("x"))
+    shared = staged(listed.join(anchors, "h"), "suffix-shared")
+    discard(listed, anchors)
+    listed = shared
+    contents = listed.groupBy("h", "c").agg(F.count("*").alias("m"), F.min(F.struct("d", "t", "at", "n", "o")).alias("x"))
     contents = staged(contents.select("h", "c", "m", "x.*"), "suffix-contents")
     copies = staged(contents.where("m > 1").select("h", "c"), "suffix-copies")
     whole = listed.join(copies, ["h", "c"]).select("d", "t", F.col("at").alias("a"), (F.col("at") + F.col("n") + length - 1).alias("b"))
     several = staged(contents.groupBy("h").agg(F.count("*").alias("k")).where("k > 1"), "suffix-several")
-    chosen = contents.join(several, "h").select("h", "k", "m", F.col("d").alias("_d"), F.col("t").alias("_t"), "at", "n")
+    chosen = contents.join(several, "h").select("h", "k", "m", F.col("d").alias("_d"), F.col("t").alias("_t"), "at", "n", "o")
     parts = docs.join(chosen, docs["d"].eqNullSafe(F.col("_d")) & (docs["t"] == F.col("_t")))
-    parts = parts.select("h", "k", "m", "d", "t", "at", "n", F.substring(F.col("text").cast("binary"), F.col("at").cast("int") + 1, F.col("n") + length - 1).alias("bytes"))
+    parts = parts.select("h", "k", "m", "d", "t", "at", "n", "o", F.substring(F.col("text").cast("binary"), F.col("at").cast("int") + 1, F.col("n") + length - 1).alias("bytes"))
     # a repeated row brings its segment again; one is enough
     parts = staged(parts.dropDuplicates(["h", "d", "t", "at"]), "suffix-parts")
+    discard(contents, several)
     found = whole.unionByName(_sorted(parts.where(F.col("k") <= most), length))
-    return found.unionByName(_dealt_anew(parts.where(F.col("k") > most), length))
+    hot = parts.where(F.col("k") > most)
+    return found if hot.isEmpty() else found.unionByName(_by_context(hot, length, gram, most))
 
 
 def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, **options) -> DataFrame:
