@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ SALTS = 64
 VOCABULARY = "word_bpe_49k.json"
 CACHED_WORDS = 1_000_000
 WORDS_AT_ONCE = 20_000
-AT_ONCE = 2_000_000
+AT_ONCE = 8_000_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -49,22 +50,29 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-#: parts of these characters are cut into pre-tokens here: runs of letters, digits, runs of marks
+#: parts of one word and sentence marks, the most usual ones: two pre-tokens
+_USUAL = "^(?P<w>[A-Za-z\\x{c0}-\\x{d6}\\x{d8}-\\x{f6}\\x{f8}-\\x{ff}]*)(?P<m>[.,;:!?]*)$"
+#: other parts of these characters are cut into pre-tokens here: runs of letters, digits, runs of marks
 _PLAIN = re.compile(r"[!-&(-~\u00df-\u00f6\u00f8-\u00ff]+")
 _PRETOKEN = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
 
-class WordCache(dict):
-    """Token ids (little-endian uint32 bytes) of the parts of a text between blanks.
+def _gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` one after another."""
+    before = np.cumsum(size) - size
+    return flat[np.repeat(start - before, size) + np.arange(size.sum())]
 
-    The vocabulary's pre-tokenizer never joins anything across white space, so a text's
-    ids are its parts' ids one after another, and each part needs encoding once. Pre-tokens
-    of unseen parts are encoded many at a time and told apart by the mark that ends a word.
-    The cache is emptied at ``limit`` entries; long parts are not kept.
+
+class Words:
+    """Token ids of pre-tokens and of unusual parts, kept while there are at most ``limit``.
+
+    The vocabulary's pre-tokenizer never joins anything across white space, so a text's ids
+    are those of its parts between blanks one after another, and each part needs encoding
+    once. Unseen pre-tokens are encoded many at a time and told apart by the mark that ends
+    a word.
     """
 
     def __init__(self, path: str, limit: int = CACHED_WORDS):
-        super().__init__()
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
@@ -72,49 +80,70 @@ class WordCache(dict):
         vocabulary = tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self[""] = b""
+        self._forget()
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.encode(text, add_special_tokens=False).ids, "<u4")
+    def _forget(self) -> None:
+        self.index = {"": 0}
+        self.flat, self.start, self.size = np.zeros(0, "<u4"), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
-    def learn(self, parts: set[str]) -> None:
-        words = self.words
-        single = [(p, p.lower()) for p in parts if p.isascii() and p.isalpha()]
-        several = []
-        for part in parts.difference([p for p, _ in single]):
-            low = part.lower()
-            if _PLAIN.fullmatch(low) and "<|" not in low:
-                several.append((part, _PRETOKEN.findall(low)))
-            else:
-                self[part] = self._ids(part).tobytes()
-        fresh = {w for _, w in single}
-        fresh.update(*[cut for _, cut in several])
-        fresh = list(fresh - words.keys())
-        for at in range(0, len(fresh), WORDS_AT_ONCE):
-            own = fresh[at : at + WORDS_AT_ONCE]
+    def _keep(self, keys: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        self.index.update(zip(keys, range(len(self.start), len(self.start) + len(keys))))
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
+        self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, ids])
+
+    def _learn(self, words: list[str]) -> None:
+        """Entries for pre-tokens."""
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            own = words[at : at + WORDS_AT_ONCE]
             runs = [" ".join(own[k : k + 500]) for k in range(0, len(own), 500)]
             ids = np.concatenate([np.array(e.ids, "<u4") for e in self.encode_batch(runs, add_special_tokens=False)])
-            edges = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
-            if len(edges) != len(own) + 1:
+            last = np.flatnonzero(self.ends[ids])
+            if len(last) != len(own):
                 raise ValueError("the vocabulary does not mark the ends of words")
-            whole = ids.tobytes()
-            words.update([(w, whole[a:b]) for w, a, b in zip(own, edges, edges[1:])])
-        self.update([(p, words[w]) for p, w in single])
-        self.update([(p, b"".join([words[w] for w in cut])) for p, cut in several])
+            self._keep(own, ids, np.diff(last, prepend=-1))
+
+    def _learn_parts(self, parts: list[str]) -> None:
+        """Entries for parts that are neither a word nor a word with sentence marks."""
+        cut = {}
+        for part in parts:
+            low = part.lower()
+            cut[part] = _PRETOKEN.findall(low) if _PLAIN.fullmatch(low) and "<|" not in low else None
+        known = self.index
+        self._learn(list({w for c in cut.values() if c for w in c if w not in known}))
+        ids = [_gather(self.flat, self.start[at], self.size[at]) if c else np.array(self.encode(part, add_special_tokens=False).ids, "<u4")
+               for part, c in cut.items() for at in [[known[w] for w in c or ()]]]
+        self._keep(list(cut), np.concatenate(ids), np.array([len(x) for x in ids]))
+
+    def _entries(self, strings: pa.Array, learn) -> np.ndarray:
+        coded = strings.dictionary_encode()
+        keys = coded.dictionary.to_pylist()
+        fresh = [k for k in keys if k not in self.index]
+        if fresh:
+            learn(fresh)
+        return np.fromiter((self.index[k] for k in keys), np.int64, len(keys))[coded.indices.to_numpy()]
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        if len(self) + len(self.words) > self.limit:
-            self.clear()
-            self.words, self[""] = {}, b""
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        fresh = set().union(*parts) - self.keys()
-        self.learn(fresh)
-        out = [b"".join(map(self.__getitem__, p)) for p in parts]
-        for part in fresh:
-            if len(part) > 64:
-                del self[part]
-        return out
+        if len(self.index) > self.limit:
+            self._forget()
+        lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        coded = lists.flatten().dictionary_encode()
+        parts, which = coded.dictionary, coded.indices.to_numpy()
+        usual = pc.extract_regex(parts, _USUAL)
+        is_usual = usual.is_valid().to_numpy(zero_copy_only=False)
+        word, marks = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
+        if is_usual.any():
+            both = usual.drop_null()
+            word[is_usual] = self._entries(pc.utf8_lower(both.field("w")), self._learn)
+            marks[is_usual] = self._entries(both.field("m"), self._learn)
+        if not is_usual.all():
+            word[~is_usual] = self._entries(parts.filter(pa.array(~is_usual)), self._learn_parts)
+        # ids of each distinct part, then of each part of each text
+        pair = np.stack([word, marks], axis=1).ravel()
+        own = _gather(self.flat, self.start[pair], self.size[pair])
+        size = self.size[word] + self.size[marks]
+        out = _gather(own, (np.cumsum(size) - size)[which], size[which])
+        ends = np.concatenate([[0], np.cumsum(size[which])])[lists.offsets.to_numpy()]
+        return [out[a:b].tobytes() for a, b in zip(ends, ends[1:])]
 
 
 def _slices(text: str) -> list[str]:
@@ -129,12 +158,12 @@ def _slices(text: str) -> list[str]:
     return [*out, text[at:]]
 
 
-def token_ids(cache: WordCache, texts: list[str | None]):
+def token_ids(cache: Words, texts: list[str | None]):
     """Ids of each text, in bounded runs."""
     run, size = [], 0
     for t in texts:
         if t is not None and len(t) > AT_ONCE:
-            yield from cache.ids(run)
+            yield from cache.ids(run) if run else ()
             run, size = [], 0
             yield b"".join(x for part in _slices(t) for x in cache.ids([part]))
             continue
@@ -143,7 +172,7 @@ def token_ids(cache: WordCache, texts: list[str | None]):
         if size > AT_ONCE:
             yield from cache.ids(run)
             run, size = [], 0
-    yield from cache.ids(run)
+    yield from cache.ids(run) if run else ()
 
 
 def pieces(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size: int = SIZE,
@@ -156,7 +185,7 @@ def pieces(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size:
 
     def cut(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        cache = WordCache(path)
+        cache = Words(path)
         gc.disable()  # only acyclic data here, and a lot of it: collections would walk the cache over and over
         for batch in batches:
             row, ids, number, start, length, crc = [], [], [], [], [], []
