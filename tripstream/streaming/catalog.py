@@ -83,6 +83,25 @@ def q_bronze_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return _read_back(spark, _sliced_events(spark, d, lambda s: s, fmt="json"), EVENT_COLS)
 
 
+def q_bronze_interval_stream(spark, d):
+    """STR-11: Bronze on a processing-time trigger, the query left running while a slice lands,
+    drained and stopped."""
+    land, out, ck, schema = work_path(spark, "landing"), work_path(spark, "bronze"), work_path(spark, "ckpt"), _schema(spark, d)
+    running = []
+
+    def run(k):
+        if not running:
+            running.append(start_to_table(json_file_stream(spark, land, schema, P.table_files_per_trigger), out, ck, trigger="1 second"))
+        running[0].processAllAvailable()
+
+    try:
+        land_in_slices(B.events(spark, d), "ts", land, run, n=2, fmt="json")
+    finally:
+        for q in running:
+            q.stop()
+    return _read_back(spark, out, EVENT_COLS)
+
+
 def q_exactly_once_audit(spark, d):
     """SNK-12: Bronze written over restarts, the last one finding nothing new, then audited."""
     land, out, ck = work_path(spark, "landing"), work_path(spark, "bronze"), work_path(spark, "ckpt")
@@ -395,6 +414,7 @@ STREAM_QUERIES = {
     "completed_trips_stream": q_completed_trips_stream,
     "open_trips_stream": q_open_trips_stream,
     "bronze_roundtrip": q_bronze_roundtrip,
+    "bronze_interval_stream": q_bronze_interval_stream,
     "exactly_once_audit": q_exactly_once_audit,
     "revenue_hourly_stream": q_revenue_hourly_stream,
     "revenue_hourly_stream_paced": q_revenue_hourly_stream_paced,

@@ -76,6 +76,7 @@ STREAM_ORACLE = {
     "completed_trips_stream": BATCH_ORACLE["trip_matching"],
     "open_trips_stream": OPEN_TRIPS,
     "bronze_roundtrip": EVENTS,
+    "bronze_interval_stream": EVENTS,
     "exactly_once_audit": """
 SELECT count(*) AS source_rows, count(*) AS table_rows, CAST(0 AS BIGINT) AS missing_rows, CAST(0 AS BIGINT) AS extra_rows
 FROM events""",
