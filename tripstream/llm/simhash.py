@@ -134,8 +134,10 @@ def links(distinct: DataFrame, bits: int = BITS, cell: int = CELL) -> DataFrame:
     shared = dealt.join(sizes, ["t", "k"]).withColumn("s", F.ceil(F.col("n") / cell).cast("int"))
     shared = shared.withColumn("i", F.pmod(F.xxhash64("_fp"), F.col("s")).cast("int"))
     cells = shared.select("t", "k", "_fp", "i", F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("j"))
-    cells = cells.groupBy("t", "k", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi")).agg(
-        F.collect_list("_fp").alias("fps"), F.collect_list("i").alias("sides"))
+    # a stated number of partitions is not merged by size: cells are small but take time
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = cells.select("t", "k", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "_fp", "i").repartition(tasks, "t", "k", "lo", "hi")
+    cells = cells.groupBy("t", "k", "lo", "hi").agg(F.collect_list("_fp").alias("fps"), F.collect_list("i").alias("sides"))
     pivots = references()
 
     def compare(batches):

@@ -219,9 +219,12 @@ def archive(pages: DataFrame, *, least: int = LEAST) -> DataFrame:
     folder = work_path(pages.sparkSession, "warc")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     monoliths = staged(write(roles(rows, least), folder), "warc-monoliths")
-    return staged(normalise(monoliths.repartition("path")), "warc-index")
+    # one task per archive (a stated number of partitions is not merged, however small the list)
+    return staged(normalise(monoliths.repartition(max(1, monoliths.count()), "path")), "warc-index")
 
 
 def report(pages: DataFrame, **options) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to, as read back."""
-    return read(archive(pages, **options))
+    index = archive(pages, **options)
+    archives = max(1, index.select("archive").distinct().count())
+    return read(index.repartition(archives, "archive").sortWithinPartitions("archive", "offset"))
