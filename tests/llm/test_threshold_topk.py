@@ -55,3 +55,14 @@ def test_stops_early_where_the_bound_allows():
 def test_large_components_stay_exact():
     x = np.array([[2_000_000_000, 1], [2_000_000_000, 2]])
     assert [s for _, _, s in T._search(np.array([1, 2]), x, np.array([9]), x[:1], 2)] == [4 * 10**18 + 2, 4 * 10**18 + 1]
+
+
+def test_reads_on_until_the_bound_closes_or_all_rows_are_met():
+    rng = np.random.default_rng(8)
+    x = rng.integers(-60, 61, (700, 64))  # dense: the bound closes late or never
+    lists = T.Lists(np.arange(700), x, np.float32)
+    for q in [*rng.integers(-60, 61, (10, 64)), np.zeros(64, np.int64)]:
+        places, scores = lists.search(3, q, 5)
+        others = np.delete(np.arange(700), 3)
+        best = others[T._best((x @ q)[others], others, 5)]
+        assert places.tolist() == best.tolist() and scores.tolist() == (x @ q)[best].tolist()

@@ -5,8 +5,7 @@ work. A shard keeps, for every dimension, its rows sorted by that component. A q
 the lists in step, from the top where its own component is positive and from the bottom
 where it is negative, and scores each row it meets. The components at the current depth
 bound the score of every row not met yet; once that bound is below the kth best score the
-query stops. A query whose lists are read nearly to the end before that scores the rest
-at once. The shards' results are merged, ties going to the smaller id.
+query stops; a query whose bound never closes stops once it has met all rows. The shards' results are merged, ties going to the smaller id.
 
 Defined cases: vectors that are null or hold null, NaN or infinite components take no part;
 missing trailing components count as 0; rows with the query's own id are not its candidates
@@ -74,7 +73,7 @@ class Lists:
         self.values = np.take_along_axis(vectors.T, down, axis=1)
 
     def search(self, own: int | None, query: np.ndarray, k: int):
-        """Places of the best rows, or None where the lists were read without an answer."""
+        """Places and scores of the best rows, read until the bound closes or all rows were met."""
         n, width = self.x.shape
         used = np.flatnonzero(query)
         side = (query[used] < 0).astype(np.int64)
@@ -83,42 +82,32 @@ class Lists:
         met[self.ids == own] = True
         places, scores = np.zeros(0, np.int64), np.zeros(0, self.x.dtype)
         depth, step = 0, FIRST_DEPTH
-        while len(used) and step * len(used) * 2 < n:
+        while len(used) and depth < n and not met.all():
             fresh = np.zeros(n, bool)
             fresh[self.rows[side, used, depth : depth + step]] = True
             fresh &= ~met
             met |= fresh
             new = np.flatnonzero(fresh)
             places, scores = np.concatenate([places, new]), np.concatenate([scores, self.x[new] @ w])
-            depth, step = depth + step, 2 * step
+            depth, step = min(n, depth + step), 2 * step
             if len(places) >= k:
                 at = _best(scores, self.ids[places], k)
                 places, scores = places[at], scores[at]
                 edge = self.values[used, np.where(side == 0, depth - 1, n - depth)]
                 if int((edge * query[used]).sum()) < scores[-1]:
                     return places, scores
-        return None
+        if not len(used):  # a query without components: every row scores 0
+            places = np.flatnonzero(~met)
+            scores = np.zeros(len(places), self.x.dtype)
+        at = _best(scores, self.ids[places], k)
+        return places[at], scores[at]
 
 
 def _search(ids, vectors, query_ids, queries, k):
     """(query place, candidate place, score) of each query's k best rows in a shard."""
     kind = _exact_type(vectors, queries)
     lists = Lists(ids, vectors, kind)
-    out, rest = [], []
-    for q in range(len(queries)):
-        found = lists.search(query_ids[q], queries[q], k)
-        if found is None:
-            rest.append(q)
-        else:
-            out += [(q, p, int(s)) for p, s in zip(*found)]
-    for at in range(0, len(rest), 128):
-        part = rest[at : at + 128]
-        scores = lists.x @ queries[part].astype(kind).T
-        for c, q in enumerate(part):
-            others = np.flatnonzero(ids != query_ids[q])
-            for p in others[_best(scores[others, c], ids[others], k)]:
-                out.append((q, p, int(scores[p, c])))
-    return out
+    return [(q, p, int(s)) for q in range(len(queries)) for p, s in zip(*lists.search(query_ids[q], queries[q], k))]
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = K, shard_rows: int = SHARD_ROWS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
