@@ -57,3 +57,11 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.report(docs, none).where("contaminated").count() == 0
     assert D.report(docs.limit(0), spark.createDataFrame(ITEMS, "item_id long, text string")).count() == 0
+
+
+def test_one_block_of_the_benchmark_at_a_time(spark):
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "x y z"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(str(i), t) for i, t in enumerate(("a b", "b c", "x y", "y z"))], "item_id string, text string")
+    got = D.flagged(docs, items, window=2, block_chars=5)
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r.doc_id: list(r["_items"]) for r in got.collect()} == {1: ["0", "1"], 2: ["2", "3"], 3: []}

@@ -10,8 +10,9 @@ too and keep the phrases whose every term occurs within some ``slop`` consecutiv
 
 The index is sharded by document, so no posting ever crosses the network. Test
 phrases go to the shards in blocks of at most ``block_chars`` characters, the
-proven bound of one broadcast; a larger benchmark is answered in several blocks,
-chained over the same scan.
+proven bound of one broadcast; a larger benchmark is answered in several blocks, one
+after the other, each staged before the next. The index lives as long as its batch:
+it holds the test terms only and is not stored.
 
 Defined cases: a null or empty text has no words (n_words 0, nothing hit); an item
 without words matches nothing; an item shorter than the window is one window of
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstream.llm.common import carried, ddl, extended
+from tripstream.llm.common import carried, ddl, extended, staged
 
 WINDOW = 10
 BLOCK_CHARS = 16_000_000
@@ -239,6 +240,9 @@ def flagged(docs: DataFrame, items: DataFrame, *, text: str = "text", item_id: s
                                _items=pa.array(items, strings), _near=pa.array(near, strings), _spans=pa.array(spans, pa.list_(pa.int32())))
 
         out = out.mapInArrow(search, f"{kept_ddl}, {FOUND}" if last else ddl(out.schema))
+        if not last:  # one block's phrases at a time
+            out = staged(out, f"decontaminate-{block}")
+            phrases.unpersist()
     return out.toDF(*keep, *[c.split()[0] for c in FOUND.split(", ")])
 
 
