@@ -89,3 +89,8 @@ def test_empty_table_and_native_plan(spark):
     assert P.report(df).count() == 0
     plan = P.report(df)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_a_span_does_not_need_others_in_its_text_to_be_proposed(spark):
+    df = spark.createDataFrame([("joe at example dotcom",), ("joe at example dot com",), ("joe (at) example.com",)], "text string")
+    assert df.where(P.NEEDS["email_spelled"](df.text)).count() == df.where(df.text.rlike(P.PATTERNS["email_spelled"])).count() == 3

@@ -60,7 +60,7 @@ NEEDS = {
     "ip": lambda t: t.rlike(r"[0-9]\.[0-9]"),
     "card": lambda t: t.rlike(r"[0-9][ -]?[0-9]"),
     "phone": lambda t: t.contains("+"),
-    "email_spelled": lambda t: t.rlike(r"[(\[{]at[)\]}]|at [A-Za-z0-9-]++ dot "),
+    "email_spelled": lambda t: t.rlike(r"[(\[{]at[)\]}]|at [A-Za-z0-9-]++ dot"),
     "phone_local": lambda t: t.rlike(r"[0-9]{3}[ .-][0-9]{4}"),
     "national_id": lambda t: t.rlike(r"[0-9]-[0-9]{2}-[0-9]"),
     "person": lambda t: t.rlike(rf"(?<![A-Za-z])(?:(?:{'|'.join(TITLES)})\.? [A-Z]|{_NAME}(?![A-Za-z]))"),
