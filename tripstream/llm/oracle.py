@@ -67,9 +67,34 @@ SELECT page_id, n AS payload_bytes, d.digest AS payload_digest,
 FROM d LEFT JOIN m ON m.digest = d.digest AND c > 1
 """
 
+OP11 = """
+WITH bits AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384 * (c & 1))) AS v
+              FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i))),
+tu AS (SELECT conv_id, struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) AS p,
+              row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS k
+       FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(p ORDER BY k) AS s FROM tu GROUP BY conv_id),
+hs AS (SELECT conv_id, s, conv_id - conv_id % 20 AS root,
+              xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(ord(ch) AS BIGINT) for ch in string_split(CAST(conv_id AS VARCHAR), '')]),
+                  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 4 AS h
+       FROM own, bits),
+made AS (SELECT a.conv_id, list_concat(coalesce(o.s, [])[1:a.h], a.s[a.h + 1:]) AS s FROM hs a LEFT JOIN own o ON o.conv_id = a.root),
+pre AS (SELECT conv_id, d, s[1:d] AS q, len(s) = d AS ends FROM made, unnest(range(0, len(s) + 1)) AS r(d)),
+node AS (SELECT q, min(conv_id) AS conv_id, d AS depth, count(*) AS n_convs, coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS e
+         FROM pre GROUP BY q, d),
+kids AS (SELECT q[1:depth - 1] AS q, count(*) AS c FROM node WHERE depth > 0 GROUP BY 1),
+val AS (SELECT node.*, coalesce(c, 0) AS n_children, CASE WHEN depth > 0 THEN (n_convs - 1) * len(regexp_extract_all(q[depth].x, '[^\\x20\\x09-\\x0D]+')) ELSE 0 END AS v
+        FROM node LEFT JOIN kids USING (q)),
+up AS (SELECT q[1:a] AS q, sum(v) AS saved, sum(CAST(n_children = 0 AS BIGINT)) AS leaves FROM val, unnest(range(0, depth + 1)) AS r(a) GROUP BY 1)
+SELECT val.conv_id, val.depth, par.conv_id AS parent_conv_id, val.n_convs, val.n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+       sha256(val.e) AS ends_sha256
+FROM val JOIN up USING (q) LEFT JOIN node par ON par.q = val.q[1:val.depth - 1] AND val.depth > 0
+"""
+
 LLM_ORACLE = {
     "op2_url_filter": OP2,
     "op7_threshold_topk": OP7,
     "op9_decontaminate": OP9,
     "op10_warc": OP10,
+    "op11_prefix_trie": OP11,
 }

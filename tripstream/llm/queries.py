@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripstream.llm import compact_windows, decontaminate, language, packing, pii, simhash, suffix_dedup, threshold_topk, url_filter, warc
+from tripstream.llm import compact_windows, decontaminate, language, packing, pii, prefix_trie, simhash, suffix_dedup, threshold_topk, url_filter, warc
 from tripstream.llm.common import table
 
 
@@ -48,6 +48,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(table(spark, sf_dir, "pages"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.report(table(spark, sf_dir, "conversations"))
+
+
 LLM_QUERIES = {
     "op1_pii": op1_pii,
     "op2_url_filter": op2_url_filter,
@@ -59,4 +63,5 @@ LLM_QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
+    "op11_prefix_trie": op11_prefix_trie,
 }
