@@ -27,13 +27,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def discard(*frames: DataFrame) -> None:
     """Remove staged tables whose successors are staged, and let Spark's cleaner drop the
-    shuffle files of finished steps (it follows the driver's garbage collection)."""
+    shuffle files of finished steps."""
     for f in frames:
         jvm = f.sparkSession._jvm
         p = jvm.org.apache.hadoop.fs.Path(f.staged_path)
         p.getFileSystem(f.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+    release(f.sparkSession)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner, which follows the driver's garbage collection, drop the shuffle files of finished steps."""
     gc.collect()
-    jvm.System.gc()
+    spark._jvm.System.gc()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

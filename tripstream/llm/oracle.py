@@ -91,10 +91,25 @@ SELECT val.conv_id, val.depth, par.conv_id AS parent_conv_id, val.n_convs, val.n
 FROM val JOIN up USING (q) LEFT JOIN node par ON par.q = val.q[1:val.depth - 1] AND val.depth > 0
 """
 
+_TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, t, len(t) AS n FROM (SELECT doc_id, {_TERMS} AS t FROM documents) WHERE len(t) > 0),
+tot AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM d),
+p AS (SELECT r, x, count(*) AS tf FROM d, unnest(t) AS u(x) GROUP BY r, x),
+w AS (SELECT x, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p, tot GROUP BY x, nn),
+q AS (SELECT DISTINCT item_id, x FROM (SELECT item_id, {_TERMS} AS t FROM benchmark), unnest(t) AS u(x)),
+s AS (SELECT item_id, d.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll)))) AS BIGINT) AS score
+      FROM q JOIN w USING (x) JOIN p USING (x) JOIN d USING (r), tot GROUP BY item_id, r, d.doc_id),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
 LLM_ORACLE = {
     "op2_url_filter": OP2,
     "op7_threshold_topk": OP7,
     "op9_decontaminate": OP9,
     "op10_warc": OP10,
     "op11_prefix_trie": OP11,
+    "op12_k2_treap_search": OP12,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripstream.llm import compact_windows, decontaminate, language, packing, pii, prefix_trie, simhash, suffix_dedup, threshold_topk, url_filter, warc
+from tripstream.llm import compact_windows, decontaminate, katz, language, packing, pii, prefix_trie, ranked_search, simhash, suffix_dedup, threshold_topk, url_filter, warc
 from tripstream.llm.common import table
 
 
@@ -52,6 +52,14 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.report(table(spark, sf_dir, "conversations"))
 
 
+def op12_k2_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.report(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_pii": op1_pii,
     "op2_url_filter": op2_url_filter,
@@ -64,4 +72,6 @@ LLM_QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_k2_treap_search": op12_k2_treap_search,
+    "op13_katz_backoff": op13_katz_backoff,
 }
