@@ -1,7 +1,7 @@
 """Pipeline parameters.
 
 Fixed values that must equal the reference pipeline's settings for equal
-results: landing batch 500 rows every 2.0 s, 1 file per Bronze trigger and 5 per downstream trigger, a 3 s trigger,
+results: landing batch 500 rows, 1 file per Bronze trigger and 5 per downstream trigger, a 3 s trigger,
 watermarks Silver 10 min / revenue 30 min / volume 15 min / anomaly 10 min /
 completed trips 3 h, fare threshold 3.0 standard deviations, tumbling window
 1 hour, sliding window 30 minutes every 15 minutes.
@@ -16,7 +16,6 @@ from dataclasses import dataclass, replace
 class Params:
     # landing / replay
     landing_batch_rows: int = 500
-    landing_interval_s: float = 2.0
     # triggers
     bronze_files_per_trigger: int = 1
     table_files_per_trigger: int = 5

@@ -34,6 +34,16 @@ def epoch_micros(col: str) -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, {_EPOCH_NTZ}, {_name(col)})")
 
 
+def epoch_micros_of(c: Column) -> Column:
+    """The same of a wall-clock expression."""
+    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), c)
+
+
+def wall_clock_of(micros: Column) -> Column:
+    """Wall-clock timestamp of microseconds since 1970-01-01 (zone-independent)."""
+    return F.timestamp_add("MICROSECOND", micros, F.expr(_EPOCH_NTZ))
+
+
 def to_instant(col: str) -> Column:
     """Wall-clock -> instant, reading the wall clock as UTC (zone-independent)."""
     return F.timestamp_micros(epoch_micros(col))

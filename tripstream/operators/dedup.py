@@ -14,11 +14,16 @@ from pyspark.sql import functions as F
 
 
 def dedup_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """STR-7: one row per key, the first by ``order`` (nulls first), ties by the rest."""
+    """STR-7: one row per key, the first by ``order`` (nulls first), ties by the rest.
+
+    A null is no value that two keys could share: a row with a null in its key is a copy
+    only of a row that agrees with it in every column.
+    """
     order = list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
     fields = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order + rest)]
-    out = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_first"))
+    partial_key = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
+    out = df.groupBy(*keys, F.when(partial_key, F.struct(*fields)).alias("_whole")).agg(F.min(F.struct(*fields)).alias("_first"))
     pos = {c: i for i, c in enumerate(order + rest)}
     return out.select(*[F.col(c) if c in keys else F.col(f"_first._o{pos[c]}").alias(c) for c in df.columns])
 

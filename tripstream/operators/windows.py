@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripstream.config import DEFAULT_PARAMS
+from tripstream.functions.timestamps import epoch_micros, epoch_micros_of, wall_clock_of
+from tripstream.session import materialized
 
 SCALE = DEFAULT_PARAMS.money_scale
 MONEY = f"decimal(18,{SCALE})"
@@ -75,7 +77,9 @@ def volume_by_sliding_window(
 
 
 def volume_matrix(volume: DataFrame, zone_ids: list[int], key: str = "PULocationID") -> DataFrame:
-    """AGG-9: window x zone matrix for a heatmap, one column per zone id and one for all other rows.
+    """AGG-9, wide: window x zone matrix for display, one column per zone id and one for all other rows.
+
+    A column per id needs the ids on the driver; ``volume_grid`` is the form for any number of zones.
 
     The column set is the zone dimension's unique ids (names may repeat), so it does not
     depend on the trips, and the cells add up to the whole volume.
@@ -87,3 +91,37 @@ def volume_matrix(volume: DataFrame, zone_ids: list[int], key: str = "PULocation
         .pivot("_label", [f"zone_{z}" for z in known] + ["zone_other"])
         .agg(F.sum("trip_volume"))
     )
+
+
+GRID_CHUNK = 10_000
+
+
+def volume_grid(volume: DataFrame, zones: DataFrame, key: str, zone_key: str, slide: str) -> DataFrame:
+    """AGG-9, long and dense: one row per window and zone, zero where nothing happened.
+
+    ``volume``: window_start, window_end (wall clock), ``key``, trip_volume. The windows run from the first
+    to the last one seen, ``slide`` apart; the zones are the distinct ids of ``zones.zone_key``
+    and one null row for all other ids, so the cells add up to the whole volume. Only the two
+    bounds pass through the driver: the grid is made by the tasks, in pieces of ``GRID_CHUNK``
+    windows, and meets the volume in an equi-join. Without volume there is no grid.
+    """
+    spark = volume.sparkSession
+    volume = materialized(volume, "volume")
+    start, end = epoch_micros("window_start"), epoch_micros("window_end")
+    r = volume.agg(F.min(start).alias("lo"), F.max(start).alias("hi"), F.min(end - start).alias("width")).first()
+    step = int(spark.range(1).select(epoch_micros_of(F.expr(f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + INTERVAL {slide}"))).first()[0])
+    known = zones.select(F.col(zone_key).cast(volume.schema[key].dataType).alias("_zone")).dropna().distinct()
+    counts = (
+        volume.join(known, F.col(key) == F.col("_zone"), "left")
+        .groupBy(F.col("window_start").alias("_at"), F.col("_zone").alias("_of")).agg(F.sum("trip_volume").alias("trip_volume"))
+    )
+    if r["lo"] is None:
+        return volume.select("window_start", "window_end", key, "trip_volume").limit(0)
+    n = (r["hi"] - r["lo"]) // step + 1
+    rows = known.unionByName(spark.range(1).select(F.lit(None).cast(volume.schema[key].dataType).alias("_zone")))
+    pieces = rows.withColumn("_first", F.explode(F.sequence(F.lit(0), F.lit(n - 1), F.lit(GRID_CHUNK)))).repartition("_zone", "_first")
+    cells = pieces.withColumn("_i", F.explode(F.sequence("_first", F.least(F.col("_first") + GRID_CHUNK - 1, F.lit(n - 1)))))
+    at = F.col("_i").cast("long") * step + r["lo"]
+    cells = cells.withColumn("window_start", wall_clock_of(at)).withColumn("window_end", wall_clock_of(at + r["width"]))
+    met = cells.join(counts, (F.col("window_start") == F.col("_at")) & F.col("_zone").eqNullSafe(F.col("_of")), "left")
+    return met.select("window_start", "window_end", F.col("_zone").alias(key), F.coalesce("trip_volume", F.lit(0)).alias("trip_volume"))

@@ -6,6 +6,8 @@ Computed columns carry the same names as in ``tripstream.plans.oracle``.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +25,8 @@ from tripstream.operators.enrich import add_revenue_per_mile, enrich_with_zones
 from tripstream.operators.matching import TRIP_KEY, interval_join, match_trips
 from tripstream.operators.quality import apply_quality_filters
 from tripstream.operators.replay import cut_batches, impute_zone_ids, observed_zone_ids, zone_pool
-from tripstream.operators.skew import salted_trip_totals
-from tripstream.operators.windows import revenue_by_window, volume_by_sliding_window, volume_matrix
+from tripstream.operators.skew import salted_layout, trip_totals
+from tripstream.operators.windows import revenue_by_window, volume_by_sliding_window, volume_grid, volume_matrix
 from tripstream.plans.layers import silver_batch
 from tripstream.schemas import PICKUP, TRIP_CORE_SCHEMA, ZONE_SCHEMA
 from tripstream.session import materialized, work_path
@@ -119,10 +121,25 @@ def q_volume_sliding_events(spark, d):
 def q_heatmap_pivot(spark, d):
     """AGG-9: volume per window and zone id; ids that the zone table does not list share one column."""
     vol = volume_by_sliding_window(_silver(spark, d), PICKUP, "PULocationID", P.volume_window, P.volume_slide)
-    ids = [r["LocationID"] for r in B.zones(spark, d).select("LocationID").dropna().distinct().collect()]
+    limit = int(spark.conf.get("spark.sql.pivotMaxValues"))  # Spark's own bound on columns made from values
+    ids = [r["LocationID"] for r in B.zones(spark, d).select("LocationID").dropna().distinct().limit(limit + 1).collect()]
+    if len(ids) > limit:
+        raise ValueError(f"over {limit} zones make no columns; heatmap_grid has the same cells as rows")
     return volume_matrix(vol, ids)
 
 
+def q_heatmap_grid(spark, d):
+    """AGG-9 dense: trips per day and zone, zeros included. Pickups are whole days in the shared tables."""
+    vol = volume_by_sliding_window(_silver(spark, d), PICKUP, "PULocationID", "1 day", "1 day")
+    return volume_grid(vol, B.zones(spark, d), "PULocationID", "LocationID", "1 day")
+
+
+def q_heatmap_grid_events(spark, d):
+    """AGG-9 dense over the sliding windows of AGG-3; the event types are the zones."""
+    e = B.events(spark, d)
+    return volume_grid(volume_by_sliding_window(e, "ts", "event_type", P.volume_window, P.volume_slide), e, "event_type", "event_type", P.volume_slide)
+
+
 def q_anomaly_batch_stats(spark, d):
     return flag_fare_anomalies(B.events(spark, d), "event_type", "value", P.fare_sigma).drop("flagged_at")
 
@@ -183,7 +200,29 @@ def q_event_open(spark, d):
 
 
 def q_skew_agg(spark, d):
-    return salted_trip_totals(apply_quality_filters(B.raw_trips(spark, d)))
+    return trip_totals(apply_quality_filters(B.raw_trips(spark, d)))
+
+
+def q_skew_layout(spark, d):
+    """LAY-1: raw trips laid out by pickup zone, hot zones split over several files, read back whole."""
+    path = work_path(spark, "by_zone")
+    salted_layout(materialized(B.raw_trips(spark, d), "trips"), "PULocationID", int(spark.conf.get("spark.sql.shuffle.partitions"))).write.parquet(path)
+    return read_parquet(spark, path)
+
+
+def q_trip_id_murmur3(spark, d):
+    """SCL-4: the trip id as Spark's 32-bit hash."""
+    o = B.table(spark, d, "orders")
+    return o.select("o_orderkey", trip_id(o, ["o_custkey", "o_orderdate", "o_orderkey"], "murmur3").alias("trip_id"))
+
+
+def q_anomaly_clock(spark, d):
+    """SCL-11, PRJ-7: flags carry the time of their run (one time for all rows), here compared with the driver's clock."""
+    before = dt.datetime.now(dt.timezone.utc) - dt.timedelta(minutes=5)  # clocks of driver and this process may differ a little
+    flagged = materialized(flag_fare_anomalies(B.events(spark, d), "event_type", "value", P.fare_sigma), "flagged")
+    now = F.col("flagged_at").between(F.lit(before), F.lit(dt.datetime.now(dt.timezone.utc) + dt.timedelta(minutes=5)))
+    one = F.col("flagged_at") == F.lit(flagged.agg(F.min("flagged_at")).first()[0])
+    return flagged.select("event_id", "value", now.alias("flagged_now"), one.alias("same_clock"))
 
 
 def q_replay_batches(spark, d):
@@ -206,6 +245,8 @@ BATCH_QUERIES = {
     "volume_sliding": q_volume_sliding,
     "volume_sliding_events": q_volume_sliding_events,
     "heatmap_pivot": q_heatmap_pivot,
+    "heatmap_grid": q_heatmap_grid,
+    "heatmap_grid_events": q_heatmap_grid_events,
     "quality_filters": q_quality_filters,
     "zone_enrich": q_zone_enrich,
     "zone_enrich_csv": q_zone_enrich_csv,
@@ -227,6 +268,9 @@ BATCH_QUERIES = {
     "event_matching": q_event_matching,
     "event_open": q_event_open,
     "skew_agg": q_skew_agg,
+    "skew_layout": q_skew_layout,
+    "trip_id_murmur3": q_trip_id_murmur3,
+    "anomaly_clock": q_anomaly_clock,
     "replay_batches": q_replay_batches,
     "zone_pool": q_zone_pool,
     "impute_zone": q_impute_zone,

@@ -57,8 +57,13 @@ dedup AS (
       ORDER BY tpep_pickup_datetime NULLS FIRST, tpep_dropoff_datetime NULLS FIRST,
                passenger_count NULLS FIRST, trip_distance NULLS FIRST, DOLocationID NULLS FIRST,
                fare_amount NULLS FIRST, tip_amount NULLS FIRST, total_amount NULLS FIRST) AS rn
-    FROM quality) t
+    FROM quality
+    WHERE VendorID IS NOT NULL AND tpep_pickup_datetime IS NOT NULL AND PULocationID IS NOT NULL) t
   WHERE rn = 1
+  UNION ALL
+  SELECT DISTINCT VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance,
+         PULocationID, DOLocationID, fare_amount, tip_amount, total_amount
+  FROM quality WHERE VendorID IS NULL OR tpep_pickup_datetime IS NULL OR PULocationID IS NULL
 )"""
 
 
@@ -178,7 +183,55 @@ st AS (SELECT event_type, h, CAST(s1 AS DOUBLE) / n / 100.0 AS a,
 SELECT e.* FROM events e JOIN st ON e.event_type = st.event_type AND CAST(floor(epoch_us(e.ts) / 3600000000) AS BIGINT) = st.h
 WHERE e.value > st.a + st.sd * 3.0"""
 
+
+
+def _grid(volume: str, zone: str, zones: str, step: str, width: str) -> str:
+    """Every window between the first and the last, every known zone and a null one, zero where ``vol`` has no row."""
+    return f"""
+vol AS ({volume}),
+known AS ({zones}),
+lab AS (SELECT window_start, known.z, sum(trip_volume) AS v FROM vol LEFT JOIN known ON vol.{zone} = known.z GROUP BY ALL),
+cells AS (SELECT w.window_start, k.z FROM (SELECT unnest(generate_series((SELECT min(window_start) FROM vol), (SELECT max(window_start) FROM vol), INTERVAL {step})) AS window_start) w,
+          (SELECT z FROM known UNION ALL SELECT NULL) k)
+SELECT cells.window_start, cells.window_start + INTERVAL {width} AS window_end, cells.z AS {zone}, CAST(coalesce(v, 0) AS BIGINT) AS trip_volume
+FROM cells LEFT JOIN lab ON lab.window_start = cells.window_start AND lab.z IS NOT DISTINCT FROM cells.z"""
+
+
+_DAYS = """
+SELECT time_bucket(INTERVAL 1 DAY, tpep_pickup_datetime) AS window_start, PULocationID, count(*) AS trip_volume
+FROM silver WHERE tpep_pickup_datetime IS NOT NULL GROUP BY ALL"""
+
+
+def _murmur3(text: str) -> str:
+    """Spark's 32-bit hash (seed 42) of ASCII text: whole little-endian words, then single bytes.
+
+    Fixed values of the published hash: multipliers 3432918353, 461845907, 5 and 3864292196,
+    2246822507 and 3266489909; rotations 15 and 13; shifts 16, 13 and 16.
+    """
+    m = "4294967296"
+    rot = lambda x, n: f"(({x} * {1 << n}) % {m} + ({x} // {1 << (32 - n)}))"
+    k1 = f"(k * 3432918353) % {m}"
+    steps = f"""
+ch AS (SELECT o_orderkey, {text} AS s FROM orders),
+by_ AS (SELECT o_orderkey, [CAST(ord(c) AS HUGEINT) for c in string_split(s, '')] AS b, length(s) AS n FROM ch),
+wd AS (SELECT o_orderkey, n, list_concat([b[4 * i + 1] + b[4 * i + 2] * 256 + b[4 * i + 3] * 65536 + b[4 * i + 4] * 16777216 for i in range(0, n // 4)], b[n // 4 * 4 + 1:]) AS ks FROM by_),
+mx AS (SELECT o_orderkey, n, [({rot('x', 15)} * 461845907) % {m} for x in [{k1} for k in ks]] AS ks FROM wd),
+hs AS (SELECT o_orderkey, n, list_reduce(list_prepend(CAST(42 AS HUGEINT), ks), lambda h, k: ({rot('xor(h, k)', 13)} * 5 + 3864292196) % {m}) AS h FROM mx),
+f1 AS (SELECT o_orderkey, xor(h, CAST(n AS HUGEINT)) AS h FROM hs),
+f2 AS (SELECT o_orderkey, (xor(h, h // 65536) * 2246822507) % {m} AS h FROM f1),
+f3 AS (SELECT o_orderkey, (xor(h, h // 8192) * 3266489909) % {m} AS h FROM f2),
+f4 AS (SELECT o_orderkey, xor(h, h // 65536) AS h FROM f3)"""
+    return f"WITH {steps} SELECT o_orderkey, CAST(CASE WHEN h >= 2147483648 THEN h - {m} ELSE h END AS INTEGER) AS trip_id FROM f4"
+
+
 BATCH_ORACLE = {
+    "heatmap_grid": f"""{SILVER_CTES}, {_grid(_DAYS, 'PULocationID', 'SELECT DISTINCT n_nationkey AS z FROM nation WHERE n_nationkey IS NOT NULL', '1 DAY', '1 DAY')}""",
+    "heatmap_grid_events": f"""WITH {_grid(_volume('events', 'ts', 'event_type'), 'event_type', 'SELECT DISTINCT event_type AS z FROM events WHERE event_type IS NOT NULL', '15 MINUTE', '30 MINUTE')}""",
+    "skew_layout": f"{_with(RAW)} SELECT * FROM raw",
+    "trip_id_murmur3": _murmur3("concat_ws('|', CAST(o_custkey AS VARCHAR), strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f'), CAST(o_orderkey AS VARCHAR))"),
+    "anomaly_clock": """
+WITH s AS (SELECT event_type, avg(value) AS a, stddev_samp(value) AS sd FROM events GROUP BY event_type)
+SELECT e.event_id, e.value, true AS flagged_now, true AS same_clock FROM events e JOIN s ON e.event_type = s.event_type WHERE e.value > s.a + s.sd * 3.0""",
     "anomaly_rolling_hourly": ROLLING_HOURLY,
     "revenue_hourly": f"{SILVER_CTES} {_revenue('silver', 'tpep_pickup_datetime', 'pickup_borough', 'total_amount', 'fare_amount')}",
     "revenue_hourly_events": _revenue("events", "ts", "event_type", "value", "value"),

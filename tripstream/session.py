@@ -61,6 +61,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def children(spark: SparkSession, path: str) -> list:
+    """Hadoop file statuses directly below ``path`` (none if it is missing)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return list(fs.listStatus(p)) if fs.exists(p) else []
+
+
 def materialized(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once below the shared folder and read it back.
 

@@ -43,13 +43,15 @@ def land_in_slices(
     held: Column | None = None,
     fmt: str = "parquet",
     columns: list[str] | None = None,
+    unit_us: int = HOUR_US,
 ) -> None:
     """Append slice by slice below ``path``, calling ``after_each(k)`` when slice ``k`` has landed.
 
     Rows for which ``held`` is true arrive with the last slice, whatever their time.
-    ``columns``: what is written (all but the helper columns of ``df`` by default).
+    ``columns``: what is written (all but the helper columns of ``df`` by default). ``unit_us``:
+    slices are cut at whole units of this length (1: anywhere, so inside hours).
     """
-    k_of = slice_number(ts, slice_bounds(df, ts, n))
+    k_of = slice_number(ts, slice_bounds(df, ts, n, unit_us))
     if held is not None:
         k_of = F.when(F.coalesce(held, F.lit(False)), n - 1).otherwise(k_of)
     for k in range(n):

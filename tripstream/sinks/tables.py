@@ -11,6 +11,16 @@ def with_date(df: DataFrame, ts: str = "window_start", name: str = "date") -> Da
     return df.withColumn(name, F.to_date(F.col(ts)))
 
 
+def clustered(df: DataFrame, columns: list[str]) -> DataFrame:
+    """SNK-9: rows of one partition directory meet in one task before a partitioned write.
+
+    Without it every task that holds a row of a directory writes its own file there; with it a
+    directory gets one file per write. Meant for aggregated tables, whose directories hold few
+    rows each; a table of raw rows is better served by ``operators.skew.salted_layout``.
+    """
+    return df.repartition(*columns)
+
+
 def exactly_once_audit(source: DataFrame, table: DataFrame) -> DataFrame:
     """SNK-12: row counts both sides, plus rows missing from / extra in the table.
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripstream.operators.dedup import dedup_first
-from tripstream.session import path_exists
+from tripstream.session import children, path_exists
 
 BATCH_COL = "upsert_batch"
 
@@ -86,7 +86,7 @@ class KeyedUpsertTable:
             return None
         if batch_id is not None and not path_exists(self.spark, f"{self.path}/{BATCH_COL}={batch_id}"):
             return None
-        if not any(f.isDirectory() for f in _children(self.spark, self.path)):
+        if not any(f.isDirectory() for f in children(self.spark, self.path)):
             return None  # only empty batches so far
         v = self.spark.read.parquet(self.path)
         return v if batch_id is None else v.filter(F.col(BATCH_COL) == batch_id)
@@ -102,7 +102,3 @@ class KeyedUpsertTable:
         latest = v.groupBy(*self.keys).agg(F.max_by(F.struct(*[F.col(c) for c in payload]), F.col(BATCH_COL)).alias("_row"))
         return latest.select(*self.keys, *[F.col(f"_row.{c}").alias(c) for c in payload])
 
-
-def _children(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)

@@ -26,9 +26,13 @@ def table_stream(
     schema: StructType | None = None,
     fmt: str = "parquet",
     max_files: int | None = 5,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """SRC-2 (rate-capped) / SRC-3 (``max_files=None``): a stored table read as a stream.
 
+    ``max_bytes`` admits files by their size instead of their number, so that triggers follow
+    the data and not how it happens to be cut into files (Spark takes one cap, not both).
+
     Parquet file streams need the schema; when none is given it is taken from
     the table as it stands now (a batch read of the footers).
     """
@@ -37,7 +41,9 @@ def table_stream(
     r = spark.readStream.format(fmt)
     if schema is not None:
         r = r.schema(schema)
-    if max_files:
+    if max_bytes:
+        r = r.option("maxBytesPerTrigger", max_bytes)
+    elif max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.load(path)
 

@@ -16,6 +16,15 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return r.parquet(path)
 
 
+def read_found(spark: SparkSession, path: str) -> DataFrame:
+    """SNK-10: a table whose files differ in their schema, which is found by merging all footers.
+
+    Columns that a file lacks read as null; decimals of one scale widen to the widest. The
+    footers are read by a Spark job; other changes of type are an error, never a guess.
+    """
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def read_dimension_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """SRC-5: static lookup CSV with a heading line, typed by an explicit schema."""
     return spark.read.schema(schema).option("header", True).csv(path)

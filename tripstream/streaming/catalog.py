@@ -18,13 +18,13 @@ from tripstream.config import DEFAULT_PARAMS
 from tripstream.functions.derived import duration_minutes
 from tripstream.functions.timestamps import parse_timestamp
 from tripstream.operators.dedup import dedup_with_watermark, dedup_within_watermark
-from tripstream.operators.matching import interval_join, with_trip_id
+from tripstream.operators.matching import SILVER_IDENTITY, interval_join, with_trip_id
 from tripstream.operators.windows import revenue_by_window
 from tripstream.plans.catalog import TABLE_TRIP_SECONDS, q_silver
 from tripstream.schemas import DROPOFF, PICKUP, SILVER_SCHEMA, TRIP_CORE_SCHEMA
 from tripstream.session import work_path
 from tripstream.sinks.slices import SLICES, land_in_slices, slice_bounds, slice_number
-from tripstream.sinks.tables import exactly_once_audit, with_date
+from tripstream.sinks.tables import clustered, exactly_once_audit, with_date
 from tripstream.sinks.upsert import KeyedUpsertTable
 from tripstream.sources import bindings as B
 from tripstream.sources.streams import JSON_TS_OPTIONS, json_file_stream, table_stream
@@ -40,7 +40,6 @@ from tripstream.streaming.runner import (
 P = DEFAULT_PARAMS
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 CHAIN_SLICES = 3
-SILVER_IDENTITY = ("VendorID", PICKUP, DROPOFF, "PULocationID", "DOLocationID", "passenger_count", "trip_distance", "fare_amount", "tip_amount", "total_amount")
 
 
 def _held() -> Column:
@@ -57,9 +56,12 @@ def _given_events(spark, d) -> DataFrame:
     return table_stream(spark, f"{d.rstrip('/')}/event[s].parquet", _schema(spark, d), "parquet", None)
 
 
-def _sliced_events(spark, d, build, partition_by=None, held=False, copies: int = 1, fmt: str = "parquet") -> str:
-    """Run ``build(stream)`` into a table over the events in slices; returns the table's path."""
-    land, out, ck = work_path(spark, "landing"), work_path(spark, "table"), work_path(spark, "ckpt")
+def _sliced_events(spark, d, build, partition_by=None, held=False, copies: int = 1, fmt: str = "parquet", ckpt=None, on_run=None) -> str:
+    """Run ``build(stream)`` into a table over the events in slices; returns the table's path.
+
+    ``on_run(query)`` is called with every finished run.
+    """
+    land, out, ck = work_path(spark, "landing"), work_path(spark, "table"), ckpt or work_path(spark, "ckpt")
     events, schema = B.events(spark, d), _schema(spark, d)
     if copies > 1:  # every event arrives several times
         events = events.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("_copy")
@@ -67,7 +69,9 @@ def _sliced_events(spark, d, build, partition_by=None, held=False, copies: int =
 
     def run(_):
         src = json_file_stream(spark, land, schema, None) if fmt == "json" else table_stream(spark, land, schema, "parquet", None)
-        run_to_table(build(src), out, ck, partition_by=partition_by)
+        q = run_to_table(build(src), out, ck, partition_by=partition_by)
+        if on_run:
+            on_run(q)
 
     land_in_slices(events, "ts", land, run, held=early, fmt=fmt)
     return out
@@ -349,7 +353,18 @@ def q_medallion_volume_stream(spark, d):
 
 def q_gold_partitioned(spark, d):
     """SNK-9: Gold A laid out by date and borough, read back whole."""
-    return _gold(spark, d, lambda s: with_date(L.revenue_stream(s, P)), ["date", "pickup_borough"])
+    by = ["date", "pickup_borough"]
+    return _gold(spark, d, lambda s: clustered(with_date(L.revenue_stream(s, P)), by), by)
+
+
+def gold_events_layout(spark, d) -> str:
+    """SNK-9 on hourly data: revenue per hour and type, in one directory per date and type."""
+    by = ["date", "event_type"]
+    return _sliced_events(spark, d, lambda s: clustered(with_date(_revenue_events(s)), by), partition_by=by)
+
+
+def q_gold_partitioned_events(spark, d):
+    return _read_back(spark, gold_events_layout(spark, d))
 
 
 def q_medallion_anomaly_stream(spark, d):
@@ -422,6 +437,7 @@ STREAM_QUERIES = {
     "volume_sliding_stream": q_volume_sliding_stream,
     "volume_late_stream": q_volume_late_stream,
     "gold_partitioned": q_gold_partitioned,
+    "gold_partitioned_events": q_gold_partitioned_events,
     "dedup_stream": q_dedup_stream,
     "dedup_late_stream": q_dedup_late_stream,
     "dedup_keyed_stream": q_dedup_keyed_stream,

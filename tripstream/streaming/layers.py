@@ -18,12 +18,18 @@ from tripstream.config import DEFAULT_PARAMS, Params
 from tripstream.functions.derived import duration_minutes
 from tripstream.functions.timestamps import to_instant, to_wall_clock
 from tripstream.operators.anomaly import (
+    STAT_COLS,
+    fare_moments,
     fare_stats,
     flag_against_hourly,
     flag_fare_anomalies,
     hour_index,
     hourly_moments,
+    is_outlier,
+    moment_stats,
     trailing_hour_stats,
+    thresholds_of_counts,
+    value_counts,
 )
 from tripstream.operators.dedup import dedup_within_watermark
 from tripstream.operators.enrich import add_revenue_per_mile, enrich_with_zones
@@ -31,17 +37,19 @@ from tripstream.operators.matching import dropoff_side, interval_join, pickup_si
 from tripstream.operators.quality import apply_quality_filters
 from tripstream.operators.windows import revenue_by_window, volume_by_sliding_window
 from tripstream.schemas import DROPOFF, PICKUP
+from tripstream.session import children
 from tripstream.sinks.upsert import KeyedUpsertTable
 
 EVENT_TIME = "_event_time"
 
 
-def batch_clock(table: KeyedUpsertTable, batch_id: int) -> Column:
+def batch_clock(table: KeyedUpsertTable, batch_id: int, now=None) -> Column:
     """PRJ-7: one processing time per micro-batch, as a literal. A batch that was written
-    before (a replay after a failure) keeps the time of its first write."""
+    before (a replay after a failure) keeps the time of its first write. ``now``: the clock."""
     before = table.versions(batch_id)
     first = None if before is None else before.agg(F.min("flagged_at").alias("t")).first()["t"]
-    return F.lit(first or _dt.datetime.now(_dt.timezone.utc)).cast("timestamp")
+    now = now or (lambda: _dt.datetime.now(_dt.timezone.utc))
+    return F.lit(first or now()).cast("timestamp")
 
 
 def as_instants(df: DataFrame, *cols: str) -> DataFrame:
@@ -101,12 +109,18 @@ def completed_trips_stream(
 
     ``pickups`` and ``dropoffs`` are two independent reads of Silver (SRC-4).
     With ``how='leftouter'`` a pickup with no dropoff is emitted (right side
-    null) once the watermark passes pickup + max duration (JON-6).
+    null) once the watermark passes pickup + max duration (JON-6). A pickup without a time
+    matches nothing in either mode; as no watermark can pass it, it is emitted as unmatched
+    at once, so that the stream reports what the batch form reports. A dropoff without a time
+    matches nothing and is not kept.
     """
-    p = as_instants(pickup_side(pickups.filter(F.col(PICKUP).isNotNull())), "pickup_ts").withWatermark("pickup_ts", params.completed_watermark)
-    d = as_instants(dropoff_side(dropoffs), "dropoff_ts").withWatermark("dropoff_ts", params.completed_watermark)
+    timed, untimed = pickups.filter(F.col(PICKUP).isNotNull()), pickups.filter(F.col(PICKUP).isNull())
+    p = as_instants(pickup_side(timed), "pickup_ts").withWatermark("pickup_ts", params.completed_watermark)
+    d = as_instants(dropoff_side(dropoffs.filter(F.col(DROPOFF).isNotNull())), "dropoff_ts").withWatermark("dropoff_ts", params.completed_watermark)
     j = interval_join(p, d, "trip_id", "pickup_ts", "dropoff_ts", 0, params.max_trip_seconds, how)
     j = as_wall_clock(j, "pickup_ts", "dropoff_ts")
+    if how == "leftouter":
+        j = j.unionByName(pickup_side(untimed), allowMissingColumns=True)
     return j.withColumn("actual_duration_minutes", duration_minutes("pickup_ts", "dropoff_ts"))
 
 
@@ -188,6 +202,71 @@ def rolling_anomaly_batch_writer(
     return fn
 
 
+def rolling_anomaly_stream(
+    rows: DataFrame,
+    again: DataFrame,
+    key: str = "pickup_borough",
+    ts: str = PICKUP,
+    fare: str = "fare_amount",
+    params: Params = DEFAULT_PARAMS,
+    hours: int = 24,
+    salts: int = 8,
+) -> DataFrame:
+    """AGG-6 (stream), right for any cut into batches: rows above their trailing statistics.
+
+    ``again`` is a second read of the same stream. It is summed by hour; the hours that the
+    watermark has closed go on into a window of ``hours`` that slides by one hour; a window
+    that closes carries the statistics of its last hour, and the rows of that hour wait for
+    it in a stream-stream join. So a row is judged once, on the whole of its hour however the
+    batches cut it, and all state (open hours, open windows, waiting rows) is evicted by the
+    watermark. A hot key's rows wait in ``salts`` places, to each of which its statistics (one
+    row an hour) are copied. Rows without time, key or fare are never flagged.
+    """
+
+    def timed(df):
+        held = df.filter(F.col(ts).isNotNull() & F.col(key).isNotNull() & F.col(fare).isNotNull())
+        return held.withColumn(EVENT_TIME, to_instant(ts)).withWatermark(EVENT_TIME, params.anomaly_watermark)
+
+    hourly = timed(again).groupBy(F.window(EVENT_TIME, "1 hour"), F.col(key).alias("_key")).agg(*fare_moments(fare))
+    sums = [F.sum(c).cast("decimal(38,0)").alias(c) for c in ("_s1", "_s2")]
+    trailing = hourly.groupBy(F.window(F.window_time("window"), f"{hours} hours", "1 hour"), "_key").agg(F.sum("_n").alias("_n"), *sums)
+    mean, deviation = moment_stats(F.col("_n"), F.col("_s1"), F.col("_s2"))
+    stats = trailing.select(F.window_time("window").alias("_hour"), "_key", mean.alias(STAT_COLS[0]), deviation.alias(STAT_COLS[1]),
+                            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    waiting = (
+        timed(rows).withColumn("_window", F.window(EVENT_TIME, "1 hour")).withColumn("_hour_of", F.window_time("_window")).drop("_window", EVENT_TIME)
+        .withColumn("_salt_of", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+    )
+    at = (F.col(key) == F.col("_key")) & (F.col("_hour_of") == F.col("_hour")) & (F.col("_salt_of") == F.col("_salt"))
+    flagged = waiting.join(stats, at).filter(is_outlier(F.col(fare), F.col(STAT_COLS[0]), F.col(STAT_COLS[1]), params.fare_sigma, "upper"))
+    return flagged.select(*rows.columns)
+
+
+def threshold_batch_writer(counts_path: str, thresholds_path: str, key: str = "pickup_borough", fare: str = "fare_amount", q: float = 0.99):
+    """AGG-7 (stream): exact thresholds over all batches so far, after every batch.
+
+    A batch adds how often it saw each (key, fare) as ``counts_batch=N`` and, from the counts
+    of batches up to N, writes the thresholds as ``thresholds_batch=N``: both are replaced when
+    the batch is delivered again. The counts are mergeable, so the cut into batches cannot
+    move a threshold.
+    """
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        def put(df, name, path):
+            w = df.withColumn(name, F.lit(int(batch_id)).cast("long")).write.mode("overwrite")
+            w.option("partitionOverwriteMode", "dynamic").partitionBy(name).parquet(path)
+
+        spark = batch.sparkSession
+        put(value_counts(batch, key, fare), "counts_batch", counts_path)
+        if not any(f.isDirectory() for f in children(spark, counts_path)):
+            return  # no fare yet
+        so_far = spark.read.parquet(counts_path).filter(F.col("counts_batch") <= batch_id)
+        merged = so_far.groupBy(key, "fare_threshold").agg(F.sum("_c").alias("_c"))
+        put(thresholds_of_counts(merged, key, q), "thresholds_batch", thresholds_path)
+
+    return fn
+
+
 def refreshing_enrich_writer(load_zones, path: str, params: Params = DEFAULT_PARAMS):
     """STR-14: a stream-static join whose static side is re-read every micro-batch.
 

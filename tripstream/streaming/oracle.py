@@ -58,7 +58,7 @@ SELECT * EXCLUDE (k, held) FROM marked WHERE NOT held OR ts > (SELECT t FROM see
 # both sides arrive in the same slices, so the join's watermark is the slower side's
 OPEN_TRIPS = f"""{SILVER_CTES}, {TRIP_SIDES},
 wm AS (SELECT least((SELECT max(pickup_ts) FROM pk), (SELECT max(dropoff_ts) FROM dk WHERE dropoff_ts IS NOT NULL)) - INTERVAL 30 DAY AS w)
-SELECT * FROM pk WHERE pickup_ts + INTERVAL 30 DAY < (SELECT w FROM wm) AND NOT EXISTS (
+SELECT * FROM pk WHERE pickup_ts IS NULL OR pickup_ts + INTERVAL 30 DAY < (SELECT w FROM wm) AND NOT EXISTS (
   SELECT 1 FROM dk WHERE dk.d_trip_id = pk.trip_id
     AND dropoff_ts >= pickup_ts AND dropoff_ts <= pickup_ts + INTERVAL {TRIP_SECONDS} SECOND)"""
 
@@ -124,6 +124,7 @@ SELECT event_id, ts, user_id, event_type, value, CASE WHEN {_slice('events', 'ts
     "gold_partitioned": f"""{SILVER_CTES}
 SELECT *, CAST(window_start AS DATE) AS date FROM (
 {_closed(_revenue('silver', 'tpep_pickup_datetime', 'pickup_borough', 'total_amount', 'fare_amount'), '30 MINUTE', 'silver', 'tpep_pickup_datetime')}) g""",
+    "gold_partitioned_events": f"SELECT *, CAST(window_start AS DATE) AS date FROM ({_closed(_REV, '30 MINUTE')}) g",
     "medallion_anomaly_stream": f"""{SILVER_CTES}, {_TIMED}, {_RAW_TIMED},
 b AS (SELECT *, {_raw_slice(3)} AS batch FROM timed),
 s AS (SELECT batch, pickup_borough AS pb, avg(fare_amount) AS m, stddev_samp(fare_amount) AS sd FROM b GROUP BY ALL)

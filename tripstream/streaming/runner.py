@@ -64,16 +64,26 @@ PROGRESS_SCHEMA = (
 )
 
 
+OPERATOR_SCHEMA = (
+    "query_id string, query_name string, batchId long, operator int, operator_name string, numRowsTotal long, "
+    "numRowsUpdated long, numRowsRemoved long, numRowsDroppedByWatermark long"
+)
+
+
 class ProgressRecorder(StreamingQueryListener):
     """SNK-11 for long runs: every progress event of every query, not only the
     last ``spark.sql.streaming.numRecentProgressUpdates`` kept by ``recentProgress``.
 
-    Events arrive on the listener bus (driver side, one small row per
-    trigger); ``flush`` appends what has arrived to a table.
+    Events arrive on the listener bus (driver side, one small row per trigger and one per
+    stateful operator of it); ``flush`` and ``flush_operators`` append what has arrived to tables.
+
+    STR-9: ``numRowsDroppedByWatermark`` of a deduplication or a join counts late rows. Behind
+    a window aggregate it counts partial groups, which Spark has summed before the state.
     """
 
     def __init__(self):
         self._rows: list[tuple] = []
+        self._operators: list[tuple] = []
         self._done: set[str] = set()
         self._lock = threading.Lock()
         self._cv = threading.Condition(self._lock)
@@ -89,8 +99,13 @@ class ProgressRecorder(StreamingQueryListener):
             float(p.inputRowsPerSecond or 0.0), float(p.processedRowsPerSecond or 0.0),
             int(dur.get("triggerExecution", 0) or 0),
         )
+        operators = [
+            (row[0], row[1], row[2], i, o.operatorName, int(o.numRowsTotal), int(o.numRowsUpdated), int(o.numRowsRemoved), int(o.numRowsDroppedByWatermark))
+            for i, o in enumerate(p.stateOperators)
+        ]
         with self._lock:
             self._rows.append(row)
+            self._operators += operators
 
     def onQueryIdle(self, event):
         pass
@@ -113,3 +128,24 @@ class ProgressRecorder(StreamingQueryListener):
             spark.createDataFrame(rows, PROGRESS_SCHEMA).write.mode("append").parquet(path)
         return len(rows)
 
+    def flush_operators(self, spark: SparkSession, path: str) -> int:
+        with self._lock:
+            rows, self._operators = self._operators, []
+        if rows:
+            spark.createDataFrame(rows, OPERATOR_SCHEMA).write.mode("append").parquet(path)
+        return len(rows)
+
+
+class CrashAfterWrite:
+    """STR-13 under test: a foreachBatch function that fails once, after it has written batch
+    ``batch_id`` and before the checkpoint commits it, so that Spark delivers it again."""
+
+    def __init__(self, fn, batch_id: int):
+        self.fn, self.batch_id, self.crashed = fn, batch_id, False
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.fn(batch, batch_id)
+        if batch_id == self.batch_id and not self.crashed:
+            self.crashed = True
+            raise RuntimeError(f"crash between the write and the commit of batch {batch_id}")
+
