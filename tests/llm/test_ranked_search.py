@@ -84,7 +84,7 @@ def test_cells_hold_the_largest_impact():
     rows, cols = np.divmod(rng.choice(64 * 32, 500, replace=False), 32)
     impacts = rng.integers(1, 1000, 500)
     raw = R.Treap.build(rows, cols, impacts, 6)
-    tree = R.Treap(6, np.cumsum(raw.pop("codes")), *raw.values())
+    tree = R.Treap(6, *raw)
     for cell in range(tree.points, len(tree.level)):
         level = int(tree.level[cell])
         inside = (rows >> level == tree.row[cell] >> level) & (cols >> level == tree.col[cell] >> level)
@@ -96,7 +96,7 @@ def test_most_of_a_shard_is_not_visited():
     n = 4096
     rows, cols = np.concatenate([np.zeros(n, int), np.ones(12, int)]), np.concatenate([np.arange(n), rng.choice(n, 12, replace=False)])
     raw = R.Treap.build(rows, cols, rng.integers(500, 600, len(rows)), 12)
-    tree = R.Treap(12, np.cumsum(raw.pop("codes")), *raw.values())
+    tree = R.Treap(12, *raw)
     met, least, best = 0, np.zeros(1, np.int64), []
     for _, c, s in R.best_first(tree, np.zeros(2, np.int64), np.array([0, 1]), np.array([10, 1000]), least):
         met += len(c)

@@ -29,12 +29,15 @@ def discard(*frames: DataFrame) -> None:
     """Remove staged tables whose successors are staged, and let Spark's cleaner drop the
     shuffle files of finished steps."""
     for f in frames:
-        jvm = f.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(f.staged_path)
-        p.getFileSystem(f.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+        remove(f.sparkSession, f.staged_path)
     release(f.sparkSession)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner, which follows the driver's garbage collection, drop the shuffle files of finished steps."""
     gc.collect()
@@ -65,6 +68,13 @@ def extended(batch: pa.RecordBatch, keep: list[str], **new: pa.Array) -> pa.Reco
     return pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + list(new.values()), names=[*keep, *new])
 
 
+def pieces(batches, rows: int = 1_000):
+    """The batches in slices of at most ``rows`` rows, so that few long values are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def ddl(schema) -> str:
     """Schema of a frame as field DDL, for mapInArrow."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -27,21 +27,23 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripstream.llm.common import staged, work_path
+from tripstream.llm.blocks import pack, unpack
+from tripstream.llm.common import pieces, staged, work_path
 
-SHARD_POINTS = 1 << 18
+SHARD_POINTS = 1 << 16
 K = 10
 #: best states of each item that are split at a time
 BEAM = 8
 #: (item, term) pairs that a task holds at a time
 BLOCK_PAIRS = 500_000
-GROUP_PAIRS = 50_000
+#: of which so many descend together through one shard
+GROUP_PAIRS = 2_000
 
 #: A-Z to a-z, every ASCII byte that is no letter or digit to a blank
 _TERMS = bytes(b + 32 if 65 <= b <= 90 else b if b > 127 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
-INDEX = ("height int, terms array<string>, df array<int>, doc_ids array<bigint>, codes binary, impacts binary, "
-         "levels binary, firsts binary, kids binary, peaks binary")
+#: ``body``: the ids (with a mark where null) and the arrays of the treap, packed
+INDEX = "height int, terms array<string>, df array<int>, body binary"
 
 
 def terms_of(raw: bytes | None) -> list[bytes]:
@@ -66,16 +68,18 @@ def _gathered(x: np.ndarray) -> np.ndarray:
 class Treap:
     """Compressed quadtree: points (nodes 0..p-1 in Morton order), then cells with two or more occupied quadrants."""
 
-    def __init__(self, height, codes, impacts, levels, firsts, kids, peaks):
-        self.height, self.kids, self.points = height, kids.reshape(-1, 4), len(codes)
+    def __init__(self, height, steps, impacts, levels, firsts, kids, peaks):
+        codes = np.cumsum(steps, dtype=np.int64)
+        self.height, self.kids, self.points = height, kids.astype(np.int32).reshape(-1, 4) - 1, len(codes)
         self.level = np.concatenate([np.zeros(len(codes), np.int8), levels])
         self.peak = np.concatenate([impacts, peaks])
         first = np.concatenate([np.arange(len(codes), dtype=np.int32), firsts])
-        self.row, self.col = _gathered(codes >> 1)[first], _gathered(codes)[first]
+        self.row, self.col = _gathered(codes >> 1).astype(np.int32)[first], _gathered(codes).astype(np.int32)[first]
         self.root = len(self.level) - 1
 
     @classmethod
-    def build(cls, rows: np.ndarray, cols: np.ndarray, impacts: np.ndarray, height: int) -> dict[str, np.ndarray]:
+    def build(cls, rows: np.ndarray, cols: np.ndarray, impacts: np.ndarray, height: int) -> tuple[np.ndarray, ...]:
+        """The arrays that a treap is made from."""
         codes = _spread(rows) << 1 | _spread(cols)
         order = np.argsort(codes)
         codes, impacts = codes[order], impacts[order].astype(np.int32)
@@ -106,8 +110,9 @@ class Treap:
                 node, first, peak = node[starts], first[starts], peak[starts]
             at = up[starts]
         join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-        return {"codes": np.diff(codes, prepend=0), "impacts": impacts, "levels": join(levels, np.int8), "firsts": join(firsts, np.int32),
-                "kids": join(kids, np.int32).reshape(-1), "peaks": join(peaks, np.int32)}
+        # codes by their differences; 0 for no child
+        kids = join(kids, np.int32).reshape(-1)
+        return np.diff(codes, prepend=0), impacts, join(levels, np.int8), join(firsts, np.int32), kids + 1, join(peaks, np.int32)
 
     def covers(self, node: np.ndarray, row: np.ndarray) -> np.ndarray:
         level = self.level[node]
@@ -119,7 +124,7 @@ class Treap:
         side = self.col[node] >> (level - 1) & 1
         out = []
         for h in (0, 1):
-            to = np.where(~own & (side == h), node, -1)
+            to = np.where(~own & (side == h), node, np.int32(-1))
             if own.any():
                 kid = self.kids[node[own] - self.points, 2 * (row[own] >> (level[own] - 1) & 1) + h]
                 there = kid >= 0
@@ -135,12 +140,16 @@ def best_first(tree: Treap, item: np.ndarray, row: np.ndarray, weight: np.ndarra
     ``item``, ``row``, ``weight``: the query terms found in this shard. ``least``: by item, the
     score to reach; the caller raises it between the yields.
     """
-    node = np.full(len(row), tree.root)
+    def bounds(n: int) -> np.ndarray:  # whole numbers far below 2^53
+        return np.bincount(state, weight * tree.peak[node].astype(float), n).astype(np.int64)
+
+    row, node = row.astype(np.int32), np.full(len(row), tree.root, np.int32)
     ok = tree.covers(node, row)
     item, row, weight, node = item[ok], row[ok], weight[ok], node[ok]
     owner, state = np.unique(item, return_inverse=True)
-    low, level = np.zeros(len(owner), np.int64), np.full(len(owner), tree.height)
-    bound = np.bincount(state, weight * tree.peak[node], len(owner)).astype(np.int64)
+    owner, state = owner.astype(np.int32), state.astype(np.int32)
+    low, level = np.zeros(len(owner), np.int32), np.full(len(owner), tree.height, np.int8)
+    bound = bounds(len(owner))
     while len(owner):
         rank = np.lexsort((low, -bound, owner))
         sorted_owner = owner[rank]
@@ -154,30 +163,30 @@ def best_first(tree: Treap, item: np.ndarray, row: np.ndarray, weight: np.ndarra
         split, rest = chosen & ~found, ~chosen
         # what is left, then the left and the right halves of what is split
         pieces, terms = [(owner[rest], low[rest], level[rest])], []
-        renumber = np.cumsum(rest) - 1
+        renumber = np.cumsum(rest, dtype=np.int32) - 1
         mine = rest[state]
         terms.append((renumber[state[mine]], row[mine], weight[mine], node[mine]))
         mine = split[state]
         s, r, w, n = state[mine], row[mine], weight[mine], node[mine]
         left, right = tree.halves(n, r, level[s])
-        renumber, count, base = np.cumsum(split) - 1, int(split.sum()), int(rest.sum())
+        renumber, count, base = np.cumsum(split, dtype=np.int32) - 1, int(split.sum()), int(rest.sum())
         for h, to in enumerate((left, right)):
-            pieces.append((owner[split], low[split] + (h << (level[split] - 1)), level[split] - 1))
+            pieces.append((owner[split], low[split] + np.left_shift(h, level[split] - 1, dtype=np.int32), level[split] - 1))
             there = to >= 0
             terms.append((base + h * count + renumber[s[there]], r[there], w[there], to[there]))
         owner, low, level = (np.concatenate(x) for x in zip(*pieces))
         state, row, weight, node = (np.concatenate(x) for x in zip(*terms))
-        bound = np.bincount(state, weight * tree.peak[node], len(owner)).astype(np.int64)
+        bound = bounds(len(owner))
         keep = (bound > 0) & (bound >= least[owner])
         if not keep.all():
             mine = keep[state]
-            state, row, weight, node = (np.cumsum(keep) - 1)[state[mine]], row[mine], weight[mine], node[mine]
+            state, row, weight, node = (np.cumsum(keep, dtype=np.int32) - 1)[state[mine]], row[mine], weight[mine], node[mine]
             owner, low, level, bound = owner[keep], low[keep], level[keep], bound[keep]
 
 
 def _counted(batches):
     docs = words = 0
-    for batch in batches:
+    for batch in pieces(batches):
         for raw in batch.column("text").cast(pa.binary()).to_pylist():
             n = len(terms_of(raw))
             docs += n > 0
@@ -197,14 +206,14 @@ def _shards(n_docs: int, n_words: int, limit: int):
         impacts = 1_000_000_000 * tf // (1000 * tf + 8 * m)
         height = max(len(names) - 1, len(docs) - 1, 1).bit_length()
         tree = Treap.build(rows, np.repeat(np.arange(len(docs)), sizes), impacts, height)
+        ids = [np.array([d[0] or 0 for d in docs], np.int64), np.array([d[0] is None for d in docs], np.uint8)]
         arrays = [pa.array([height], pa.int32()), pa.array([[t.decode() for t in names]], pa.list_(pa.string())),
-                  pa.array([np.bincount(rows, minlength=len(names))], pa.list_(pa.int32())), pa.array([[d[0] for d in docs]], pa.list_(pa.int64()))]
-        arrays += [pa.array([a.tobytes()], pa.binary()) for a in tree.values()]
-        return pa.RecordBatch.from_arrays(arrays, ["height", "terms", "df", "doc_ids", *tree])
+                  pa.array([np.bincount(rows, minlength=len(names))], pa.list_(pa.int32())), pa.array([pack(*ids, *tree)], pa.binary())]
+        return pa.RecordBatch.from_arrays(arrays, ["height", "terms", "df", "body"])
 
     def run(batches):
         vocabulary, docs, points = {}, [], 0
-        for batch in batches:
+        for batch in pieces(batches):
             for doc_id, raw in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
                 words = terms_of(raw)
                 if not words:
@@ -238,7 +247,7 @@ def build(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shard_
     path = work_path(docs.sparkSession, "term-document-grid")
     # few long rows: groups of rows are cut by size, not by number
     made = rows.mapInArrow(_shards(n_docs, max(n_words, 1), shard_points), INDEX)
-    made.write.option("compression", "zstd").option("parquet.block.size", 32 << 20).option("parquet.block.size.row.check.min", 1).parquet(path)
+    made.write.option("parquet.block.size", 8 << 20).option("parquet.block.size.row.check.min", 1).parquet(path)
     return Index(docs.sparkSession.read.schema(made.schema).parquet(path), n_docs, n_words)
 
 
@@ -267,11 +276,9 @@ def _searched(queries, k: int):
         least, best = np.zeros(n_items, np.int64), [[] for _ in range(n_items)]
         for batch in batches:
             for i in range(batch.num_rows):
-                shard = {c: batch.column(c)[i] for c in batch.schema.names}
-                raw = {c: np.frombuffer(shard[c].as_buffer(), t) for c, t in (("codes", np.int64), ("impacts", np.int32), ("levels", np.int8), ("firsts", np.int32), ("kids", np.int32), ("peaks", np.int32))}
-                tree = Treap(shard["height"].as_py(), np.cumsum(raw["codes"]), *(raw[c] for c in ("impacts", "levels", "firsts", "kids", "peaks")))
-                ids = shard["doc_ids"].as_py()
-                rows = pc.index_in(names, value_set=shard["terms"].values).to_numpy(zero_copy_only=False)
+                ids, missing, *arrays = unpack(batch.column("body")[i].as_py())
+                tree = Treap(batch.column("height")[i].as_py(), *arrays)
+                rows = pc.index_in(names, value_set=batch.column("terms")[i].values).to_numpy(zero_copy_only=False)
                 at = rows[term]
                 held = np.flatnonzero(~np.isnan(at)) if at.dtype.kind == "f" else np.arange(len(at))
                 cuts = np.flatnonzero(np.diff(item[held], prepend=-1))  # pairs are sorted by item
@@ -283,7 +290,7 @@ def _searched(queries, k: int):
                     part = held[a:b]
                     for owners, cols, scores in best_first(tree, item[part], at[part].astype(np.int64), weight[part], least):
                         for o, c, s in zip(owners.tolist(), cols.tolist(), scores.tolist()):
-                            d = ids[c]
+                            d = None if missing[c] else int(ids[c])
                             best[o] = sorted([*best[o], (-s, d is None, d or 0, d)])[:k]
                             if len(best[o]) == k:
                                 least[o] = -best[o][-1][0]
@@ -311,8 +318,8 @@ def search(index: Index, items: DataFrame, *, item_id: str = "item_id", text: st
         place = {t: i for i, t in enumerate(names)}
         own.sort(key=lambda r: number[r["item_id"]])
         sent = spark.sparkContext.broadcast((pa.array(names, pa.string()), np.array([number[r["item_id"]] for r in own], np.int64),
-                                             np.array([place[r["term"]] for r in own], np.int64), np.array([r["weight"] for r in own], np.int64), len(ids)))
-        hits = index.shards.mapInArrow(_searched(sent, k), "item bigint, doc_id bigint, score bigint")
+                                             np.array([place[r["term"]] for r in own], np.int64), np.array([r["weight"] for r in own], np.int32), len(ids)))
+        hits = index.shards.select("height", "terms", "body").mapInArrow(_searched(sent, k), "item bigint, doc_id bigint, score bigint")
         order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
         top = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         labels = spark.createDataFrame(list(enumerate(ids)), f"item bigint, item_id {kind}")
