@@ -22,7 +22,7 @@ from tripstream.operators.matching import SILVER_IDENTITY, interval_join, with_t
 from tripstream.operators.windows import revenue_by_window
 from tripstream.plans.catalog import TABLE_TRIP_SECONDS, q_silver
 from tripstream.schemas import DROPOFF, PICKUP, SILVER_SCHEMA, TRIP_CORE_SCHEMA
-from tripstream.session import work_path
+from tripstream.session import materialized, work_path
 from tripstream.sinks.slices import SLICES, land_in_slices, slice_bounds, slice_number
 from tripstream.sinks.tables import clustered, exactly_once_audit, with_date
 from tripstream.sinks.upsert import KeyedUpsertTable
@@ -304,8 +304,8 @@ def q_schema_evolution(spark, d):
 
 
 def _timed_trips(spark, d) -> DataFrame:
-    """Raw trips with ``_t``, the time they happen at (pickup, else dropoff)."""
-    return B.raw_trips(spark, d).withColumn("_t", F.coalesce(parse_timestamp(PICKUP), parse_timestamp(DROPOFF)))
+    """Raw trips with ``_t``, the time they happen at (pickup, else dropoff); stored, as every slice reads them."""
+    return materialized(B.raw_trips(spark, d).withColumn("_t", F.coalesce(parse_timestamp(PICKUP), parse_timestamp(DROPOFF))), "trips")
 
 
 def _medallion(spark, d, after_silver) -> None:
@@ -392,7 +392,7 @@ def _trips_run(spark, d, how, shape) -> DataFrame:
         two = [table_stream(spark, silver, SILVER_SCHEMA, "parquet", None) for _ in range(2)]
         run_to_table(shape(L.completed_trips_stream(*two, params, how)), out, ck)
 
-    land_in_slices(q_silver(spark, d), PICKUP, silver, run)
+    land_in_slices(materialized(q_silver(spark, d), "silver"), PICKUP, silver, run)
     return _read_back(spark, out)
 
 
