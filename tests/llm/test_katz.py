@@ -93,10 +93,12 @@ def test_as_brute_force(spark, parts, vocabulary, monkeypatch):
     docs = made_up(vocabulary, 300, vocabulary)
     docs += docs[:9] + [(None, "w1 w2 w1"), (7, None), (20, "É é ß never-seen"), (33, "w0 " * 3000)]
     monkeypatch.setattr(L, "CHUNK_TOKENS", 500)
+    monkeypatch.setattr(L, "SAMPLE", 1 if parts == 7 else 32)
     check(spark, docs, parts=parts)
 
 
-def test_hot_word_and_contexts_without_discount(spark):
+def test_hot_word_and_contexts_without_discount(spark, monkeypatch):
+    monkeypatch.setattr(L, "SAMPLE", 1)
     docs = [(i, "the " * 40 + f"end{i % 3}") for i in range(60)] + [(i, "a b") for i in range(60, 90)]
     check(spark, docs)
 

@@ -16,7 +16,9 @@ counts are all above ``K`` leaves nothing; its denominator counts one more.
 How it runs: tasks cut their documents into chunks and send, per part, one block of sorted
 arrays (numbers of distinct pairs, with the documents that hold them); no row per token
 crosses the network. Words that make up a large share of all tokens are few: their pairs
-are dealt by the whole pair and their statistics broadcast (at most ``8 * parts`` words).
+are dealt by the whole pair and their statistics broadcast (at most ``HOT * parts`` words).
+Which words these are is read off one text in ``SAMPLE``; that list decides only where pairs
+are dealt to, all counts are over all texts.
 Where the training counts of counts do not allow Good-Turing (small corpora), absolute
 discounting with the usual estimate n1 / (n1 + 2 n2) takes its place.
 
@@ -27,8 +29,6 @@ held out (its text form is empty); an empty table gives no rows; other columns a
 
 from __future__ import annotations
 
-import struct
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -36,12 +36,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripstream.llm.common import carried, ddl, discard, extended, release, staged
+from tripstream.llm.blocks import pack, unpack
+from tripstream.llm.common import carried, ddl, extended, pieces, release, staged
 
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 500_000
+#: documents are scored in this many rounds, one after the other, so that a part of their blocks is on disk at a time
+ROUNDS = 3
 #: counts up to here are discounted
 K = 5
 HOT = 8
+SAMPLE = 32
 START, END = b" start", b" end"  # no word holds a blank
 BLOCK = "part int, kind int, chunk bigint, data binary"
 SCORED = "kind int, chunk bigint, data binary, context bigint, doc int, n int"
@@ -60,30 +64,12 @@ def words_of(raw: bytes | None) -> list[bytes]:
     return raw.translate(_LOWER).split() if raw else []
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays end to end; small whole numbers in the narrowest type that holds them."""
-    head, body = [struct.pack("<B", len(arrays))], []
-    for a in arrays:
-        if a.dtype.kind in "iu" and len(a) and a.min() >= 0 and a.max() < 1 << 32:  # hashes stay signed
-            a = a.astype(np.min_scalar_type(a.max()))
-        head.append(struct.pack("<2sQ", a.dtype.str[1:].encode(), len(a)))
-        body.append(np.ascontiguousarray(a).tobytes())
-    return b"".join(head + body)
-
-
-def _unpack(data: bytes) -> list[np.ndarray]:
-    n, at = data[0], 1 + data[0] * struct.calcsize("<2sQ")
-    out = []
-    for kind, size in struct.iter_unpack("<2sQ", data[1:at]):
-        dtype = np.dtype(kind.decode())
-        out.append(np.frombuffer(data, dtype, size, at))
-        at += dtype.itemsize * size
-    return out
-
-
 class _Local(dict):
     """Words of one chunk, numbered as they come."""
 
+    def __init__(self):
+        super().__init__({START: 0, END: 1})
+
     def __missing__(self, word):
         n = self[word] = len(self)
         return n
@@ -97,33 +83,40 @@ def _sizes(starts: np.ndarray, n: int) -> np.ndarray:
     return np.diff(np.append(starts, n))
 
 
-def _pairs(texts: list[list[int]], local: _Local, parts: int, hot: np.ndarray):
-    """Per part: (words, pairs per word, contexts, context of each pair, occurrences per pair, their documents)."""
-    start, end = local[START], local[END]
-    sizes = np.array([len(t) + 1 for t in texts])
-    word = np.fromiter((i for t in texts for i in (*t, end)), np.int64, int(sizes.sum()))
-    before = np.concatenate([[start], word[:-1]])
-    before[np.concatenate([[0], np.cumsum(sizes)[:-1]])] = start
-    doc = np.repeat(np.arange(len(texts)), sizes)
+def _pairs(texts: list[np.ndarray], local: _Local, parts: int, hot: np.ndarray, documents: bool):
+    """Per part: (words, pairs per word, contexts, context of each pair, occurrences per pair, and their documents)."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    word = np.concatenate(texts)
+    before = np.concatenate([np.zeros(1, np.int32), word[:-1]])
+    before[np.concatenate([[0], np.cumsum(sizes)[:-1]])] = local[START]
     hashes = np.fromiter(map(_hash, local), np.int64, len(local))
     order = np.argsort(hashes)
-    rank, hashes = np.empty(len(order), np.int64), hashes[order]
-    rank[order] = np.arange(len(order))
+    rank, hashes = np.empty(len(order), np.int32), hashes[order]
+    rank[order] = np.arange(len(order), dtype=np.int32)
     word, before = rank[word], rank[before]
     part = np.mod(hashes, parts)[word]
     often = np.isin(hashes, hot)[word]
     part[often] = np.mod(hashes[word[often]] * 31 + hashes[before[often]], parts)
-    key = word * len(hashes) + before
-    order = np.lexsort((key, part))
-    part, key, doc = part[order], key[order], doc[order]
+    n = len(hashes)
+    del often
+    key = (part * n + word) * n + before  # below 2^63 for any number of parts that a chunk's words leave room for
+    doc = None
+    if documents:
+        order = np.argsort(key, kind="stable")
+        key, doc = key[order], np.repeat(np.arange(len(texts), dtype=np.int32), sizes)[order]
+    else:
+        key.sort()
+    first = _runs(key)
+    times, pair = _sizes(first, len(key)), key[first]
+    context, word = pair % n, pair // n
+    part, word = word // n, word % n
     starts = _runs(part)
-    for p, a, n in zip(part[starts].tolist(), starts.tolist(), _sizes(starts, len(part)).tolist()):
-        k, d = key[a: a + n], doc[a: a + n]
-        first = _runs(k)
-        w, c = np.divmod(k[first], len(hashes))
+    ends = np.append(first[starts], len(key))
+    for i, (p, a, size) in enumerate(zip(part[starts].tolist(), starts.tolist(), _sizes(starts, len(part)).tolist())):
+        w, c, t = word[a: a + size], context[a: a + size], times[a: a + size]
         heads = _runs(w)
         contexts, which = np.unique(c, return_inverse=True)
-        yield p, hashes[w[heads]], _sizes(heads, len(w)), hashes[contexts], which, _sizes(first, n), d
+        yield p, hashes[w[heads]], _sizes(heads, size), hashes[contexts], which, t, *([doc[ends[i]: ends[i + 1]]] if documents else [])
 
 
 def _chunks(keep: list[str], limit: int, learns: str | None):
@@ -132,16 +125,18 @@ def _chunks(keep: list[str], limit: int, learns: str | None):
     def run(batches):
         number = TaskContext.get().partitionId() << 32
         local, texts, kept, tokens = _Local(), [], [], 0
-        for batch in batches:
+        for batch in pieces(batches):
             take = batch.column(learns).to_pylist() if learns else [True] * batch.num_rows
             raws = batch.column("_text").cast(pa.binary()).to_pylist()
             at = 0
             for i, (raw, yes) in enumerate(zip(raws, take)):
                 if not yes:
                     continue
-                text = list(map(local.__getitem__, words_of(raw)))
+                words = words_of(raw)
+                words.append(END)
+                text = np.fromiter(map(local.__getitem__, words), np.int32, len(words))
                 texts.append(text)
-                tokens += len(text) + 1
+                tokens += len(text)
                 if tokens >= limit:
                     kept.append(batch.select(keep).slice(at, i + 1 - at))
                     yield number, kept, texts, local
@@ -163,11 +158,10 @@ _SCORED = pa.schema([("kind", pa.int32()), ("chunk", pa.int64()), ("data", pa.bi
 
 
 def _counted(batches):
-    """Word counts of each chunk of the learned rows."""
-    for _, _, texts, local in _chunks([], CHUNK_TOKENS, "_learn")(batches):
-        counts = np.bincount(np.fromiter((i for t in texts for i in t), np.int64), minlength=len(local))
-        words = np.fromiter(map(_hash, local), np.int64, len(local))
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(words, H_END)), pa.array(np.append(counts, len(texts)))], ["word", "c"])
+    """Word counts of each chunk."""
+    for _, _, texts, local in _chunks([], CHUNK_TOKENS, None)(batches):
+        counts = np.bincount(np.concatenate(texts), minlength=len(local))
+        yield pa.RecordBatch.from_arrays([pa.array(np.fromiter(map(_hash, local), np.int64, len(local))), pa.array(counts)], ["word", "c"])
 
 
 def _sent(parts: int, hot, keep: list[str] | None):
@@ -177,15 +171,14 @@ def _sent(parts: int, hot, keep: list[str] | None):
         for number, kept, texts, local in _chunks(keep or [], CHUNK_TOKENS, None if keep is not None else "_learn")(batches):
             if keep is not None:
                 table = pa.Table.from_batches([b for b in kept if b.num_rows])
-                table = table.append_column("_n", pa.array([len(t) + 1 for t in texts], pa.int64())).combine_chunks()
+                table = table.append_column("_n", pa.array([len(t) for t in texts], pa.int64())).combine_chunks()
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, table.schema) as w:
                     w.write_table(table)
                 yield _rows(_BLOCK, [(number % parts, DOCS, number, sink.getvalue().to_pybytes())])
             rows = []
-            for p, words, pairs, contexts, which, times, docs in _pairs(texts, local, parts, hot.value):
-                data = _pack(words, pairs, contexts, which, times) if keep is None else _pack(words, pairs, contexts, which, times, docs)
-                rows.append((p, TOKENS, number, data))
+            for p, *arrays in _pairs(texts, local, parts, hot.value, keep is not None):
+                rows.append((p, TOKENS, number, pack(*arrays)))
                 if len(rows) == 64:
                     yield _rows(_BLOCK, rows)
                     rows = []
@@ -195,9 +188,18 @@ def _sent(parts: int, hot, keep: list[str] | None):
     return run
 
 
-def _merged(batches):
-    """Blocks of a part -> one block of its pairs with their counts, and the numbers of pairs with count 1 to K + 1."""
-    schema = pa.schema([*_BLOCK, ("seen", pa.list_(pa.int64()))])
+#: a part's pairs, how many were seen 1 to K + 1 times, the same of its own words, and its share of the often ones
+PART = BLOCK + ", seen array<bigint>, word_seen array<bigint>, tokens bigint, types bigint, hot array<struct<word:bigint,c:bigint>>"
+
+
+def _seen(count: np.ndarray) -> list[int]:
+    return np.bincount(np.minimum(count, K + 2), minlength=K + 3)[1: K + 2].tolist()
+
+
+def _merged(hot):
+    """Blocks of a part -> one block of its pairs with their counts."""
+    schema = pa.schema([*_BLOCK, ("seen", pa.list_(pa.int64())), ("word_seen", pa.list_(pa.int64())), ("tokens", pa.int64()), ("types", pa.int64()),
+                        ("hot", pa.list_(pa.struct([("word", pa.int64()), ("c", pa.int64())])))])
 
     def row(part, blocks):
         word = np.concatenate([np.repeat(b[0], b[1]) for b in blocks])
@@ -208,19 +210,25 @@ def _merged(batches):
         word, context, count = word[first], context[first], np.add.reduceat(count, first)
         heads = _runs(word)
         contexts, which = np.unique(context, return_inverse=True)
-        seen = np.bincount(np.minimum(count, K + 2), minlength=K + 3)[1: K + 2]
-        return _rows(schema, [(part, TABLE_PAIRS, 0, _pack(word[heads], _sizes(heads, len(word)), contexts, which, count), seen.tolist())])
+        names, total = word[heads], np.add.reduceat(count, heads)
+        often = np.isin(names, hot.value)
+        data = pack(names, _sizes(heads, len(word)), contexts, which, count)
+        return _rows(schema, [(part, TABLE_PAIRS, 0, data, _seen(count), _seen(total[~often]), int(count.sum()), int((~often).sum()),
+                               [{"word": w, "c": c} for w, c in zip(names[often].tolist(), total[often].tolist())])])
 
-    part, blocks = None, []
-    for batch in batches:
-        for p, data in zip(batch.column("part").to_pylist(), batch.column("data").to_pylist()):
-            if blocks and p != part:
-                yield row(part, blocks)
-                blocks = []
-            part = p
-            blocks.append(_unpack(data))
-    if blocks:
-        yield row(part, blocks)
+    def run(batches):
+        part, blocks = None, []
+        for batch in pieces(batches, 100):
+            for p, data in zip(batch.column("part").to_pylist(), batch.column("data").to_pylist()):
+                if blocks and p != part:
+                    yield row(part, blocks)
+                    blocks = []
+                part = p
+                blocks.append(unpack(data))
+        if blocks:
+            yield row(part, blocks)
+
+    return run
 
 
 def discounts(n: list[int], k: int = K) -> np.ndarray:
@@ -257,23 +265,25 @@ class Totals:
         return np.log10((count + 0.1) / (self.tokens + 0.1 * (self.types + 1)))
 
 
-def _context_sums(totals: Totals, hot):
-    """Per part and context: the mass its discounts leave and the own estimates of the words seen after it."""
+def _word_sums(totals: Totals, hot):
+    """Per part: of its words the count; of its contexts the mass that their discounts leave, and
+    the own estimates of the words seen after them."""
 
     def run(batches):
         often, often_count = hot.value
         for batch in batches:
             for data in batch.column("data").to_pylist():
-                words, pairs, contexts, which, count = _unpack(data)
+                words, pairs, contexts, which, count = unpack(data)
                 heads = np.concatenate([[0], np.cumsum(pairs.astype(np.int64))[:-1]])
-                total = np.add.reduceat(count.astype(np.int64), heads)
-                at = np.minimum(np.searchsorted(often, words), max(len(often) - 1, 0))
-                if len(often):
-                    total = np.where(often[at] == words, often_count[at], total)  # dealt by pairs: the part holds some only
-                own = np.repeat(totals.own(total), pairs)
-                left = (1 - totals.pair_d[np.minimum(count, K + 1)]) * count
-                sums = [pa.array(np.bincount(which, x, len(contexts))) for x in (left, own)]
-                yield pa.RecordBatch.from_arrays([pa.array(contexts), *sums], ["word", "left", "own"])
+                total = here = np.add.reduceat(count.astype(np.int64), heads)
+                if len(often):  # dealt by pairs: the part holds some of them only
+                    at = np.minimum(np.searchsorted(often, words), len(often) - 1)
+                    total = np.where(often[at] == words, often_count[at], here)
+                left = np.bincount(which, (1 - totals.pair_d[np.minimum(count, K + 1)]) * count, len(contexts))
+                own = np.bincount(which, np.repeat(totals.own(total), pairs), len(contexts))
+                a, b = np.zeros(len(words)), np.zeros(len(contexts), np.int64)
+                columns = [np.concatenate(x) for x in ((words, contexts), (here, b), (a, left), (a, own))]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["word", "c", "left", "own"])
 
     return run
 
@@ -283,7 +293,7 @@ def _word_blocks(batches):
     part, held = None, []
 
     def row():
-        return _rows(_BLOCK, [(part, TABLE_WORDS, 0, _pack(*(np.concatenate(x) for x in zip(*held))))])
+        return _rows(_BLOCK, [(part, TABLE_WORDS, 0, pack(*(np.concatenate(x) for x in zip(*held))))])
 
     for batch in batches:
         of = batch.column("part").to_numpy()
@@ -293,18 +303,19 @@ def _word_blocks(batches):
                 yield row()
                 held = []
             part = int(of[a])
-            held.append([batch.column(c).to_numpy()[a: a + n] for c in ("word", "c", "denominator", "backoff")])
+            held.append([batch.column(c).to_numpy()[a: a + n] for c in ("word", "c", "denominator")])
     if held:
         yield row()
 
 
 class _Words:
-    """Sorted words with count, denominator and backoff; those that are often come from the broadcast."""
+    """Sorted words with count and denominator; those that are often come from the broadcast, which has their backoff too."""
 
     def __init__(self, own: list[np.ndarray], hot: list[np.ndarray]):
         self.tables = [t for t in (own, hot) if len(t) and len(t[0])]
 
     def of(self, words: np.ndarray) -> list[np.ndarray]:
+        """count, denominator, backoff; 0, 1, 0 for words that the tables lack."""
         out = [np.zeros(len(words), np.int64), np.ones(len(words)), np.zeros(len(words))]
         for names, *values in self.tables:
             at = np.minimum(np.searchsorted(names, words), len(names) - 1)
@@ -319,7 +330,7 @@ def _scored(totals: Totals, hot):
 
     def sums(block, words: _Words, table, often: _Words):
         names, pairs, contexts, which, times, docs = block
-        count, denominator, _ = words.of(names)
+        count, denominator = words.of(names)[:2]
         word = np.repeat(np.arange(len(names)), pairs)
         seen = np.zeros(len(which), np.int64)
         if table is not None:
@@ -334,7 +345,7 @@ def _scored(totals: Totals, hot):
         # the denominator of a pair is that of its context: each word pays its own here, as if what follows it were seen
         model = np.where(seen > 0, paired, own) - np.log10(denominator)[word]
         lacking = np.flatnonzero(seen == 0)
-        back_count, _, back = often.of(contexts)
+        back = often.of(contexts)[2]
         known = np.isin(contexts, often.tables[-1][0]) if often.tables else np.zeros(len(contexts), bool)
         model[lacking] += np.where(known, back, 0)[which[lacking]]
         per = np.repeat(np.arange(len(which)), times)
@@ -342,7 +353,7 @@ def _scored(totals: Totals, hot):
         held = np.bincount(docs, minlength=size)
         at = np.flatnonzero(held)
         values = [np.bincount(docs, x[per], size)[at] for x in ((count > 0)[word].astype(float), totals.plain(count)[word], model)]
-        data = _pack(at, values[0].astype(np.int64), *values[1:])
+        data = pack(at, values[0].astype(np.int64), *values[1:])
         ask = (seen == 0) & ~known[which]
         mine = ask[per]
         return data, contexts[which[per[mine]]], docs[mine]
@@ -350,19 +361,19 @@ def _scored(totals: Totals, hot):
     def run(batches):
         part, words, table = None, None, None
         often = _Words([], hot.value)
-        for batch in batches:
+        for batch in pieces(batches, 100):
             for p, kind, chunk, data in zip(*(batch.column(c).to_pylist() for c in ("part", "kind", "chunk", "data"))):
                 if p != part:
                     part, words, table = p, _Words([], hot.value), None
                 if kind == TABLE_WORDS:
-                    words = _Words(_unpack(data), hot.value)
+                    words = _Words(unpack(data), hot.value)
                 elif kind == TABLE_PAIRS:
-                    names, pairs, contexts, which, count = _unpack(data)
+                    names, pairs, contexts, which, count = unpack(data)
                     table = names, contexts, np.repeat(np.arange(len(names)), pairs) * len(contexts) + which, count
                 elif kind == DOCS:
                     yield _rows(_SCORED, [(DOCS, chunk, data, None, None, None)])
                 else:
-                    data, contexts, docs = sums(_unpack(data), words, table, often)
+                    data, contexts, docs = sums(unpack(data), words, table, often)
                     yield _rows(_SCORED, [(SUMS, chunk, data, None, None, None)])
                     if len(contexts):
                         n = len(contexts)
@@ -388,8 +399,8 @@ def _assembled(totals: Totals, start: float):
 
     def run(batches):
         chunk, docs, sums = None, None, None
-        for batch in batches:
-            for c, kind, data, doc, value in zip(*(batch.column(x).to_pylist() for x in ("chunk", "kind", "data", "doc", "value"))):
+        for batch in pieces(batches, 100):
+            for *c, kind, data, doc, value in zip(*(batch.column(x).to_pylist() for x in ("round", "chunk", "kind", "data", "doc", "value"))):
                 if c != chunk:
                     if docs is not None:
                         yield from rows(docs, *sums)
@@ -398,7 +409,7 @@ def _assembled(totals: Totals, start: float):
                     docs = pa.ipc.open_stream(data).read_all()
                     sums = np.zeros(len(docs), np.int64), np.zeros(len(docs)), np.zeros(len(docs))
                 elif kind == SUMS:
-                    at, *values = _unpack(data)
+                    at, *values = unpack(data)
                     for total, v in zip(sums, values):
                         total[at] += v.astype(total.dtype)
                 else:
@@ -416,47 +427,49 @@ def _dealt(blocks: DataFrame, tasks: int) -> DataFrame:
 class Katz:
     """The fitted model: its tables (a block per part), totals, and the words that are broadcast."""
 
-    def __init__(self, words: DataFrame, rows: DataFrame, pairs: DataFrame, totals: Totals, hot: list[np.ndarray], parts: int, tasks: int):
-        self.words, self.rows, self.pairs, self.totals, self.hot, self.parts, self.tasks = words, rows, pairs, totals, hot, parts, tasks
+    def __init__(self, words: DataFrame, rows: DataFrame, pairs: DataFrame, totals: Totals, names: np.ndarray, hot: list[np.ndarray], parts: int, tasks: int):
+        self.words, self.rows, self.pairs, self.totals, self.names, self.hot, self.parts, self.tasks = words, rows, pairs, totals, names, hot, parts, tasks
 
 
 def fit(docs: DataFrame, learn: Column, *, text: str = "text", parts: int | None = None) -> Katz:
-    """Count the texts of the rows where ``learn`` holds. ``parts``: three for each shuffle partition by default."""
+    """Count the texts of the rows where ``learn`` holds. ``parts``: one for each shuffle partition by default."""
     spark = docs.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = parts or 3 * tasks
+    sc, tasks = spark.sparkContext, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or tasks
     rows = docs.select(F.col(text).alias("_text"), F.coalesce(learn, F.lit(False)).alias("_learn"))
-    unigrams = staged(rows.mapInArrow(_counted, "word bigint, c bigint").groupBy("word").agg(F.sum("c").alias("c")).where("c > 0"), "unigrams")
-    t = unigrams.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.max(F.when(F.col("word") == H_END, F.col("c"))).alias("texts"),
-                     *[F.sum((F.col("c") == r).cast("long")).alias(f"r{r}") for r in range(1, K + 2)]).first()
-    n, texts = t["n"] or 0, t["texts"] or 0
-    often = unigrams.where((F.col("c") * (HOT * parts) > n) | (F.col("word") == H_END)).orderBy("word").collect()  # at most HOT * parts + 1 words
-    hot_words, hot_counts = np.array([r["word"] for r in often], np.int64), np.array([r["c"] for r in often], np.int64)
-    sc = spark.sparkContext
-    names = sc.broadcast(hot_words)
-    pairs = staged(_dealt(rows.mapInArrow(_sent(parts, names, None), BLOCK), tasks).mapInArrow(_merged, BLOCK + ", seen array<bigint>"), "pairs")
-    seen = pairs.select(*[F.element_at("seen", r).alias(f"s{r}") for r in range(1, K + 2)]).groupBy().sum().first()
-    totals = Totals(n, t["v"], texts, [t[f"r{r}"] or 0 for r in range(1, K + 2)], [x or 0 for x in seen])
+    some = rows.where(F.col("_learn") & (F.pmod(F.xxhash64("_text"), F.lit(SAMPLE)) == 0)).mapInArrow(_counted, "word bigint, c bigint")
+    some = staged(some.groupBy("word").agg(F.sum("c").alias("c")), "sampled-words")
+    share = (some.agg(F.sum("c")).first()[0] or 0) / (HOT * parts)
+    # at most HOT * parts words, and the end mark
+    names = np.array(sorted({r["word"] for r in some.where(F.col("c") > share).collect()} - {H_START} | {H_END}), np.int64)
+
+    sent = sc.broadcast(names)
+    pairs = staged(_dealt(rows.mapInArrow(_sent(parts, sent, None), BLOCK), tasks).mapInArrow(_merged(sent), PART), "pairs")
+    r = range(1, K + 2)
+    t = pairs.agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types"), *[F.sum(F.element_at(c, i)).alias(f"{c}{i}") for c in ("seen", "word_seen") for i in r]).first()
+    often = {x["word"]: x["c"] for x in pairs.select(F.explode("hot").alias("x")).groupBy("x.word").agg(F.sum("x.c").alias("c")).collect()}
+    counts = np.array([often.get(w, 0) for w in names.tolist()], np.int64)
+    word_seen = [(t[f"word_seen{i}"] or 0) + int((counts == i).sum()) for i in r]
+    totals = Totals(t["tokens"] or 0, (t["types"] or 0) + int((counts > 0).sum()), often.get(H_END, 0), word_seen, [t[f"seen{i}"] or 0 for i in r])
     release(spark)
 
-    after = pairs.select("data").mapInArrow(_context_sums(totals, sc.broadcast((hot_words, hot_counts))), "word bigint, left double, own double")
-    sums = after.groupBy("word").agg(F.sum("left").alias("left"), F.sum("own").alias("own"))
-    every = unigrams.unionByName(spark.createDataFrame([(H_START, 0)] if texts else [], "word bigint, c bigint")).join(sums, "word", "left")
-    times = F.when(F.col("word") == H_START, texts).otherwise(F.col("c"))
-    open_ = F.col("left") > 0
-    # the end mark is no context; a denominator of 1 costs nothing
-    context = F.col("left").isNotNull()
+    sums = pairs.select("data").mapInArrow(_word_sums(totals, sc.broadcast((names, counts))), "word bigint, c bigint, left double, own double")
+    every = sums.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("c", "left", "own")])
+    times = F.when(F.col("word") == H_START, totals.texts).otherwise(F.col("c"))
+    # a context has words after it; the end mark is none, and a denominator of 1 costs nothing
+    context, open_ = F.col("own") > 0, F.col("left") > 0
     table = staged(every.select(
-        F.pmod("word", F.lit(parts)).cast("int").alias("part"), "word", "c",
-        F.when(context, F.when(open_, times).otherwise(times + 1)).otherwise(1).cast("double").alias("denominator"),
+        "word", "c",
+        F.when(context, F.when(open_, times).otherwise(times + 1)).otherwise(1).cast("long").alias("denominator"),
         F.when(context, F.log10(F.when(open_, F.col("left")).otherwise(1.0) / (1 - F.col("own")))).otherwise(0.0).alias("backoff"),
-    ).repartition(tasks, "part").sortWithinPartitions("part", "word"), "words")
-    blocks = table.repartition(tasks, "part").sortWithinPartitions("part", "word").mapInArrow(_word_blocks, BLOCK)
-    held = table.join(spark.createDataFrame([(int(x),) for x in [*hot_words, H_START]], "word bigint"), "word", "left_semi")
-    found = sorted((r["word"], r["c"], r["denominator"], r["backoff"]) for r in held.collect())  # as many as ``often``
+    ), "words")
+    by_part = table.select(F.pmod("word", F.lit(parts)).cast("int").alias("part"), "word", "c", "denominator")
+    blocks = staged(by_part.repartition(tasks, "part").sortWithinPartitions("part", "word").mapInArrow(_word_blocks, BLOCK), "word-blocks")
+    held = table.join(spark.createDataFrame([(int(x),) for x in [*names, H_START]], "word bigint"), "word", "left_semi")
+    found = sorted((x["word"], x["c"], x["denominator"], x["backoff"]) for x in held.collect())  # as many as ``names``, and the start mark
     hot = [np.array(x, kind) for x, kind in zip(zip(*found), (np.int64, np.int64, float, float))] if found else []
-    discard(unigrams)
-    return Katz(blocks, table, pairs, totals, hot, parts, tasks)
+    release(spark)
+    return Katz(blocks, table, pairs, totals, names, hot, parts, tasks)
 
 
 def score(docs: DataFrame, model: Katz, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -468,15 +481,20 @@ def score(docs: DataFrame, model: Katz, *, text: str = "text", keep: list[str] |
     sc = docs.sparkSession.sparkContext
     hot_words = model.hot[0] if model.hot else np.zeros(0, np.int64)
     start = float(np.log10(model.hot[2][hot_words == H_START][0])) if H_START in hot_words else 0.0
-    sent = rows.mapInArrow(_sent(model.parts, sc.broadcast(hot_words[hot_words != H_START]), kept), BLOCK)
-    blocks = sent.unionByName(model.words).unionByName(model.pairs.select("part", "kind", "chunk", "data"))
-    scored = staged(_dealt(blocks, model.tasks).mapInArrow(_scored(model.totals, sc.broadcast(model.hot)), SCORED), "katz-sums")
-    release(docs.sparkSession)
-    asked = scored.where(F.col("kind") == REST).groupBy("chunk", "doc", "context").agg(F.sum("n").alias("n"))
-    back = (asked.join(model.rows.select(F.col("word").alias("context"), "backoff"), "context").groupBy("chunk", "doc")
-            .agg(F.sum(F.col("n") * F.col("backoff")).alias("value")).select("chunk", F.lit(REST).alias("kind"), F.lit(None).cast("binary").alias("data"), "doc", "value"))
-    sums = scored.where(F.col("kind") != REST).select("chunk", "kind", "data", F.lit(0).alias("doc"), F.lit(0.0).alias("value"))
-    by_chunk = sums.unionByName(back).repartition("chunk").sortWithinPartitions("chunk", "kind")
+    dealt, hot = sc.broadcast(model.names), sc.broadcast(model.hot)
+    tables = model.words.unionByName(model.pairs.select("part", "kind", "chunk", "data"))
+    scored = None
+    for n in range(ROUNDS):
+        own = rows.where(F.pmod(F.xxhash64("_text"), F.lit(ROUNDS)) == n)
+        blocks = own.mapInArrow(_sent(model.parts, dealt, kept), BLOCK).unionByName(tables)
+        part = staged(_dealt(blocks, model.tasks).mapInArrow(_scored(model.totals, hot), SCORED).withColumn("round", F.lit(n)), "katz-sums")
+        release(docs.sparkSession)
+        scored = part if scored is None else scored.unionByName(part)
+    asked = scored.where(F.col("kind") == REST).groupBy("round", "chunk", "doc", "context").agg(F.sum("n").alias("n"))
+    back = (asked.join(model.rows.select(F.col("word").alias("context"), "backoff"), "context").groupBy("round", "chunk", "doc")
+            .agg(F.sum(F.col("n") * F.col("backoff")).alias("value")).select("round", "chunk", F.lit(REST).alias("kind"), F.lit(None).cast("binary").alias("data"), "doc", "value"))
+    sums = scored.where(F.col("kind") != REST).select("round", "chunk", "kind", "data", F.lit(0).alias("doc"), F.lit(0.0).alias("value"))
+    by_chunk = sums.unionByName(back).repartition("round", "chunk").sortWithinPartitions("round", "chunk", "kind")
     out = by_chunk.mapInArrow(_assembled(model.totals, start), f"{ddl(frame.select(*kept).schema)}, _n bigint, _known bigint, _train bigint, _base double, _score double")
     return out.toDF(*keep, "_n", "_known", "_train", "_base", "_score")
 
