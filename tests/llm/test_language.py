@@ -31,13 +31,79 @@ def test_no_labels_and_no_rows(spark):
 
 
 def test_backoff_goes_from_long_to_short():
-    m = L.Model({"a": {"abcd": 5}, "b": {"wxyz": 5}}, min_count=1)
+    m = L.Model({"a": {"abcd": 5}, "b": {"wxyz": 5}})
     assert m.score("abcd")[0] > m.score("abcd")[1]  # known word
     assert m.score("xabcx")[0] > m.score("xabcx")[1]  # trigram
     assert m.score("zz")[1] > m.score("zz")[0]  # z>
     assert m.score("qq").tolist() == [0, 0]
 
 
+def brute(docs):
+    """Word-first backoff in plain Python: (doc_id, held out, language, score) of every document."""
+    import math
+    import re
+
+    words = lambda t: re.findall(r"[^\W\d_]+", (t or "").lower())
+    out_of = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 4 == 2
+    cut = lambda w, n: [(f"<{w}>" if n > 1 else w)[k: k + n] for k in range((len(w) + 2 if n > 1 else len(w)) - n + 1)]
+    word, gram = {}, {n: {} for n in (4, 3, 2, 1)}
+    learned = [(t, x) for i, t, x in docs if x is not None and t is not None and not out_of(i) and words(t)]
+    langs = sorted({x for _, x in learned})
+    for t, x in learned:
+        for w in words(t):
+            word.setdefault(w, dict.fromkeys(langs, 0))[x] += 1
+            for n in gram:
+                for g in cut(w, n):
+                    gram[n].setdefault(g, dict.fromkeys(langs, 0))[x] += 1
+    total = {id(table): {x: sum(c[x] for c in table.values()) for x in langs} for table in (word, *gram.values())}
+    p = lambda table, key, x: math.log((table[key][x] + 0.5) / (total[id(table)][x] + 0.5 * len(table)))
+
+    def score(w, x):
+        if w in word:
+            return p(word, w, x)
+        for n in (4, 3, 2, 1):
+            known = [g for g in cut(w, n) if g in gram[n]]
+            if known:
+                return sum(p(gram[n], g, x) for g in known) / len(known)
+        return 0.0
+
+    for i, t, _ in docs:
+        if not langs or not any(c.isalpha() for w in words(t) for c in w):
+            yield i, out_of(i), "und", 0.0
+            continue
+        s = {x: sum(score(w, x) for w in words(t)) for x in langs}
+        best = min(langs, key=lambda x: (-s[x], x))
+        yield i, out_of(i), best, 1 / sum(math.exp(min(s[x] - s[best], 0)) for x in langs)
+
+
+def same(spark, rows):
+    got = sorted(((r.doc_id, r.held_out, r.lang_pred, r.score) for r in L.report(spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
+    want = sorted(brute([r[:3] for r in rows]), key=str)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert all(abs(g[3] - w[3]) < 1e-9 for g, w in zip(got, want))
+    return got
+
+
+def test_as_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    of = {"de": "der die das haus garten schön und", "en": "the house garden and of with", "fr": "la maison le jardin été et", "xx": "zz yy"}
+    rows = [(i, " ".join(rng.choices(of[x].split() + ["mix", f"w{i % 9}"], k=rng.randrange(9))), x if i % 5 else None, "s") for i in range(200) for x in [rng.choice(sorted(of))]]
+    rows += [(900 + i, " ".join("".join(rng.choices("abdehnrstuöé", k=5)) for _ in range(6)), None, "s") for i in range(40)] + ODD
+    same(spark, rows)
+
+
+def test_few_labelled_rows_are_learned_and_ties_go_to_the_smaller_code(spark):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(ids[0], "la maison verte", "fr", "s"), (ids[1], "the green house", "en", "s"), (ids[2], "a house", None, "s")]
+    assert {r[0]: r[2] for r in same(spark, rows)} == {ids[0]: "fr", ids[1]: "en", ids[2]: "en"}
+    tied = [(ids[0], "abc", "nl", "s"), (ids[1], "abc", "da", "s"), (ids[2], "abc", None, "s"), (ids[3], "ωψ", None, "s")]
+    got = {r[0]: r[2:] for r in same(spark, tied)}
+    assert got[ids[2]] == ("da", 0.5) and got[ids[3]] == ("da", 0.5)
+    assert {r[2] for r in same(spark, [(ids[0], "only one", "sv", "s"), (ids[1], "??", "sv", "s"), (ids[2], "mehr", None, "s")])} == {"sv", "und"}
+
+
 def test_held_out_accuracy_on_the_given_table(spark):
     out = LLM_QUERIES["op6_language"](spark, SF_MID)
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "lang")

@@ -6,14 +6,16 @@ of which the model knows any, falling back from ``ORDERS[0]`` to single characte
 and scores their mean log frequency. The language with the highest sum wins, ties go
 to the smaller code; the score is its share of the posterior with equal priors.
 
-The model is fitted on a bounded sample of labelled rows: at most ``sample_rows`` per
-language, drawn by a hash of the row, and keeps the ``vocabulary`` most frequent words
-per language, so its size does not depend on the corpus. Every document is judged on
-its whole text.
+The model is fitted on a bounded sample of labelled rows: about ``sample_rows`` per
+language, drawn by a hash of the row (all rows of a language that has no more). Every word
+of the sample counts, once-seen ones too, so a language with a single labelled row is
+learned. Every document is judged on its whole text.
 
 Defined cases: a null text, an empty one, or one without a letter is ``und`` with
-score 0; without labelled rows every document is ``und``; repeated rows get the same
-answer; an empty table gives no rows; extra columns are ignored, or carried by ``kept``.
+score 0; without labelled rows every document is ``und``; a document none of whose words
+or characters the model knows scores the same in all languages and gets the smallest code;
+repeated rows get the same answer; an empty table gives no rows; extra columns are ignored,
+or carried by ``kept``.
 """
 
 from __future__ import annotations
@@ -24,16 +26,14 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripstream.llm.common import carried, ddl, extended
 
 UNKNOWN = "und"
 ORDERS = (4, 3, 2, 1)
-SAMPLE_ROWS = 4_000
-VOCABULARY = 50_000
-MIN_COUNT = 2
+SAMPLE_ROWS = 1_000
 CACHED_WORDS = 500_000
 MIN_SCORE = 0.5
 
@@ -56,15 +56,14 @@ def _grams(word: str, n: int) -> list[str]:
 class Model:
     """Log frequencies per language of words and of character n-grams."""
 
-    def __init__(self, counts: dict[str, dict[str, int]], vocabulary: int = VOCABULARY, min_count: int = MIN_COUNT):
+    def __init__(self, counts: dict[str, dict[str, int]]):
         self.languages = sorted(counts)
         index = {x: i for i, x in enumerate(self.languages)}
         words: dict[str, np.ndarray] = {}
         grams: dict[int, dict[str, np.ndarray]] = {n: {} for n in ORDERS}
         zero = np.zeros(len(index))
         for lang, own in counts.items():
-            kept = sorted((x for x in own.items() if x[1] >= min_count), key=lambda x: (-x[1], x[0]))[:vocabulary]
-            for w, c in kept:
+            for w, c in sorted(own.items()):
                 words.setdefault(w, zero.copy())[index[lang]] += c
                 for n in ORDERS:
                     for g in _grams(w, n):
@@ -124,8 +123,7 @@ class Judge(dict):
         return self.model.languages[best], float(1 / np.exp(np.minimum(total - total[best], 0)).sum())
 
 
-def fit(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS,
-        vocabulary: int = VOCABULARY) -> Model:
+def fit(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learn from at most about ``sample_rows`` rows of each language (rows without label or text are left out)."""
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in labelled.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()}
@@ -144,13 +142,10 @@ def fit(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample_r
             yield pd.DataFrame([(x, w, n) for x, c in own.items() for w, n in c.items()], columns=["lang", "word", "n"])
 
     counts = drawn.mapInPandas(counted, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    counts = counts.where(F.col("n") >= MIN_COUNT)
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = counts.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= vocabulary)
-    got: dict[str, dict[str, int]] = {}
-    for r in top.select("lang", "word", "n").collect():  # bounded: ``vocabulary`` words of each language
-        got.setdefault(r["lang"], {})[r["word"]] = r["n"]
-    return Model(got, vocabulary)
+    got: dict[str, dict[str, int]] = {x: {} for x in sizes}
+    for r in counts.toLocalIterator():  # bounded: the words of ``sample_rows`` texts of each language
+        got[r["lang"]][r["word"]] = r["n"]
+    return Model({x: words for x, words in got.items() if words})
 
 
 def identify(docs: DataFrame, model: Model, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -182,7 +177,9 @@ def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang:
     return out.select("doc_id", "held_out", F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"))
 
 
-def kept(docs: DataFrame, *, doc_id: str = "doc_id", min_score: float = MIN_SCORE, **options) -> DataFrame:
+def kept(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_score: float = MIN_SCORE, **options) -> DataFrame:
     """The documents whose language is known with at least ``min_score``, unchanged."""
-    model = fit(docs.where(~held_out(doc_id)), **options)
-    return identify(docs, model).where((F.col("_lang") != UNKNOWN) & (F.col("_score") >= min_score)).select(*[f"`{c}`" for c in docs.columns])
+    model = fit(docs.where(~held_out(doc_id)), text=text, **options)
+    frame, inner, names = carried(docs)
+    judged = identify(frame, model, text=inner[names.index(text)])
+    return judged.where((F.col("_lang") != UNKNOWN) & (F.col("_score") >= min_score)).select(*inner).toDF(*names)
