@@ -1,6 +1,7 @@
 import hashlib
 import io
 import json
+import re
 import zlib
 
 import pytest
@@ -32,8 +33,38 @@ def index(spark):
     return W.archive(df.repartition(2))
 
 
-def test_round_trip(index):
-    assert sorted((tuple(r) for r in W.read(index).collect()), key=str) == plain()
+def test_round_trip(spark, index):
+    df = spark.createDataFrame(ROWS, "page_id long, url string, html string, record_type string")
+    assert sorted((tuple(r) for r in W.report(df.repartition(2)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()), key=str) == plain()
+    assert sorted((tuple(r)[:4] for r in W.read(index).collect()), key=str) == sorted((r[:4] for r in plain()), key=str)
+
+
+def test_records_are_valid_and_revisits_name_their_response(index):
+    every = []
+    for name in {r.archive for r in index.collect()}:
+        fs, path = W._open(name)
+        every += list(W.records(W.inflated(fs.open_input_stream(path, compression=None))))
+    heads = [h for h, _ in every]
+    for h in heads:  # the mandatory fields
+        assert {"warc-type", "warc-record-id", "warc-date", "content-length"} <= set(h) and re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", h["warc-date"])
+        assert re.fullmatch(r"<urn:uuid:[0-9a-f-]{36}>", h["warc-record-id"])
+    by_id = {h["warc-record-id"]: h for h in heads}
+    revisits = [h for h in heads if h["warc-type"] == "revisit"]
+    assert len(revisits) == sum(r[3] == "revisit" for r in plain())
+    for h in revisits:
+        to = by_id[h["warc-refers-to"]]
+        assert to["warc-type"] == "response" and to["warc-payload-digest"] == h["warc-payload-digest"] and h["warc-profile"] == W.REVISIT
+        assert h.get("warc-refers-to-target-uri") == to.get("warc-target-uri")
+    assert sum(h["warc-type"] == "warcinfo" for h in heads) == len({r.archive for r in index.collect()})
+    assert not any(k.startswith("x-refers") for h in heads for k in h)
+
+
+def test_monoliths_are_gone(index):
+    from pyarrow import fs as F
+
+    fs, path = W._open(index.first().archive)
+    folder = path.rpartition("/members/")[0]
+    assert {x.base_name for x in fs.get_file_info(F.FileSelector(folder))} == {"members"}
 
 
 def test_members_and_sidecar(index):
