@@ -1,8 +1,8 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
-The training text is indexed where it lies: each task stores, for the documents
-of a batch, the postings (document, position) of every test term, as one array
-sorted by (term, position). A test phrase is answered from its rarest term: that
+``build`` stores the postings of every training token: documents are cut into shards, and a
+shard is a row of the index table, with its terms, how often each occurs and, packed, the
+positions of each term in turn. ``search`` answers any benchmark from that table. A test phrase is answered from its rarest term: that
 term's list, shifted by the term's offset in the phrase, is intersected with the
 next rarest term's shifted list, and so on; what survives all of them is an exact
 occurrence. Proximity matches (``slop`` given) start from the rarest term's postings
@@ -11,8 +11,9 @@ too and keep the phrases whose every term occurs within some ``slop`` consecutiv
 The index is sharded by document, so no posting ever crosses the network. Test
 phrases go to the shards in blocks of at most ``block_chars`` characters, the
 proven bound of one broadcast; a larger benchmark is answered in several blocks, one
-after the other, each staged before the next. The index lives as long as its batch:
-it holds the test terms only and is not stored.
+after the other, each staged before the next. ``flagged``, a filter that passes over a text
+once and keeps its columns, holds the postings of the test terms of one batch at a time
+instead and stores nothing.
 
 Defined cases: a null or empty text has no words (n_words 0, nothing hit); an item
 without words matches nothing; an item shorter than the window is one window of
@@ -29,12 +30,18 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstream.llm.common import carried, ddl, extended, staged
+from tripstream.llm.blocks import pack, unpack
+from tripstream.llm.common import carried, ddl, extended, pieces, staged
 
 WINDOW = 10
+#: a proximity match has every word of a window within this many consecutive words
+SLOP = 15
+SHARD_WORDS = 300_000
 BLOCK_CHARS = 16_000_000
 CHUNK_WORDS = 2_000_000
 MAX_CANDIDATES = 4_000_000
@@ -87,13 +94,31 @@ class Shard:
             parts += [x, pad]
             at += len(x) + gap
         terms = np.concatenate(parts)
-        self.width = len(terms) + 1
         at = np.flatnonzero(terms >= 0)
         by_term = np.argsort(terms[at], kind="stable")
-        self.positions = at[by_term]
-        self.keys = terms[self.positions].astype(np.int64) * self.width + self.positions
-        self.counts = np.bincount(terms[at], minlength=n_terms) if len(at) else np.zeros(n_terms, np.int64)
-        self.first = np.concatenate([[0], np.cumsum(self.counts)])[:-1]
+        self._listing(at[by_term], np.bincount(terms[at], minlength=n_terms) if len(at) else np.zeros(n_terms, np.int64), len(terms))
+
+    def _listing(self, positions: np.ndarray, counts: np.ndarray, size: int) -> None:
+        self.width, self.positions, self.counts = size + 1, positions, counts
+        self.keys = np.repeat(np.arange(len(counts), dtype=np.int64), counts) * self.width + positions
+        self.first = np.concatenate([[0], np.cumsum(counts)])[:-1]
+
+    @classmethod
+    def stored(cls, sizes: np.ndarray, steps: np.ndarray, counts: np.ndarray, rows: np.ndarray, gap: int) -> "Shard":
+        """From a row of the index; ``rows``: for each test term its place among the shard's terms, or -1."""
+        shard = cls.__new__(cls)
+        shard.sizes = sizes = sizes.astype(np.int64)
+        ends = np.cumsum(sizes)
+        shard.starts = ends - sizes + gap * np.arange(1, len(sizes) + 1)
+        first = np.concatenate([[0], np.cumsum(counts)])[:-1].astype(np.int64)
+        n = np.where(rows >= 0, counts[rows], 0).astype(np.int64)
+        # the lists of the test terms, one after the other
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(np.where(rows >= 0, first[rows], 0), n)
+        run = np.cumsum(steps, dtype=np.int64)
+        positions = run[at] - np.repeat(np.where(rows >= 0, run[first[rows]] - steps[first[rows]], 0), n)
+        positions += gap * (np.searchsorted(ends, positions, "right") + 1)
+        shard._listing(positions, n, int(sizes.sum()) + gap * (len(sizes) + 1))
+        return shard
 
     def _listed(self, term: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Whether a term has a posting in [low, high]."""
@@ -208,7 +233,7 @@ def flagged(docs: DataFrame, items: DataFrame, *, text: str = "text", item_id: s
     ``_spans``, first and last word of each run of hit words, flat.
     """
     spark = docs.sparkSession
-    items = items.select(F.col(item_id).alias("i"), F.col(item_text).alias("t"))
+    items = items.select(F.col(item_id).alias("i"), F.col(item_text).alias("t")).distinct()
     chars = items.agg(F.sum(F.length("t")).alias("n")).first()["n"] or 0
     blocks = max(1, math.ceil(chars / block_chars))
     frame, inner, names = carried(docs)
@@ -261,15 +286,113 @@ def _summed(ids, at):
     return n, sorted(hit), sorted(near), spans
 
 
-def report(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row per document: n_words, n_hit, n_items, items_sha256, contaminated."""
-    found = flagged(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), items, keep=["doc_id"], **options)
+INDEX = "shard bigint, doc_ids array<{id}>, sizes array<int>, terms array<string>, counts array<int>, body binary"
+
+
+class Index:
+    """The stored shards: documents with their sizes, terms with their counts, packed positions."""
+
+    def __init__(self, shards: DataFrame):
+        self.shards = shards
+
+
+def build(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shard_words: int = SHARD_WORDS) -> Index:
+    """Postings of all words of ``docs``, in shards of about ``shard_words`` words (a longer document is one alone)."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+
+    def shard(number, ids, coded, vocabulary):
+        terms = np.concatenate([np.zeros(0, np.int32), *coded])
+        order = np.argsort(terms, kind="stable")
+        counts = np.bincount(terms, minlength=len(vocabulary))
+        steps = np.diff(order, prepend=0)
+        first = (np.cumsum(counts) - counts)[counts > 0]
+        steps[first] = order[first]  # a term's first position as it is, then the distances
+        return pa.RecordBatch.from_arrays([
+            pa.array([number], pa.int64()), pa.array([ids.to_pylist()], pa.list_(ids.type)), pa.array([[len(x) for x in coded]], pa.list_(pa.int32())),
+            pa.array([[t.decode("utf-8", "surrogatepass") for t in vocabulary]], pa.list_(pa.string())), pa.array([counts], pa.list_(pa.int32())),
+            pa.array([pack(steps)], pa.binary())], ["shard", "doc_ids", "sizes", "terms", "counts", "body"])
+
+    def run(batches):
+        number = TaskContext.get().partitionId() << 32
+        ids, coded, vocabulary, size = [], [], {}, 0
+        for batch in pieces(batches):
+            at = 0
+            for i, t in enumerate(batch.column("text").to_pylist()):
+                words = words_of(t)
+                if coded and size + len(words) > shard_words:
+                    yield shard(number, pa.concat_arrays([*ids, batch.column("doc_id").slice(at, i - at)]), coded, vocabulary)
+                    number, at = number + 1, i
+                    ids, coded, vocabulary, size = [], [], {}, 0
+                coded.append(np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in words), np.int32, len(words)))
+                size += len(words)
+            ids.append(batch.column("doc_id").slice(at))
+        if coded:
+            yield shard(number, pa.concat_arrays(ids), coded, vocabulary)
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return Index(staged(rows.mapInArrow(run, INDEX.format(id=kind)), "positional-index"))
+
+
+def search(index: Index, items: DataFrame, *, item_id: str = "item_id", text: str = "text", window: int = WINDOW, slop: int | None = SLOP,
+           block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """doc_id with _n_words, _n_hit, _items, _near, _spans (as ``flagged`` has them) for every indexed document."""
+    spark = index.shards.sparkSession
+    items = items.select(F.col(item_id).alias("i"), F.col(text).alias("t")).distinct()
+    chars = items.agg(F.sum(F.length("t")).alias("n")).first()["n"] or 0
+    blocks, hits = max(1, math.ceil(chars / block_chars)), None
+    for block in range(blocks):
+        part = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block)
+        phrases = spark.sparkContext.broadcast(vars(TestPhrases([(r.i, r.t) for r in part.collect()], window)))
+
+        def run(batches, phrases=phrases):
+            p = SimpleNamespace(**phrases.value)
+            names = pa.array([t.decode("utf-8", "surrogatepass") for t in p.terms], pa.string())
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    place = pc.fill_null(pc.index_in(names, value_set=batch.column("terms")[i].values), -1).to_numpy(zero_copy_only=False)
+                    sizes, counts = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("sizes", "counts"))
+                    if not (place >= 0).any():
+                        continue
+                    shard = Shard.stored(sizes, unpack(batch.column("body")[i].as_py())[0], counts, place, max(window, slop or 0) + 1)
+                    found = set()
+                    for w, a, b, exact in shard.search(p, slop):
+                        d = shard.document(int(a))
+                        lo, hi = (int(a - shard.starts[d]), int(b - shard.starts[d])) if exact else (-1, -1)
+                        found |= {(d, p.item_ids[k], lo, hi) for k in p.items[w]}
+                    if found:
+                        d, ids, lo, hi = zip(*sorted(found, key=str))
+                        yield pa.RecordBatch.from_arrays([batch.column("shard").take(pa.array([i] * len(d))), pa.array(d, pa.int32()), pa.array(ids, pa.string()),
+                                                          pa.array(lo, pa.int32()), pa.array(hi, pa.int32())], ["shard", "doc", "id", "a", "b"])
+
+        found = index.shards.select("shard", "sizes", "terms", "counts", "body").mapInArrow(run, "shard bigint, doc int, id string, a int, b int")
+        if blocks > 1:  # one block's phrases at a time
+            found = staged(found, f"decontaminate-{block}")
+            phrases.unpersist()
+        hits = found if hits is None else hits.unionByName(found)
+    per = hits.groupBy("shard", "doc").agg(F.collect_list(F.struct("id", "a", "b")).alias("h"))
+    docs = index.shards.select("shard", F.posexplode(F.arrays_zip("doc_ids", "sizes")).alias("doc", "x")).select("shard", "doc", F.col("x.doc_ids").alias("doc_id"), F.col("x.sizes").cast("long").alias("_n_words"))
+    joined = docs.join(per, ["shard", "doc"], "left").select("doc_id", "_n_words", "h")
+
+    def summed(batches):
+        for batch in batches:
+            rows = [_summed([x["id"] for x in h or []], [y for x in h or [] for y in (x["a"], x["b"])]) for h in batch.column("h").to_pylist()]
+            hit, ids, near, spans = zip(*rows) if rows else ((),) * 4
+            strings = pa.list_(pa.string())
+            yield extended(batch, ["doc_id", "_n_words"], _n_hit=pa.array(hit, pa.int64()), _items=pa.array(ids, strings), _near=pa.array(near, strings), _spans=pa.array(spans, pa.list_(pa.int32())))
+
+    return joined.mapInArrow(summed, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {FOUND}")
+
+
+def report(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shard_words: int = SHARD_WORDS, **options) -> DataFrame:
+    """One row per document: n_words, n_hit, n_items, items_sha256, contaminated; n_near, items with a proximity match only."""
+    found = search(build(docs, doc_id=doc_id, text=text, shard_words=shard_words), items, **options)
     return found.select(
         "doc_id", F.col("_n_words").alias("n_words"), F.col("_n_hit").alias("n_hit"),
         F.size("_items").cast("long").alias("n_items"), F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"),
-        (F.col("_n_hit") > 0).alias("contaminated"))
+        (F.col("_n_hit") > 0).alias("contaminated"), F.size("_near").cast("long").alias("n_near"))
 
 
-def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, *, text: str = "text", **options) -> DataFrame:
     """The documents that hold no benchmark phrase, with the columns they came with."""
-    return flagged(docs, items, **options).where("_n_hit = 0").select(*[f"`{c}`" for c in docs.columns])
+    frame, inner, names = carried(docs)
+    return flagged(frame, items, text=inner[names.index(text)], **options).where("_n_hit = 0").select(*inner).toDF(*names)

@@ -16,11 +16,20 @@ hit AS (SELECT DISTINCT g.doc_id, g.i, g.n, win.item_id
         FROM (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
               FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS r(i)) g JOIN win ON win.s = g.s AND win.n = g.n),
 per AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hit, unnest(range(i, i + n)) AS r(p) GROUP BY doc_id),
+-- proximity: the distinct words of a window within 15 consecutive words of a document
+wt AS (SELECT DISTINCT w.item_id, w.s, x FROM win w, unnest(string_split(w.s, ' ')) AS u(x)),
+wn AS (SELECT item_id, s, count(*) AS k FROM wt GROUP BY item_id, s),
+dp AS (SELECT doc_id, r, i, w[i] AS x FROM (SELECT row_number() OVER () AS r, doc_id, w FROM d), unnest(range(1, len(w) + 1)) AS u(i)),
+cand AS (SELECT r, item_id, s, k FROM (SELECT DISTINCT r, x FROM dp) JOIN wt USING (x) JOIN wn USING (item_id, s) GROUP BY r, item_id, s, k HAVING count(*) = k),
+span AS (SELECT doc_id, dp.r, cand.item_id, cand.s, cand.k, list(dp.x) OVER (PARTITION BY dp.r, cand.item_id, cand.s ORDER BY i RANGE BETWEEN 14 PRECEDING AND CURRENT ROW) AS xs
+         FROM cand JOIN dp USING (r) JOIN wt ON wt.item_id IS NOT DISTINCT FROM cand.item_id AND wt.s = cand.s AND wt.x = dp.x),
+near AS (SELECT doc_id, count(DISTINCT item_id) AS n_near FROM span WHERE len(list_distinct(xs)) = k
+           AND NOT EXISTS (SELECT 1 FROM hit WHERE hit.doc_id IS NOT DISTINCT FROM span.doc_id AND hit.item_id = span.item_id) GROUP BY doc_id),
 its AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
         FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM hit) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN per USING (doc_id) LEFT JOIN its USING (doc_id)
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+FROM d LEFT JOIN per USING (doc_id) LEFT JOIN its USING (doc_id) LEFT JOIN near USING (doc_id)
 """
 
 _LOWER = "translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
