@@ -90,3 +90,18 @@ def test_packing_covers_the_rest(stages):
 def test_run_equals_the_stages(stages, spark):
     run = P.run(spark, SF_SMALL)
     assert run.columns == stages[-1][2].columns and run.count() > 0
+
+
+def test_empty_tables_and_further_columns(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    bench = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
+    for name, d, b in (("none", docs.limit(0), bench), ("free", docs, bench.limit(0))):
+        d.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        b.write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    assert P.run(spark, f"{tmp_path}/none").count() == 0
+    assert P.run(spark, f"{tmp_path}/free").count() >= P.run(spark, SF_SMALL).count()
+    own = ["component_id", "_score", "_lang", "_n_hit", "_base", "_k0", "fingerprint"]
+    more = docs.selectExpr("*", *[f"'x' AS {c}" for c in own])
+    for name, stage in P.STAGES[:-1]:
+        more = P.staged(stage(spark, more, SF_SMALL), f"more-{name}")
+        assert more.columns == [*COLUMNS, *own]
