@@ -3,6 +3,13 @@
 Each stage calls one operator of ``tripstream.llm``; its result is written as Parquet
 and read back as the next stage's documents. All but the last return the columns of
 ``documents``; the last returns the packed pieces.
+
+Defined cases: a document with a null, empty or letterless text has no language and goes in
+the first stage; a null lang, source or n_chars is carried as it is (n_chars follows a text
+that was redacted); a null doc_id is an id like any other; rows that are equal, or copies, are
+one after the second stage; texts of any length are read whole; further columns of
+``documents`` are carried to the last stage whatever their names; an empty table of documents
+gives no pieces, an empty benchmark removes nothing.
 """
 
 from __future__ import annotations
