@@ -66,3 +66,22 @@ def test_reads_on_until_the_bound_closes_or_all_rows_are_met():
         others = np.delete(np.arange(700), 3)
         best = others[T._best((x @ q)[others], others, 5)]
         assert places.tolist() == best.tolist() and scores.tolist() == (x @ q)[best].tolist()
+
+
+def test_a_score_reached_elsewhere_stops_a_query_earlier_and_loses_nothing():
+    rng = np.random.default_rng(12)
+    x = rng.integers(-20, 21, (3000, 6))
+    lists = T.Lists(np.arange(3000), x, np.float32)
+    for q in rng.integers(-9, 10, (30, 6)):
+        s = x @ q
+        for least in (int(np.sort(s)[-3]), int(s.max()), int(s.max()) + 1):
+            places, scores = lists.search(None, q, 5, least)
+            best = T._best(s, np.arange(3000), 5)
+            assert [p for p in best.tolist() if s[p] >= least] == [p for p, v in zip(places.tolist(), scores.tolist()) if v >= least]
+
+
+def test_vectors_stay_where_they_are(spark):
+    df = spark.createDataFrame(rows(200, 4, 1.0, 2), SCHEMA)
+    out = T.report(df, shard_rows=30)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "query_id" in plan and plan.count("Exchange") == 1  # only the results are dealt, by query

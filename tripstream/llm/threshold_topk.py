@@ -1,11 +1,14 @@
 """Exact top-k inner products by the threshold algorithm.
 
-Candidates are dealt to shards and queries to blocks; each (shard, block) is one task's
-work. A shard keeps, for every dimension, its rows sorted by that component. A query reads
+Candidates are cut into shards where they lie, and a shard keeps, for every dimension, its
+rows sorted by that component: a table with a row per shard, made once. Queries pass over it
+in blocks, each broadcast, so no vector crosses the network however many blocks there are; a
+task hands a query's kth score so far from each of its shards to the next. A query reads
 the lists in step, from the top where its own component is positive and from the bottom
 where it is negative, and scores each row it meets. The components at the current depth
 bound the score of every row not met yet; once that bound is below the kth best score the
-query stops; a query whose bound never closes stops once it has met all rows. The shards' results are merged, ties going to the smaller id.
+query stops; a query whose bound never closes stops once it has met all rows. The tasks'
+results are merged, ties going to the smaller id.
 
 Defined cases: vectors that are null or hold null, NaN or infinite components take no part;
 missing trailing components count as 0; rows with the query's own id are not its candidates
@@ -19,15 +22,20 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripstream.llm.blocks import pack, unpack
+from tripstream.llm.common import staged
+
 K = 20
 SCALE = 64
 SHARD_ROWS = 16_384
-BLOCK_QUERIES = 1_024
+#: queries that a task holds at a time
+BLOCK_QUERIES = 16_384
 FIRST_DEPTH = 16
+NONE = np.iinfo(np.int64).max  # stands for a null id, which is last among ties
 
 
 def scaled(vector: Column, scale: int = SCALE) -> Column:
@@ -65,15 +73,23 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 class Lists:
     """A shard: its vectors and, per dimension, its rows in descending order."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, kind):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, kind, down: np.ndarray | None = None):
         self.ids, self.x = ids, vectors.astype(kind)
-        down = np.argsort(-vectors, axis=0, kind="stable").T
+        down = self.sorted(vectors) if down is None else down
         #: [0]: read from the top, [1]: from the bottom
         self.rows = np.stack([down, down[:, ::-1]]).astype(np.int32)
         self.values = np.take_along_axis(vectors.T, down, axis=1)
 
-    def search(self, own: int | None, query: np.ndarray, k: int):
-        """Places and scores of the best rows, read until the bound closes or all rows were met."""
+    @staticmethod
+    def sorted(vectors: np.ndarray) -> np.ndarray:
+        """Per dimension the rows by descending component."""
+        return np.argsort(-vectors, axis=0, kind="stable").T
+
+    def search(self, own: int | None, query: np.ndarray, k: int, least: int | None = None):
+        """Places and scores of the best rows, read until the bound closes or all rows were met.
+
+        ``least``: a score that ``k`` rows elsewhere reach; rows below it may be missing.
+        """
         n, width = self.x.shape
         used = np.flatnonzero(query)
         side = (query[used] < 0).astype(np.int64)
@@ -90,11 +106,11 @@ class Lists:
             new = np.flatnonzero(fresh)
             places, scores = np.concatenate([places, new]), np.concatenate([scores, self.x[new] @ w])
             depth, step = min(n, depth + step), 2 * step
-            if len(places) >= k:
+            if len(places) >= k or least is not None:
                 at = _best(scores, self.ids[places], k)
                 places, scores = places[at], scores[at]
-                edge = self.values[used, np.where(side == 0, depth - 1, n - depth)]
-                if int((edge * query[used]).sum()) < scores[-1]:
+                edge = int((self.values[used, np.where(side == 0, depth - 1, n - depth)] * query[used]).sum())
+                if (len(places) >= k and edge < scores[-1]) or (least is not None and edge < least):
                     return places, scores
         if not len(used):  # a query without components: every row scores 0
             places = np.flatnonzero(~met)
@@ -110,28 +126,66 @@ def _search(ids, vectors, query_ids, queries, k):
     return [(q, p, int(s)) for q in range(len(queries)) for p, s in zip(*lists.search(query_ids[q], queries[q], k))]
 
 
+def _shards(width: int, limit: int):
+    def shard(ids, vectors):
+        x = _matrix(vectors, width)
+        return pa.RecordBatch.from_arrays([pa.array([pack(np.array(ids, np.int64), x.reshape(-1), Lists.sorted(x).astype(np.int32).reshape(-1))], pa.binary())], ["body"])
+
+    def run(batches):
+        ids, vectors = [], []
+        for batch in batches:
+            for i, v in zip(batch.column("id").to_pylist(), batch.column("v").to_pylist()):
+                ids.append(NONE if i is None else i)
+                vectors.append(v)
+                if len(ids) == limit:
+                    yield shard(ids, vectors)
+                    ids, vectors = [], []
+        if ids:
+            yield shard(ids, vectors)
+
+    return run
+
+
+def _passed(sent, width: int, k: int):
+    def run(batches):
+        query_ids, queries = sent.value
+        best = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(queries)  # ids and scores, best first
+        for batch in batches:
+            for body in batch.column("body").to_pylist():
+                ids, x, down = unpack(body)
+                x, ids = x.astype(np.int64).reshape(-1, width), ids.astype(np.int64)
+                lists = Lists(ids, x, _exact_type(x, queries), down.reshape(width, -1))
+                for q, (own, query) in enumerate(zip(query_ids, queries)):
+                    held, scores = best[q]
+                    places, fresh = lists.search(own, query, k, int(scores[-1]) if len(scores) == k else None)
+                    held, scores = np.concatenate([held, ids[places]]), np.concatenate([scores, fresh.astype(np.int64)])
+                    at = _best(scores, held, k)
+                    best[q] = held[at], scores[at]
+        for q, (held, scores) in enumerate(best):
+            if len(held):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(held), query_ids[q])), pa.array(held), pa.array(scores)], ["query_id", "vec_id", "score"])
+
+    return run
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = K, shard_rows: int = SHARD_ROWS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
     """query_id, rank, vec_id, score; both frames have id (long) and v (array of long), nulls in v left out."""
     vectors = vectors.where("v IS NOT NULL").select("id", "v")
-    queries = queries.where("v IS NOT NULL AND id IS NOT NULL").select("id", "v").distinct()
-    size = vectors.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("w")).first()
-    q_size = queries.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("w")).first()
-    width = max(size.w or 0, q_size.w or 0, 1)
-    none = np.iinfo(np.int64).max  # stands for a null id, which is last among ties
-    shards, blocks = max(1, math.ceil(size.n / shard_rows)), max(1, math.ceil(q_size.n / block_queries))
-    whole = lambda n: F.sequence(F.lit(0), F.lit(n - 1))
-    left = vectors.select("id", "v", F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int").alias("s"), F.explode(whole(blocks)).alias("b"))
-    left = left.withColumn("id", F.coalesce("id", F.lit(none)))
-    right = queries.select(F.col("id").alias("qid"), F.col("v").alias("qv"), F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int").alias("qb"), F.explode(whole(shards)).alias("qs"))
-    def search(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(a) or not len(b):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-        ids, query_ids = a["id"].to_numpy(), b["qid"].to_numpy()
-        found = _search(ids, _matrix(a["v"], width), query_ids, _matrix(b["qv"], width), k)
-        return pd.DataFrame([(query_ids[q], ids[p], s) for q, p, s in found], columns=["query_id", "vec_id", "score"], dtype="int64")
-
-    near = left.groupBy("s", "b").cogroup(right.groupBy("qs", "qb")).applyInPandas(search, "query_id bigint, vec_id bigint, score bigint")
-    near = near.withColumn("vec_id", F.when(F.col("vec_id") != none, F.col("vec_id")))
+    queries = staged(queries.where("v IS NOT NULL AND id IS NOT NULL").select("id", "v").distinct(), "topk-queries")
+    size = vectors.agg(F.max(F.size("v")).alias("w")).first()
+    asked = queries.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("w")).first()
+    width = max(size.w or 0, asked.w or 0, 1)
+    shards = staged(vectors.mapInArrow(_shards(width, shard_rows), "body binary"), "topk-lists")
+    blocks, near = max(1, math.ceil(asked.n / block_queries)), None
+    for b in range(blocks):
+        own = queries.where(F.pmod(F.xxhash64("id", "v"), F.lit(blocks)) == b).collect()  # bounded: one block
+        sent = vectors.sparkSession.sparkContext.broadcast((np.array([r["id"] for r in own], np.int64), _matrix([r["v"] for r in own], width)))
+        part = shards.mapInArrow(_passed(sent, width, k), "query_id bigint, vec_id bigint, score bigint")
+        if blocks > 1:  # one block's queries at a time
+            part = staged(part, "topk-block")
+            sent.unpersist()
+        near = part if near is None else near.unionByName(part)
+    near = near.withColumn("vec_id", F.when(F.col("vec_id") != NONE, F.col("vec_id")))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
