@@ -93,3 +93,14 @@ def test_segments_of_a_long_text_cross_buffers():
 
 def test_empty_table(spark):
     assert S.report(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_hot_keys_are_joined_in_place(spark, monkeypatch):
+    from tripstream.llm import common
+
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id AS v")
+    keys = rows.groupBy("k").count().where("count > 1 OR k % 2 = 0").withColumnRenamed("count", "n")
+    want = sorted(map(tuple, rows.join(keys, ["k"]).collect()))
+    for share in (1, 10, 1000, 10**9):
+        monkeypatch.setattr(common, "HOT_SHARE", share)
+        assert sorted(map(tuple, common.joined_by_key(rows, keys, ["k"], "n", 3000).collect())) == want

@@ -58,6 +58,21 @@ def carried(df: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
     return df.toDF(*inner), inner, names
 
 
+HOT_SHARE = 1_000
+
+
+def joined_by_key(rows: DataFrame, keys: DataFrame, on: list[str], weight: str, total: int) -> DataFrame:
+    """``rows`` joined with ``keys`` (one row per key, ``weight``: how many of ``rows`` have it, ``total``: of how many).
+
+    Keys with over ``1 / HOT_SHARE`` of the rows are fewer than ``HOT_SHARE``: they are
+    broadcast, and their rows stay where they are; only the others' rows move.
+    """
+    hot = F.col(weight) * HOT_SHARE > total
+    often = F.broadcast(keys.where(hot))
+    rare = rows.join(F.broadcast(keys.where(hot).select(*on)), on, "left_anti").join(keys.where(~hot), on)
+    return rare.unionByName(rows.join(often, on))
+
+
 def ascii_lower(col):
     """Lower-case A-Z only (Spark's lower() also maps other letters)."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -20,7 +20,8 @@ hash. The strings that share one anchor form a segment of a document. In order:
    contexts) is dealt anew before sorting: the strings that reach far enough to its left go
    by the bytes left of it, the others by the bytes right of it. What then is still too
    large a group goes string by string, by the fingerprints of each string's two halves, and
-   repeats are counted; no task ever gets a group.
+   repeats are counted; no task ever gets a group. Joins keep the rows of hot anchors,
+   contents and strings where they are (``joined_by_key``).
 5. The ranges found are merged per document and cut out.
 
 Defined cases: a null or empty text, or one shorter than ``length`` bytes, is kept whole
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstream.llm.common import discard, extended, staged
+from tripstream.llm.common import discard, extended, joined_by_key, staged
 
 LENGTH = 200
 GRAM = 64
@@ -259,12 +260,13 @@ def _by_context(parts: DataFrame, length: int, gram: int, most: int) -> DataFram
     right = parts.where(rights > 0).select("m", "d", "t", (F.col("at") + start).alias("at"), rights.alias("n"), F.xxhash64("h", F.substr("bytes", F.col("o") + gram + 1, F.lit(side)), F.lit(1)).alias("h"), cut(start, rights).alias("bytes"))
     dealt = staged(left.unionByName(right).withColumn("c", F.xxhash64("bytes")), "suffix-contexts")
     contents = staged(dealt.groupBy("h", "c").agg(F.sum("m").alias("s"), F.min(F.struct("d", "t", "at")).alias("x")), "suffix-context-contents")
-    copies = staged(contents.where("s > 1").select("h", "c"), "suffix-context-copies")
-    whole = dealt.where("m = 1").join(copies, ["h", "c"]).select("d", "t", F.col("at").alias("a"), (F.col("at") + F.col("n") + length - 1).alias("b"))
+    n = dealt.count()
+    copies = staged(contents.where("s > 1").select("h", "c", F.col("s").alias("w")), "suffix-context-copies")
+    whole = joined_by_key(dealt.where("m = 1"), copies, ["h", "c"], "w", n).select("d", "t", F.col("at").alias("a"), (F.col("at") + F.col("n") + length - 1).alias("b"))
     several = contents.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
-    chosen = contents.join(staged(several, "suffix-context-several"), "h").select("h", "c", "s", "k", F.col("x").alias("_x"))
+    chosen = joined_by_key(contents, staged(several, "suffix-context-several"), ["h"], "k", contents.count()).select("h", "c", "s", "k", F.col("x").alias("_x"))
     chosen = staged(chosen, "suffix-context-chosen")
-    one = dealt.join(chosen, ["h", "c"]).where(F.struct("d", "t", "at").eqNullSafe(F.col("_x"))).dropDuplicates(["h", "c"])
+    one = joined_by_key(dealt, chosen, ["h", "c"], "s", n).where(F.struct("d", "t", "at").eqNullSafe(F.col("_x"))).dropDuplicates(["h", "c"])
     one = staged(one.select("h", F.col("s").alias("m"), "k", "d", "t", "at", "n", "bytes"), "suffix-context-parts")
     found = whole.unionByName(_sorted(one.where(F.col("k") <= most), length))
     return found.unionByName(_by_string(one.where(F.col("k") > most), length))
@@ -278,22 +280,22 @@ def _by_string(parts: DataFrame, length: int) -> DataFrame:
     strings = strings.select("m", "d", "t", (F.col("at") + F.col("pos")).alias("a"), F.xxhash64("col.x", "col.y").alias("s"), F.xxhash64("col.y", "col.x").alias("r"))
     strings = staged(strings, "suffix-strings")
     many = staged(strings.groupBy("s", "r").agg(F.sum("m").alias("k")).where("k > 1"), "suffix-many")
-    return strings.where("m = 1").join(many, ["s", "r"]).select("d", "t", "a", (F.col("a") + length).alias("b"))
+    return joined_by_key(strings.where("m = 1"), many, ["s", "r"], "k", strings.count()).select("d", "t", "a", (F.col("a") + length).alias("b"))
 
 
 def repeated_ranges(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, most: int = MOST) -> DataFrame:
     """d, t, a, b: byte ranges (which may overlap) of the documents (d, t, text) that go."""
     listed = staged(_listed(docs, length, gram), "suffix-segments")
-    anchors = staged(listed.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"), "suffix-anchors")
-    shared = staged(listed.join(anchors, "h"), "suffix-shared")
+    anchors = staged(listed.groupBy("h").agg(F.count("*").alias("k")).where("k > 1"), "suffix-anchors")
+    shared = staged(joined_by_key(listed, anchors, ["h"], "k", listed.count()).select(*listed.columns), "suffix-shared")
     discard(listed, anchors)
     listed = shared
     contents = listed.groupBy("h", "c").agg(F.count("*").alias("m"), F.min(F.struct("d", "t", "at", "n", "o")).alias("x"))
     contents = staged(contents.select("h", "c", "m", "x.*"), "suffix-contents")
-    copies = staged(contents.where("m > 1").select("h", "c"), "suffix-copies")
-    whole = listed.join(copies, ["h", "c"]).select("d", "t", F.col("at").alias("a"), (F.col("at") + F.col("n") + length - 1).alias("b"))
+    copies = staged(contents.where("m > 1").select("h", "c", "m"), "suffix-copies")
+    whole = joined_by_key(listed, copies, ["h", "c"], "m", listed.count()).select("d", "t", F.col("at").alias("a"), (F.col("at") + F.col("n") + length - 1).alias("b"))
     several = staged(contents.groupBy("h").agg(F.count("*").alias("k")).where("k > 1"), "suffix-several")
-    chosen = contents.join(several, "h").select("h", "k", "m", F.col("d").alias("_d"), F.col("t").alias("_t"), "at", "n", "o")
+    chosen = joined_by_key(contents, several, ["h"], "k", contents.count()).select("h", "k", "m", F.col("d").alias("_d"), F.col("t").alias("_t"), "at", "n", "o")
     parts = docs.join(chosen, docs["d"].eqNullSafe(F.col("_d")) & (docs["t"] == F.col("_t")))
     parts = parts.select("h", "k", "m", "d", "t", "at", "n", "o", F.substring(F.col("text").cast("binary"), F.col("at").cast("int") + 1, F.col("n") + length - 1).alias("bytes"))
     # a repeated row brings its segment again; one is enough
