@@ -192,8 +192,11 @@ def _proposed(frame: DataFrame, text: str) -> DataFrame:
 
 def fit(docs: DataFrame, *, text: str = "text", rounds: int = ROUNDS) -> list[float]:
     """Weights of the final classifier, one per slot; at most ``FEATURES`` numbers."""
-    rows = _proposed(docs.select(F.col(text).alias("_t")), "_t")
+    return _fitted(_proposed(docs.select(F.col(text).alias("_t")), "_t"), rounds)
 
+
+def _fitted(rows: DataFrame, rounds: int = ROUNDS) -> list[float]:
+    """``fit`` on matches that are listed already (``_proposed``)."""
     def proposals(kind: str) -> Column:
         return F.transform(F.col(f"_raw_{kind}"), lambda x: let(_votes(kind, x, F.col("_base")), lambda v: F.struct(
             F.lit(KINDS.index(kind)).alias("k"), v.alias("v"), _features(kind, x, v).alias("f"))))
@@ -204,7 +207,7 @@ def fit(docs: DataFrame, *, text: str = "text", rounds: int = ROUNDS) -> list[fl
     if not patterns:
         return [0.0] * FEATURES
     given = json.dumps([{"k": r["k"], "v": list(r["v"]), "n": r["n"]} for r in patterns])
-    votes = docs.sparkSession.range(0, 1, 1, 1).select(F.explode(F.from_json(F.lit(given), "array<struct<k:int,v:array<int>,n:bigint>>")).alias("x")).select("x.*")
+    votes = rows.sparkSession.range(0, 1, 1, 1).select(F.explode(F.from_json(F.lit(given), "array<struct<k:int,v:array<int>,n:bigint>>")).alias("x")).select("x.*")
     prior = [0.5] * len(KINDS)
     rates = [({1: 0.6, 0: 0.1, -1: 0.3}, {1: 0.2, 0: 0.45, -1: 0.35})] * len(LABELERS)  # P(vote | personal), P(vote | not)
     for _ in range(rounds):
@@ -247,10 +250,9 @@ def _posterior(prior: list[float], rates: list[tuple[dict[int, float], dict[int,
     return F.when(F.col("k") == 0, 1.0).when(F.col("k") < len(BASE), F.col("v")[0].cast("double")).otherwise(1 / (1 + F.exp(-odds)))
 
 
-def _spotted(frame: DataFrame, text: str, weights: list[float], accept: float) -> DataFrame:
-    """``frame`` with ``_base`` and ``_all``: sorted arrays of (s, k, e)."""
+def _spotted(rows: DataFrame, columns: list[str], weights: list[float], accept: float) -> DataFrame:
+    """``columns`` of ``rows`` (``_proposed``) with ``_base`` and ``_all``: sorted arrays of (s, k, e)."""
     w = F.from_json(F.lit("[" + ",".join(repr(float(x)) for x in weights) + "]"), "array<double>")
-    rows = _proposed(frame, text)
 
     def judged(kind: str) -> Column:
         def sure(x: Column) -> Column:
@@ -261,7 +263,7 @@ def _spotted(frame: DataFrame, text: str, weights: list[float], accept: float) -
         return _spans(kind, F.filter(F.col(f"_raw_{kind}"), sure))
 
     rows = rows.withColumn("_all", F.array_sort(F.concat("_base", *[judged(k) for k in LOOSE])))
-    return rows.select(*frame.columns, "_base", "_all")
+    return rows.select(*columns, "_base", "_all")
 
 
 def _joined(spans: Column) -> Column:
@@ -271,8 +273,10 @@ def _joined(spans: Column) -> Column:
 
 def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", accept: float = ACCEPT) -> DataFrame:
     """doc_id, counts of base spans, base_sha256, spans (all, as kind:start:end)."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    found = _spotted(rows, "text", fit(rows), accept)
+    rows = _proposed(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text")
+    # the patterns run over each text once: what they match is small, and is read for the fit and the verdict
+    rows = staged(rows.select("doc_id", *[f"_raw_{k}" for k in KINDS], "_base"), "pii-matches")
+    found = _spotted(rows, ["doc_id"], _fitted(rows), accept)
     count = lambda i: F.size(F.filter("_base", lambda x: x.k == i)).cast("long")
     return found.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(BASE)],
                         F.sha2(_joined(F.col("_base")), 256).alias("base_sha256"), _joined(F.col("_all")).alias("spans"))
@@ -282,7 +286,7 @@ def redacted(docs: DataFrame, *, text: str = "text", accept: float = ACCEPT) ->
     """``docs`` with every span replaced by its kind in brackets; other columns as they are."""
     frame, inner, names = carried(docs)
     key = inner[names.index(text)]
-    rows = _spotted(frame, key, fit(frame, text=key), accept)
+    rows = _spotted(_proposed(frame, key), frame.columns, fit(frame, text=key), accept)
     # spans that overlap become one, named after the first
     merged = F.aggregate("_all", F.array().cast("array<struct<s:int,k:int,e:int>>"), lambda a, x: F.when(
         (F.size(a) > 0) & (F.element_at(a, -1).e > x.s),
