@@ -73,3 +73,10 @@ def test_ids_and_empty_table(spark):
     row = P.pieces(docs, with_ids=True).first()
     assert row.ids[-1] == 0 and len(row.ids) == row.length
     assert P.pack(docs.limit(0)).count() == 0
+
+
+def test_full_pieces_are_sequences_of_their_own(spark, packed):
+    full = [r for r in packed if r["length"] == 2048]
+    assert len(full) >= 4 and all(r["offset"] == 0 for r in full)
+    own = Counter(r["sequence_id"] for r in packed)
+    assert all(own[r["sequence_id"]] == 1 for r in full)

@@ -32,10 +32,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripstream.llm.common import ddl, extended, staged
+from tripstream.llm.common import pieces as slices
 
 SIZE = 2048
 CLOSING = 0
 SALTS = 64
+#: pieces that one salt of a length may hold, should all have that length
+SALT_ROWS = 1_000_000
 VOCABULARY = "word_bpe_49k.json"
 CACHED_WORDS = 1_000_000
 WORDS_AT_ONCE = 20_000
@@ -187,7 +190,7 @@ def pieces(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         cache = Words(path)
         gc.disable()  # only acyclic data here, and a lot of it: collections would walk the cache over and over
-        for batch in batches:
+        for batch in slices(batches):
             row, ids, number, start, length, crc = [], [], [], [], [], []
             for i, own in enumerate(token_ids(cache, batch.column("text").to_pylist())):
                 own += end
@@ -257,6 +260,10 @@ def _runs(groups: list[Group]) -> dict[int, tuple[np.ndarray, ...]]:
 def place(cut: DataFrame, *, size: int = SIZE, salts: int = SALTS) -> DataFrame:
     """``cut`` (staged pieces) with sequence_id and offset."""
     spark = cut.sparkSession
+    # a full piece is a sequence by itself and needs no rank
+    full = cut.where(F.col("length") >= size).select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    cut = cut.where(F.col("length") < size)
+    salts = max(salts, -(-cut.count() // SALT_ROWS))
     salted = cut.withColumn("_s", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
     counts = salted.groupBy("length", "_s").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("length").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
@@ -282,7 +289,7 @@ def place(cut: DataFrame, *, size: int = SIZE, salts: int = SALTS) -> DataFrame:
                 offset[at] = off[k] + inside % fit[k] * n
             yield extended(batch, columns, sequence_id=pa.array(sequence), offset=pa.array(offset))
 
-    return ranked.mapInArrow(slots, f"{ddl(cut.schema)}, sequence_id bigint, offset bigint")
+    return full.unionByName(ranked.mapInArrow(slots, f"{ddl(cut.schema)}, sequence_id bigint, offset bigint"))
 
 
 def pack(docs: DataFrame, *, size: int = SIZE, salts: int = SALTS, **options) -> DataFrame:
