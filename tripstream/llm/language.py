@@ -29,12 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripstream.llm.common import carried, ddl, extended
+from tripstream.llm.common import carried, ddl, extended, pieces
 
 UNKNOWN = "und"
 ORDERS = (4, 3, 2, 1)
-SAMPLE_ROWS = 1_000
-CACHED_WORDS = 500_000
+SAMPLE_ROWS = 500
+CACHED_WORDS = 200_000
 MIN_SCORE = 0.5
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -158,7 +158,7 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text", keep: list[st
 
     def judged(batches):
         judge = Judge(Model.of(model_b.value))
-        for batch in batches:
+        for batch in pieces(batches):
             found = [judge.judge(t) for t in batch.column(key).to_pylist()]
             yield extended(batch, columns, _lang=pa.array([x for x, _ in found], pa.string()), _score=pa.array([s for _, s in found], pa.float64()))
 
