@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstream.llm.common import discard, extended, joined_by_key, staged
+from tripstream.llm.common import discard, extended, joined_by_key, release, staged
 
 LENGTH = 200
 GRAM = 64
@@ -292,6 +292,7 @@ def repeated_ranges(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM,
     listed = shared
     contents = listed.groupBy("h", "c").agg(F.count("*").alias("m"), F.min(F.struct("d", "t", "at", "n", "o")).alias("x"))
     contents = staged(contents.select("h", "c", "m", "x.*"), "suffix-contents")
+    release(docs.sparkSession)
     copies = staged(contents.where("m > 1").select("h", "c", "m"), "suffix-copies")
     whole = joined_by_key(listed, copies, ["h", "c"], "m", listed.count()).select("d", "t", F.col("at").alias("a"), (F.col("at") + F.col("n") + length - 1).alias("b"))
     several = staged(contents.groupBy("h").agg(F.count("*").alias("k")).where("k > 1"), "suffix-several")
@@ -311,7 +312,10 @@ def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lengt
     rows = docs.select(F.col(doc_id).cast("long").alias("d"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("t"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     found = repeated_ranges(rows, length=length, **options).distinct()
     per = found.groupBy("d", "t").agg(F.collect_list(F.struct("a", "b")).alias("r")).select(F.col("d").alias("_d"), F.col("t").alias("_t"), "r")
-    joined = rows.join(staged(per, "suffix-ranges"), rows["d"].eqNullSafe(F.col("_d")) & (rows["t"] == F.col("_t")), "left")
+    removed = staged(per, "suffix-ranges")
+    del found, per
+    release(docs.sparkSession)  # the files of all shuffles before the texts move
+    joined = rows.join(removed, rows["d"].eqNullSafe(F.col("_d")) & (rows["t"] == F.col("_t")), "left")
 
     def cut(batches):
         for batch in batches:
