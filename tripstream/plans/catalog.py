@@ -31,6 +31,7 @@ from tripstream.plans.layers import silver_batch
 from tripstream.schemas import PICKUP, TRIP_CORE_SCHEMA, ZONE_SCHEMA
 from tripstream.session import materialized, work_path
 from tripstream.sources import bindings as B
+from tripstream.sources.streams import JSON_LANDING_OPTIONS
 from tripstream.sources.tables import read_csv_with_header, read_dimension_csv, read_json, read_parquet, sql_over_view
 
 P = DEFAULT_PARAMS
@@ -78,7 +79,7 @@ def q_quality_filters_csv(spark, d):
 def q_quality_filters_json(spark, d):
     """SRC-9: raw trips landed as a JSON-lines directory, read back with the explicit schema."""
     path = work_path(spark, "trips_json")
-    B.raw_trips(spark, d).write.json(path)
+    B.raw_trips(spark, d).write.options(**JSON_LANDING_OPTIONS).json(path)
     return apply_quality_filters(read_json(spark, path, TRIP_CORE_SCHEMA))
 
 

@@ -11,6 +11,9 @@ JSON_TS_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 }
 
+# JSON landings as they are written: text repeats every field name, so it is compressed.
+JSON_LANDING_OPTIONS = {**JSON_TS_OPTIONS, "compression": "gzip"}
+
 
 def json_file_stream(spark: SparkSession, path: str, schema: StructType, max_files: int | None = 1) -> DataFrame:
     """SRC-1: JSON-lines files as they land, ``max_files`` per micro-batch."""
