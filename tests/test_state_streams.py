@@ -54,6 +54,15 @@ def test_rolling_chain_is_the_same_for_any_cut(spark, cuts):
     assert all(o.numRowsTotal < 60 for o in ends.stateOperators)  # open hours and windows, not the history
 
 
+def test_rolling_chain_state_holds_lists_of_rows(spark):
+    rows = made_up(5, 1_500) + [(9_000, "A", T0 + dt.timedelta(hours=80), 10.0), (9_001, "B", T0 + dt.timedelta(hours=80), 10.0)]
+    got, seen = run_in_cuts(spark, rows, [700], lambda read: L.rolling_anomaly_stream(read(), read(), "event_type", "ts", "value", DEFAULT_PARAMS.with_(fare_sigma=2.0), salts=1))
+    want = flag_rolling_hourly(spark.createDataFrame(rows, EVENTS), "event_type", "ts", "value", 2.0)
+    assert sorted(r.event_id for r in got.collect()) == sorted(r.event_id for r in want.collect())
+    held = max(o.numRowsTotal for q in seen for p in q.recentProgress for o in p.stateOperators)
+    assert held < 400, held  # 72 hours of two keys and windows sliding over them; a row each was over 700
+
+
 def test_rolling_chain_leaves_out_rows_without_time_key_or_fare(spark):
     rows = made_up(2, 200) + [(900, "A", T0 + dt.timedelta(hours=90), 10.0), (901, None, T0, 999.0), (902, "A", None, 999.0), (903, "A", T0, None)]
     got, _ = run_in_cuts(spark, rows, [], lambda read: L.rolling_anomaly_stream(read(), read(), "event_type", "ts", "value", DEFAULT_PARAMS))

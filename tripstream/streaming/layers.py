@@ -212,17 +212,18 @@ def rolling_anomaly_stream(
     fare: str = "fare_amount",
     params: Params = DEFAULT_PARAMS,
     hours: int = 24,
-    salts: int = 8,
+    salts: int = 64,
 ) -> DataFrame:
     """AGG-6 (stream), right for any cut into batches: rows above their trailing statistics.
 
     ``again`` is a second read of the same stream. It is summed by hour; the hours that the
     watermark has closed go on into a window of ``hours`` that slides by one hour; a window
-    that closes carries the statistics of its last hour, and the rows of that hour wait for
-    it in a stream-stream join. So a row is judged once, on the whole of its hour however the
+    that closes carries the statistics of its last hour, and meets the rows of that hour in a
+    stream-stream join. So a row is judged once, on the whole of its hour however the
     batches cut it, and all state (open hours, open windows, waiting rows) is evicted by the
-    watermark. A hot key's rows wait in ``salts`` places, to each of which its statistics (one
-    row an hour) are copied. Rows without time, key or fare are never flagged.
+    watermark. Rows wait for the end of their hour as lists, one state entry for each hour, key
+    and salt and not several for each row; a hot key's hour is dealt to ``salts`` lists, to each of
+    which its statistics (one row an hour) are copied. Rows without time, key or fare are never flagged.
     """
 
     def timed(df):
@@ -235,13 +236,14 @@ def rolling_anomaly_stream(
     mean, deviation = moment_stats(F.col("_n"), F.col("_s1"), F.col("_s2"))
     stats = trailing.select(F.window_time("window").alias("_hour"), "_key", mean.alias(STAT_COLS[0]), deviation.alias(STAT_COLS[1]),
                             F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int").alias("_salt_of")
     waiting = (
-        timed(rows).withColumn("_window", F.window(EVENT_TIME, "1 hour")).withColumn("_hour_of", F.window_time("_window")).drop("_window", EVENT_TIME)
-        .withColumn("_salt_of", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+        timed(rows).groupBy(F.window(EVENT_TIME, "1 hour"), F.col(key).alias("_key_of"), salt).agg(F.collect_list(F.struct(*rows.columns)).alias("_rows"))
+        .select(F.window_time("window").alias("_hour_of"), "_key_of", "_salt_of", "_rows")
     )
-    at = (F.col(key) == F.col("_key")) & (F.col("_hour_of") == F.col("_hour")) & (F.col("_salt_of") == F.col("_salt"))
-    flagged = waiting.join(stats, at).filter(is_outlier(F.col(fare), F.col(STAT_COLS[0]), F.col(STAT_COLS[1]), params.fare_sigma, "upper"))
-    return flagged.select(*rows.columns)
+    at = (F.col("_key_of") == F.col("_key")) & (F.col("_hour_of") == F.col("_hour")) & (F.col("_salt_of") == F.col("_salt"))
+    above = F.filter("_rows", lambda x: is_outlier(x[fare], F.col(STAT_COLS[0]), F.col(STAT_COLS[1]), params.fare_sigma, "upper"))
+    return waiting.join(stats, at).select(F.explode(above).alias("_row")).select("_row.*")
 
 
 def threshold_batch_writer(counts_path: str, thresholds_path: str, key: str = "pickup_borough", fare: str = "fare_amount", q: float = 0.99):
